@@ -43,8 +43,10 @@ def null_audit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def invalid_count(df: DataFrame, valid: Column) -> DataFrame:
-    """One row: ``n_rows`` and ``n_invalid`` (rows where ``valid`` is false)."""
-    return df.agg(F.count(F.lit(1)).alias(ROWS), F.count_if(~valid).alias(INVALID))
+    """One row: ``n_rows`` and ``n_invalid`` (rows where ``valid`` is false;
+    a NULL verdict counts as invalid)."""
+    return df.agg(F.count(F.lit(1)).alias(ROWS),
+                  F.count_if(~F.coalesce(valid, F.lit(False))).alias(INVALID))
 
 
 def observed(df: DataFrame, name: str, metrics: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
