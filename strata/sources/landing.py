@@ -7,8 +7,8 @@ run of pages from page 1 forms a complete snapshot.  :func:`contiguous_prefix`
 keeps the records of pages below the first missing page and
 :func:`page_report` says what was left out, instead of truncating silently.
 Both are distributed: the page set is aggregated, the first gap is an
-anti-join of ``{1} + {p + 1}`` against the pages present, and the prefix
-filter compares with that value as a scalar subquery.
+anti-join of ``{p + 1}`` against the pages present, and the prefix filter
+compares with that value as a scalar subquery.
 """
 
 from __future__ import annotations
@@ -55,12 +55,19 @@ def page_counts(records: DataFrame) -> DataFrame:
 
 
 def first_gap(records: DataFrame) -> DataFrame:
-    """One row, ``first_gap``: the smallest page number >= 1 with no record."""
+    """One row, ``first_gap``: the smallest page number >= 1 with no record.
+
+    1 when page 1 is absent; otherwise the smallest ``p + 1`` (``p`` present)
+    that is not present, found by an anti-join of the page set with itself.
+    """
     pages = page_counts(records).select(PAGE_COL).where(F.col(PAGE_COL).isNotNull())
-    starts = pages.select((F.col(PAGE_COL) + 1).alias(PAGE_COL)).unionByName(
-        records.sparkSession.range(1).select(F.lit(1).cast("int").alias(PAGE_COL)))
-    return (starts.join(pages, PAGE_COL, "left_anti")
-                  .agg(F.min(PAGE_COL).alias(FIRST_GAP)))
+    after_present = (pages.select((F.col(PAGE_COL) + 1).alias(PAGE_COL))
+                          .join(pages, PAGE_COL, "left_anti")
+                          .agg(F.min(PAGE_COL).alias(FIRST_GAP)))
+    lowest = pages.agg(F.min(PAGE_COL)).scalar()
+    return after_present.select(
+        F.when(F.coalesce(lowest, F.lit(0)) == 1, F.col(FIRST_GAP))
+         .otherwise(F.lit(1)).cast("int").alias(FIRST_GAP))
 
 
 def contiguous_prefix(records: DataFrame, gap: int | None = None) -> DataFrame:
