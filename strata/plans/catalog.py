@@ -32,8 +32,16 @@ from strata.plans.shapes import (
     url_tail,
 )
 from strata.session import scratch_path
-from strata.sources.landing import contiguous_prefix, land_pages, read_landed
-from strata.sources.schemas import COUNT_COL, GOLD, LOCATION_COL, PAGE_COL, TYPE_COL
+from strata.sources.landing import contiguous_prefix, land_pages, page_report, read_landed
+from strata.sources.schemas import (
+    COUNT_COL,
+    GOLD,
+    LOCATION_COL,
+    PAGE_COL,
+    QUARANTINE,
+    TYPE_COL,
+    VALID_FLAG,
+)
 from strata.sources.tables import read_table, write_partition
 
 # Fixed parameters of the registered queries.
@@ -134,18 +142,36 @@ def q_null_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --- ingest and the chain -----------------------------------------------------
-def q_paged_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Events landed as pages of 50 records with the middle page missing;
-    ingest keeps the pages before the gap."""
+def _events_landed_with_gap(spark: SparkSession, sf: str) -> DataFrame:
+    """Events landed as pages of 50 records, the middle page lost in transit."""
     events = table(spark, sf, "events")
     records = events_as_records(events, PAGE_SIZE)
     n_pages = events.agg((F.floor(F.max("event_id") / PAGE_SIZE) + 1).cast("int")).scalar()
     landing = scratch_path(spark, "landing")
     land_pages(records.where(F.col(PAGE_COL) != F.floor((n_pages + 1) / 2)), landing, RUN_DATE)
-    return (contiguous_prefix(read_landed(spark, landing, RUN_DATE))
+    return read_landed(spark, landing, RUN_DATE)
+
+
+def q_paged_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Ingest keeps the pages before the gap."""
+    return (contiguous_prefix(_events_landed_with_gap(spark, sf))
             .select("id", TYPE_COL, "name", "updated_at", PAGE_COL))
 
 
+def q_page_gap_report(spark: SparkSession, sf: str) -> DataFrame:
+    """What the gap left out: one row of page and row counts."""
+    return page_report(_events_landed_with_gap(spark, sf))
+
+
+def q_bronze_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """The quarantine table written by the bronze job for `pages` records."""
+    layout = jobs.Layout.under(scratch_path(spark, "bronze"))
+    land_pages(pages_as_records(table(spark, sf, "pages"), PAGE_SIZE), layout.landing, RUN_DATE)
+    jobs.load_bronze(spark, layout, RUN_DATE)
+    return read_table(spark, layout.quarantine, QUARANTINE, RUN_DATE, fmt="json").select(
+        "id", "name", TYPE_COL, "longitude", "updated_at", VALID_FLAG, "date")
+
+
 def q_medallion_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """`pages` landed as records -> bronze + quarantine -> silver -> gold -> report."""
     layout = jobs.Layout.under(scratch_path(spark, "medallion"))
@@ -171,6 +197,8 @@ QUERIES: dict[str, Query] = {
     "sample_rows": q_sample_rows,
     "sink_round_trip": q_sink_round_trip,
     "paged_ingest": q_paged_ingest,
+    "page_gap_report": q_page_gap_report,
+    "bronze_quarantine": q_bronze_quarantine,
     "medallion_end_to_end": q_medallion_end_to_end,
 }
 
@@ -194,7 +222,7 @@ SELECT p_type AS {TYPE_COL},
 FROM part GROUP BY 1, 2"""
 
 _PAGES_RECORDS = f"""
-SELECT {_HOST} AS id,
+SELECT {_HOST} AS id, {_HOST} AS name,
        split_part(url, '/', 4) AS {TYPE_COL},
        CASE WHEN len(string_split({_HOST}, '.')) = 4 THEN split_part({_HOST}, '.', 1) END AS city,
        CASE WHEN starts_with(url, 'https:') THEN split_part({_HOST}, '.', -1) END AS state,
@@ -264,6 +292,26 @@ SELECT CAST(event_id AS VARCHAR) AS id, event_type AS {TYPE_COL},
        CAST(user_id AS VARCHAR) AS name,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS updated_at, page
 FROM e WHERE page < (SELECT missing FROM gap)""",
+    "page_gap_report": f"""
+WITH e AS (SELECT CAST(event_id // {PAGE_SIZE} + 1 AS INTEGER) AS page FROM events),
+     landed AS (SELECT page FROM e
+                WHERE page <> (SELECT CAST(floor((max(page) + 1) / 2) AS INTEGER) FROM e)),
+     p AS (SELECT page, count(*) AS n FROM landed GROUP BY page),
+     g AS (SELECT CASE WHEN (SELECT min(page) FROM p) = 1
+                       THEN (SELECT min(page + 1) FROM p WHERE page + 1 NOT IN (SELECT page FROM p))
+                       ELSE 1 END AS gap)
+SELECT CAST((SELECT gap FROM g) AS INTEGER) AS first_gap,
+       CAST(count(page) AS BIGINT) AS pages_present,
+       CAST(count_if(page > (SELECT gap FROM g)) AS BIGINT) AS pages_after_gap,
+       CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_total,
+       CAST(coalesce(sum(n) FILTER (WHERE page < (SELECT gap FROM g)), 0) AS BIGINT) AS rows_kept,
+       CAST(coalesce(sum(n) FILTER (WHERE page > (SELECT gap FROM g)), 0) AS BIGINT) AS rows_after_gap,
+       CAST(coalesce(sum(n) FILTER (WHERE page IS NULL), 0) AS BIGINT) AS rows_without_page
+FROM p""",
+    "bronze_quarantine": f"""
+SELECT id, name, {TYPE_COL}, longitude, updated_at, false AS is_valid_longitude,
+       DATE '{RUN_DATE.isoformat()}' AS date
+FROM ({_PAGES_RECORDS}) r WHERE NOT {_valid('longitude')}""",
     "medallion_end_to_end": f"""
 SELECT {TYPE_COL}, nullif(concat_ws(', ', city, state), '') AS {LOCATION_COL},
        CAST(count(*) AS BIGINT) AS {COUNT_COL}

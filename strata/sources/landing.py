@@ -83,11 +83,16 @@ def page_report(records: DataFrame) -> DataFrame:
     counts = page_counts(records)
     gap = first_gap(records).scalar()
     page = F.col(PAGE_COL)
+    rows = F.col("rows")
+
+    def total(c):
+        return F.coalesce(F.sum(c), F.lit(0)).cast("long")
+
     return counts.agg(
         F.count(page).alias("pages_present"),
         F.count_if(page > gap).alias("pages_after_gap"),
-        F.sum("rows").alias("rows_total"),
-        F.sum(F.when(page < gap, F.col("rows"))).alias("rows_kept"),
-        F.sum(F.when(page > gap, F.col("rows"))).alias("rows_after_gap"),
-        F.sum(F.when(page.isNull(), F.col("rows"))).alias("rows_without_page"),
+        total(rows).alias("rows_total"),
+        total(F.when(page < gap, rows)).alias("rows_kept"),
+        total(F.when(page > gap, rows)).alias("rows_after_gap"),
+        total(F.when(page.isNull(), rows)).alias("rows_without_page"),
     ).select(gap.alias(FIRST_GAP), "*")

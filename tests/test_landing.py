@@ -33,7 +33,7 @@ def test_gap_keeps_prefix_and_reports(spark, tmp_root):
     assert kept == ["1", "2", "3"]
     r = page_report(landed).first().asDict()
     assert r == {"first_gap": 3, "pages_present": 4, "pages_after_gap": 2, "rows_total": 7,
-                 "rows_kept": 3, "rows_after_gap": 4, "rows_without_page": None}
+                 "rows_kept": 3, "rows_after_gap": 4, "rows_without_page": 0}
     assert sorted(x.id for x in contiguous_prefix(landed, 3).collect()) == kept
 
 
