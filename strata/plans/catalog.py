@@ -32,7 +32,13 @@ from strata.plans.shapes import (
     url_tail,
 )
 from strata.session import scratch_path
-from strata.sources.landing import contiguous_prefix, land_pages, page_report, read_landed
+from strata.sources.landing import (
+    contiguous_prefix,
+    land_pages,
+    page_counts,
+    page_report,
+    read_landed,
+)
 from strata.sources.schemas import (
     COUNT_COL,
     GOLD,
@@ -160,7 +166,7 @@ def q_paged_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_page_gap_report(spark: SparkSession, sf: str) -> DataFrame:
     """What the gap left out: one row of page and row counts."""
-    return page_report(_events_landed_with_gap(spark, sf))
+    return page_report(page_counts(_events_landed_with_gap(spark, sf)))
 
 
 def q_bronze_quarantine(spark: SparkSession, sf: str) -> DataFrame:

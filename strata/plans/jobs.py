@@ -20,7 +20,14 @@ from strata.operators.quality import check_null_rates, observed
 from strata.operators.quarantine import flag_validity, invalid_rows
 from strata.operators.report import gold_report
 from strata.plans.layers import to_gold, to_silver
-from strata.sources.landing import FIRST_GAP, contiguous_prefix, page_report, read_landed
+from strata.session import shared_dir
+from strata.sources.landing import (
+    FIRST_GAP,
+    contiguous_prefix,
+    page_counts,
+    page_report,
+    read_landed,
+)
 from strata.sources.schemas import (
     BRONZE,
     COUNT_COL,
@@ -73,7 +80,9 @@ def load_bronze(spark: SparkSession, layout: Layout, run_date: str | dt.date) ->
     _require(landing=layout.landing, bronze=layout.bronze, quarantine=layout.quarantine)
     d = _run_date(run_date)
     landed = read_landed(spark, layout.landing, d)
-    pages = page_report(landed).first().asDict()
+    shared_dir(spark)                  # checkpoint() below needs the shared folder
+    counts = page_counts(landed).checkpoint()      # one pass over the landing
+    pages = page_report(counts).first().asDict()
     gap = pages[FIRST_GAP]
     metrics = {"date": d.isoformat(), **pages}
     if pages["pages_after_gap"]:

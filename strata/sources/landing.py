@@ -50,17 +50,19 @@ def land_pages(records: DataFrame, landing: str, run_date: str | dt.date) -> str
 
 def page_counts(records: DataFrame) -> DataFrame:
     """Rows per page number (NULL page included): a partial/final hash
-    aggregate, so only one row per page and map task is shuffled."""
+    aggregate, so only one row per page and map task is shuffled.  About one
+    row per ``page_size`` records; the gap functions below work on it."""
     return records.groupBy(PAGE_COL).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def first_gap(records: DataFrame) -> DataFrame:
-    """One row, ``first_gap``: the smallest page number >= 1 with no record.
+def first_gap(counts: DataFrame) -> DataFrame:
+    """One row, ``first_gap``: the smallest page number >= 1 with no record,
+    from :func:`page_counts`.
 
     1 when page 1 is absent; otherwise the smallest ``p + 1`` (``p`` present)
     that is not present, found by an anti-join of the page set with itself.
     """
-    pages = page_counts(records).select(PAGE_COL).where(F.col(PAGE_COL).isNotNull())
+    pages = counts.select(PAGE_COL)
     after_present = (pages.select((F.col(PAGE_COL) + 1).alias(PAGE_COL))
                           .join(pages, PAGE_COL, "left_anti")
                           .agg(F.min(PAGE_COL).alias(FIRST_GAP)))
@@ -73,15 +75,16 @@ def first_gap(records: DataFrame) -> DataFrame:
 def contiguous_prefix(records: DataFrame, gap: int | None = None) -> DataFrame:
     """Records of pages 1 .. first_gap - 1.  Pass ``gap`` when it is already
     known (from :func:`page_report`) to skip the subquery."""
-    bound = F.lit(gap) if gap is not None else first_gap(records).scalar()
+    bound = F.lit(gap) if gap is not None else first_gap(page_counts(records)).scalar()
     return records.where(F.col(PAGE_COL) < bound)
 
 
-def page_report(records: DataFrame) -> DataFrame:
-    """One row: the first gap, pages present and beyond the gap, rows in
-    total, kept, beyond the gap and without a page number."""
-    counts = page_counts(records)
-    gap = first_gap(records).scalar()
+def page_report(counts: DataFrame) -> DataFrame:
+    """One row from :func:`page_counts`: the first gap, pages present and
+    beyond the gap, rows in total, kept, beyond the gap and without a page
+    number.  Materialise ``counts`` first (``checkpoint()``) when the records
+    are expensive to re-read: every part of the report reads it."""
+    gap = first_gap(counts).scalar()
     page = F.col(PAGE_COL)
     rows = F.col("rows")
 

@@ -6,7 +6,7 @@ import datetime as dt
 import json
 import os
 
-from strata.sources.landing import contiguous_prefix, page_report, read_landed
+from strata.sources.landing import contiguous_prefix, page_counts, page_report, read_landed
 from strata.sources.tables import partition_path
 
 D = dt.date(2024, 11, 28)
@@ -31,7 +31,7 @@ def test_gap_keeps_prefix_and_reports(spark, tmp_root):
     landed = read_landed(spark, tmp_root, D)
     kept = sorted(r.id for r in contiguous_prefix(landed).collect())
     assert kept == ["1", "2", "3"]
-    r = page_report(landed).first().asDict()
+    r = page_report(page_counts(landed)).first().asDict()
     assert r == {"first_gap": 3, "pages_present": 4, "pages_after_gap": 2, "rows_total": 7,
                  "rows_kept": 3, "rows_after_gap": 4, "rows_without_page": 0}
     assert sorted(x.id for x in contiguous_prefix(landed, 3).collect()) == kept
@@ -41,7 +41,7 @@ def test_missing_first_page_keeps_nothing(spark, tmp_root):
     land_raw(tmp_root, {2: [rec(1)], 3: [rec(2)]})
     landed = read_landed(spark, tmp_root, D)
     assert contiguous_prefix(landed).count() == 0
-    assert page_report(landed).first().first_gap == 1
+    assert page_report(page_counts(landed)).first().first_gap == 1
 
 
 def test_declared_schema_drops_extra_keys_and_nulls_missing(spark, tmp_root):
@@ -55,4 +55,4 @@ def test_declared_schema_drops_extra_keys_and_nulls_missing(spark, tmp_root):
 
 def test_no_landing_reads_empty(spark, tmp_root):
     landed = read_landed(spark, f"{tmp_root}/nothing", D)
-    assert landed.count() == 0 and page_report(landed).first().first_gap == 1
+    assert landed.count() == 0 and page_report(page_counts(landed)).first().first_gap == 1
