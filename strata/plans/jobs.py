@@ -41,7 +41,7 @@ from strata.sources.schemas import (
     VALID_FLAG,
     without,
 )
-from strata.sources.tables import read_table, write_partition
+from strata.sources.tables import files_for, read_table, write_partition
 
 log = logging.getLogger(__name__)
 
@@ -103,6 +103,9 @@ def load_bronze(spark: SparkSession, layout: Layout, run_date: str | dt.date) ->
     if metrics["invalid"]:
         log.error("Found %s records with invalid longitude.", metrics["invalid"])
         bad = invalid_rows(flag_validity(read_table(spark, layout.bronze, BRONZE, d)))
+        # few invalid rows spread over many bronze files: shuffle only those
+        # rows into a file count sized by the observed invalid count
+        bad = bad.repartition(files_for(metrics["invalid"]))
     else:
         bad = spark.createDataFrame([], without(QUARANTINE, DATE_COL))
     write_partition(bad, layout.quarantine, d, fmt="json")

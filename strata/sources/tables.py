@@ -48,6 +48,11 @@ def read_table(spark: SparkSession, root: str, schema: StructType,
     return df
 
 
+def files_for(rows: int, rows_per_file: int = 2_000_000) -> int:
+    """Output file count for ``rows`` rows of a narrow table."""
+    return max(1, -(-int(rows) // rows_per_file))
+
+
 def write_partition(df: DataFrame, root: str, run_date: str | dt.date, fmt: str = "parquet",
                     sort_within: Sequence[str] = (), max_records_per_file: int | None = None) -> str:
     """Replace the ``run_date`` partition of the table at ``root`` with ``df``.
