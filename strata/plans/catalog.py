@@ -25,6 +25,7 @@ from strata.plans import jobs
 from strata.plans.layers import to_gold, to_silver
 from strata.plans.shapes import (
     events_as_records,
+    events_as_user_records,
     pages_as_records,
     part_as_entities,
     table,
@@ -186,6 +187,15 @@ def q_medallion_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     return report
 
 
+def q_medallion_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The chain over `events` as versions of user records."""
+    layout = jobs.Layout.under(scratch_path(spark, "medallion"))
+    land_pages(events_as_user_records(table(spark, sf, "events"), PAGE_SIZE),
+               layout.landing, RUN_DATE)
+    report, _ = jobs.run(spark, layout, RUN_DATE)
+    return report
+
+
 QUERIES: dict[str, Query] = {
     "group_count": q_group_count,
     "numeric_validity_flag": q_numeric_validity_flag,
@@ -206,6 +216,7 @@ QUERIES: dict[str, Query] = {
     "page_gap_report": q_page_gap_report,
     "bronze_quarantine": q_bronze_quarantine,
     "medallion_end_to_end": q_medallion_end_to_end,
+    "medallion_events": q_medallion_events,
 }
 
 
@@ -323,4 +334,16 @@ SELECT {TYPE_COL}, nullif(concat_ws(', ', city, state), '') AS {LOCATION_COL},
        CAST(count(*) AS BIGINT) AS {COUNT_COL}
 FROM ({_LATEST_PAGES}) s
 GROUP BY 1, 2 ORDER BY 1, 2""",
+    "medallion_events": f"""
+WITH rec AS (
+  SELECT CAST(user_id AS VARCHAR) AS id, CAST(event_id AS VARCHAR) AS name,
+         event_type AS {TYPE_COL}, json_extract_string(props, '$.k') AS city,
+         strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS updated_at
+  FROM events),
+latest AS (
+  SELECT * FROM rec
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated_at DESC NULLS LAST, name) = 1)
+SELECT {TYPE_COL}, nullif(concat_ws(', ', city), '') AS {LOCATION_COL},
+       CAST(count(*) AS BIGINT) AS {COUNT_COL}
+FROM latest GROUP BY 1, 2 ORDER BY 1, 2""",
 }

@@ -88,3 +88,19 @@ def events_as_records(events: DataFrame, page_size: int = 50) -> DataFrame:
     }
     cols = [rec.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RECORD.fields]
     return events.select(*cols, page_of("event_id", page_size).alias(PAGE_COL))
+
+
+def events_as_user_records(events: DataFrame, page_size: int = 50) -> DataFrame:
+    """``events`` as records keyed by user: every event is a version of its
+    user's record (newest ``updated_at`` wins), type = event_type, city = the
+    ``k`` field of the JSON props, longitude = the event value as text."""
+    rec = {
+        "id": F.col("user_id").cast("string"),
+        "name": F.col("event_id").cast("string"),
+        "brewery_type": F.col("event_type"),
+        "city": F.get_json_object("props", "$.k"),
+        "longitude": F.col("value").cast("string"),
+        "updated_at": F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+    }
+    cols = [rec.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RECORD.fields]
+    return events.select(*cols, page_of("event_id", page_size).alias(PAGE_COL))
