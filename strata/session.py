@@ -51,6 +51,28 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cluster_settings(input_bytes: int, total_cores: int,
+                     shuffle_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Launch settings for a cluster run over ``input_bytes`` of landed data.
+
+    Shuffle partitions are sized so the largest stage (the silver dedupe,
+    which shuffles about one copy of the records) gets ~128 MB per partition,
+    never fewer than two waves of the cluster's cores; AQE then coalesces the
+    small stages (gold, page counts) down to its advisory size.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // shuffle_partition_bytes))
+    return {
+        **SESSION_DEFAULTS,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        # the size check behind every broadcast: only sides estimated below it
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors and the driver can see.
 

@@ -111,3 +111,13 @@ def test_no_python_udf_in_plans(spark):
     from tests.plans import plan as _plan
     plan = _plan(df)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_cluster_settings_scale_with_input():
+    from strata.session import cluster_settings
+
+    small = cluster_settings(10 << 30, 64)
+    big = cluster_settings(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128          # two waves of cores
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
+    assert big["spark.sql.adaptive.enabled"] == "true"
