@@ -35,6 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(parts))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
@@ -70,6 +71,7 @@ def cluster_settings(input_bytes: int, total_cores: int,
         # the size check behind every broadcast: only sides estimated below it
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
@@ -81,11 +83,16 @@ def shared_dir(spark: SparkSession) -> str:
     is unset, a private temporary folder is created and registered as the
     checkpoint folder.
     """
-    sc = spark.sparkContext
-    found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:          # a remote (Connect) session has no local context
+        sc = None
+    found = (sc.getCheckpointDir() if sc is not None else None) or \
+        spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local") or sc is None:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a folder shared by the cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-"))

@@ -111,3 +111,14 @@ def test_missing_settings_and_columns(spark):
 def test_silver_keeps_upstream_location(spark):
     df = spark.createDataFrame([("1", "X", "Y", "upstream")], "id string, city string, state string, localizacao string")
     assert to_silver(df).first().localizacao == "upstream"
+
+
+def test_command_line_run_and_report(spark, tmp_root, capsys):
+    from strata.__main__ import main
+
+    layout = jobs.Layout.under(tmp_root)
+    land(spark, layout, D2, RECORDS)
+    assert main(["run", "--root", tmp_root, "--date", D2.isoformat()]) == 0
+    assert main(["report", "--root", tmp_root, "--date", D2.isoformat()]) == 0
+    out = capsys.readouterr().out
+    assert "Bend, Oregon" in out and '"n_rows": 5' in out
