@@ -142,7 +142,7 @@ def transform_gold(spark: SparkSession, layout: Layout, run_date: str | dt.date,
         f"nulls_{LOCATION_COL}": F.coalesce(F.sum(F.when(F.col(LOCATION_COL).isNull(), n)), F.lit(0)),
     })
     write_partition(gold, layout.gold, d)
-    metrics = {"date": d.isoformat(), **obs.get}
+    metrics = {"date": d.isoformat(), **obs.get, "schema": gold.schema.simpleString()}
     check_null_rates(metrics, [TYPE_COL, LOCATION_COL], max_null_fraction)
     return metrics
 

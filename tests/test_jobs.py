@@ -29,7 +29,7 @@ RECORDS = [
     record(2, "micro", "Bend", "Oregon", "abc", "2024-01-01", phone="555", page=1),
     record(3, "large", "Bend", "Oregon", None, "2024-01-01", page=1),
     record(4, "closed", None, "Texas", "1e2", "2024-01-01", page=2),
-    record(5, None, None, None, "-97.4", "2024-01-01", page=2),
+    {**record(5, None, None, None, "-97.4", "2024-01-01", page=2), "tag_list": ["x", None]},
     record(6, "micro", "Old", "Name", "-90", "2023-01-01", page=2, rid="id1"),   # older copy of id1
 ]
 
@@ -68,7 +68,10 @@ def test_chain_rerun_and_metrics(spark, tmp_root):
     assert kept["id1"].updated_at == "2024-01-01" and kept["id1"].localizacao == "Bend, Oregon"
     assert kept["id1"].phone == "N/A" and kept["id2"].phone == "555"
     assert kept["id2"].longitude is None and kept["id4"].longitude == 100.0
-    assert kept["id5"].localizacao == ""
+    assert kept["id5"].localizacao == "" and kept["id5"].tag_list == ["x", None]
+    assert kept["id4"].tag_list is None and kept["id4"].brewery_type == "closed"
+    assert "quantity_of_breweries:bigint" in m["gold"]["schema"]
+    assert "longitude:float" in m["silver"]["schema"]
     gold = read_table(spark, layout.gold, GOLD, D2)
     assert gold.agg(F.sum("quantity_of_breweries")).first()[0] == silver.count()
 
