@@ -13,12 +13,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, FloatType
 
-# Fixed value: the language of Python float() literals as a Java regex.
+# The language of Python float() literals as a Java regex.
 # (?U) makes \s and \d Unicode-aware, as float() is; letter classes are spelled
 # out because a case-insensitive flag under (?U) would also accept dotless i.
+# Decimal digits that Unicode 14/15 added (Kawi, Tangsa, Nag Mundari) are
+# listed explicitly, so the rule does not depend on the JVM's Unicode version.
+DIGIT = r"[\d\x{11F50}-\x{11F59}\x{16AC0}-\x{16AC9}\x{1E4F0}-\x{1E4F9}]"
+_RUN = rf"{DIGIT}(?:_?{DIGIT})*"                 # digits, single '_' between
 FLOAT_TEXT = (
-    r"(?U)^\s*[+-]?(?:(?:\d(?:_?\d)*\.?(?:\d(?:_?\d)*)?|\.\d(?:_?\d)*)"
-    r"(?:[eE][+-]?\d(?:_?\d)*)?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$"
+    rf"(?U)^\s*[+-]?(?:(?:{_RUN}\.?(?:{_RUN})?|\.{_RUN})(?:[eE][+-]?{_RUN})?"
+    r"|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$"
 )
 
 

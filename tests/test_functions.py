@@ -121,3 +121,12 @@ def test_cluster_settings_scale_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 128          # two waves of cores
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
     assert big["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_validity_unicode_digits_of_any_jvm(spark):
+    # digits added in Unicode 14/15 (a Java 17 regex alone does not know them),
+    # plus a sweep of every 97th code point in both positions
+    texts = [chr(b + i) + "1" for b in (0x11F50, 0x16AC0, 0x1E4F0, 0x0660, 0xFF10) for i in range(10)]
+    texts += [t for cp in range(0, 0x110000, 97) if not 0xD800 <= cp <= 0xDFFF
+              for t in (chr(cp) + "1", "1" + chr(cp))]
+    assert spark_eval(spark, texts, is_float_text) == [py_valid(t) for t in texts]
