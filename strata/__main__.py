@@ -44,7 +44,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.step == "gold":
         out = jobs.transform_gold(spark, layout, args.date, args.max_null_fraction)
     elif args.step == "report":
-        gold_report(spark, jobs.read_gold(spark, layout), args.date).show(args.rows, truncate=False)
+        gold_report(spark, jobs.read_gold(spark, layout, args.date), args.date).show(args.rows, truncate=False)
     else:
         from strata.streaming import chain_for_new_pages
 

@@ -147,8 +147,9 @@ def transform_gold(spark: SparkSession, layout: Layout, run_date: str | dt.date,
     return metrics
 
 
-def read_gold(spark: SparkSession, layout: Layout) -> DataFrame:
-    return read_table(spark, layout.gold, GOLD)
+def read_gold(spark: SparkSession, layout: Layout,
+              run_date: str | dt.date | None = None) -> DataFrame:
+    return read_table(spark, layout.gold, GOLD, run_date)
 
 
 def run(spark: SparkSession, layout: Layout, run_date: str | dt.date,
@@ -161,10 +162,10 @@ def run(spark: SparkSession, layout: Layout, run_date: str | dt.date,
     d = _run_date(run_date)
     metrics = {"bronze": load_bronze(spark, layout, d)}
     if not metrics["bronze"]["written"]:
-        return gold_report(spark, read_gold(spark, layout), d), metrics
+        return gold_report(spark, read_gold(spark, layout, d), d), metrics
     metrics["silver"] = transform_silver(spark, layout, d)
     metrics["gold"] = transform_gold(spark, layout, d, max_null_fraction)
-    return gold_report(spark, read_gold(spark, layout), d), metrics
+    return gold_report(spark, read_gold(spark, layout, d), d), metrics
 
 
 __all__ = ["Layout", "load_bronze", "read_gold", "run", "transform_gold", "transform_silver"]

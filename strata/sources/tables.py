@@ -36,9 +36,19 @@ def _missing_path(e: AnalysisException) -> bool:
 def read_table(spark: SparkSession, root: str, schema: StructType,
                run_date: str | dt.date | None = None, fmt: str = "parquet") -> DataFrame:
     """The table at ``root`` under ``schema`` (which includes ``date``),
-    optionally pruned to one date.  A table never written reads as empty."""
+    optionally pruned to one date.  A table or date never written reads as
+    empty.
+
+    With a date, only that date's folder is listed (``basePath`` keeps
+    ``date`` a partition column): on an object store holding years of daily
+    partitions, a run never lists the other dates.
+    """
+    reader = spark.read.schema(schema).format(fmt)
     try:
-        df = spark.read.schema(schema).format(fmt).load(root)
+        if run_date is None:
+            df = reader.load(root)
+        else:
+            df = reader.option("basePath", root).load(partition_path(root, run_date))
     except AnalysisException as e:
         if not _missing_path(e):
             raise
