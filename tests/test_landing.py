@@ -56,3 +56,16 @@ def test_declared_schema_drops_extra_keys_and_nulls_missing(spark, tmp_root):
 def test_no_landing_reads_empty(spark, tmp_root):
     landed = read_landed(spark, f"{tmp_root}/nothing", D)
     assert landed.count() == 0 and page_report(page_counts(landed)).first().first_gap == 1
+
+
+def test_malformed_lines_are_counted_not_ingested(spark, tmp_root):
+    land_raw(tmp_root, {1: [rec(1), rec(2, tag_list="not-a-list")], 2: [rec(3)]})
+    path = partition_path(tmp_root, D)
+    with open(f"{path}/page-00002.json", "a") as f:
+        f.write("{this is not json\n")
+    landed = read_landed(spark, tmp_root, D)
+    kept = {r.id: r for r in contiguous_prefix(landed).collect()}
+    assert sorted(kept) == ["1", "2", "3"]
+    assert kept["2"].tag_list is None and kept["2"].name == "n2"     # only the bad field is lost
+    r = page_report(page_counts(landed)).first()
+    assert (r.rows_total, r.rows_kept, r.rows_without_page) == (4, 3, 1)
