@@ -88,6 +88,9 @@ def load_bronze(spark: SparkSession, layout: Layout, run_date: str | dt.date) ->
     if pages["pages_after_gap"]:
         log.error("page %s missing: %s later pages (%s rows) left out",
                   gap, pages["pages_after_gap"], pages["rows_after_gap"])
+    if pages["rows_without_page"]:
+        log.warning("%s landed rows carry no page number (malformed lines)",
+                    pages["rows_without_page"])
     if gap <= 1 or not pages["rows_kept"]:
         log.warning("No data found to process for %s", d)
         return {**metrics, "rows": 0, "invalid": 0, "written": False}
