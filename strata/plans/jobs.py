@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from strata.functions.dates import run_date as _run_date
 from strata.operators.quality import check_null_rates, observed
 from strata.operators.quarantine import flag_validity, invalid_rows
-from strata.operators.report import gold_report
+from strata.operators.report import gold_report, sample_rows
 from strata.plans.layers import to_gold, to_silver
 from strata.session import shared_dir
 from strata.sources.landing import (
@@ -145,7 +145,9 @@ def transform_gold(spark: SparkSession, layout: Layout, run_date: str | dt.date,
         f"nulls_{LOCATION_COL}": F.coalesce(F.sum(F.when(F.col(LOCATION_COL).isNull(), n)), F.lit(0)),
     })
     write_partition(gold, layout.gold, d)
-    metrics = {"date": d.isoformat(), **obs.get, "schema": gold.schema.simpleString()}
+    sample = sample_rows(read_gold(spark, layout, d).drop(DATE_COL), [TYPE_COL, LOCATION_COL], 5)
+    metrics = {"date": d.isoformat(), **obs.get, "schema": gold.schema.simpleString(),
+               "sample": [r.asDict() for r in sample.collect()]}
     check_null_rates(metrics, [TYPE_COL, LOCATION_COL], max_null_fraction)
     return metrics
 

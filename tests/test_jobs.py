@@ -71,6 +71,7 @@ def test_chain_rerun_and_metrics(spark, tmp_root):
     assert kept["id5"].localizacao == "" and kept["id5"].tag_list == ["x", None]
     assert kept["id4"].tag_list is None and kept["id4"].brewery_type == "closed"
     assert "quantity_of_breweries:bigint" in m["gold"]["schema"]
+    assert len(m["gold"]["sample"]) == m["gold"]["groups"] == 4 and m["gold"]["sample"][0]["brewery_type"] is None
     assert "longitude:float" in m["silver"]["schema"]
     gold = read_table(spark, layout.gold, GOLD, D2)
     assert gold.agg(F.sum("quantity_of_breweries")).first()[0] == silver.count()
