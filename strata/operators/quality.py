@@ -29,7 +29,7 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     present = set(df.columns)
     for c in columns:
         if c not in present:
-            raise ValueError(f"Column {c} not found in DataFrame")
+            raise ValueError(f"required column missing: {c}")
 
 
 def null_count_exprs(columns: Sequence[str], prefix: str = NULLS_PREFIX) -> list[Column]:
@@ -71,7 +71,7 @@ def check_null_rates(metrics: Mapping[str, int], columns: Sequence[str],
     for c in columns:
         n = int(metrics.get(f"{prefix}{c}") or 0)
         if n:
-            msg = f"Found {n} records with null values in {c}"
+            msg = f"{c}: {n} of {total} rows are NULL"
             log.warning(msg)
             if max_null_fraction is not None and total and n / total > max_null_fraction:
                 problems.append(msg)

@@ -92,7 +92,7 @@ def load_bronze(spark: SparkSession, layout: Layout, run_date: str | dt.date) ->
         log.warning("%s landed rows carry no page number (malformed lines)",
                     pages["rows_without_page"])
     if gap <= 1 or not pages["rows_kept"]:
-        log.warning("No data found to process for %s", d)
+        log.warning("nothing landed for %s before the first gap; bronze left as it is", d)
         return {**metrics, "rows": 0, "invalid": 0, "written": False}
 
     records = contiguous_prefix(landed, gap).drop(PAGE_COL, DATE_COL)
@@ -104,7 +104,7 @@ def load_bronze(spark: SparkSession, layout: Layout, run_date: str | dt.date) ->
     metrics.update(obs.get, written=True)
 
     if metrics["invalid"]:
-        log.error("Found %s records with invalid longitude.", metrics["invalid"])
+        log.error("%s rows have a non-numeric longitude; copied to quarantine", metrics["invalid"])
         bad = invalid_rows(flag_validity(read_table(spark, layout.bronze, BRONZE, d)))
         # few invalid rows spread over many bronze files: shuffle only those
         # rows into a file count sized by the observed invalid count
