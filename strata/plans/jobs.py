@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.dates import run_date as _run_date
-from strata.operators.quality import check_null_rates, observed
+from strata.functions.text import empty_to_null
+from strata.operators.quality import check_null_rates, null_audit, observed
 from strata.operators.quarantine import flag_validity, invalid_rows
 from strata.operators.report import gold_report, sample_rows
 from strata.plans.layers import to_gold, to_silver
@@ -132,11 +133,19 @@ def transform_gold(spark: SparkSession, layout: Layout, run_date: str | dt.date,
     """Silver of ``run_date`` -> gold of ``run_date``.
 
     The NULL audit of the two keys is read off the groups themselves (NULL is
-    a group of its own), inside the write: no separate pass per column.
+    a group of its own), inside the write: no separate pass per column.  With
+    ``max_null_fraction`` set, the audit runs first instead (one aggregate over
+    the two key columns of silver), so a run that breaks the threshold fails
+    before it publishes its gold partition.
     """
     _require(silver=layout.silver, gold=layout.gold)
     d = _run_date(run_date)
     silver = read_table(spark, layout.silver, SILVER, d)
+    keys = [TYPE_COL, LOCATION_COL]
+    if max_null_fraction is not None:
+        audit = null_audit(silver.select(TYPE_COL, empty_to_null(LOCATION_COL).alias(LOCATION_COL)),
+                           keys).first().asDict()
+        check_null_rates(audit, keys, max_null_fraction)
     n = F.col(COUNT_COL)
     gold, obs = observed(to_gold(silver, d), "gold", {
         "groups": F.count(F.lit(1)),
@@ -145,10 +154,11 @@ def transform_gold(spark: SparkSession, layout: Layout, run_date: str | dt.date,
         f"nulls_{LOCATION_COL}": F.coalesce(F.sum(F.when(F.col(LOCATION_COL).isNull(), n)), F.lit(0)),
     })
     write_partition(gold, layout.gold, d)
-    sample = sample_rows(read_gold(spark, layout, d).drop(DATE_COL), [TYPE_COL, LOCATION_COL], 5)
+    sample = sample_rows(read_gold(spark, layout, d).drop(DATE_COL), keys, 5)
     metrics = {"date": d.isoformat(), **obs.get, "schema": gold.schema.simpleString(),
                "sample": [r.asDict() for r in sample.collect()]}
-    check_null_rates(metrics, [TYPE_COL, LOCATION_COL], max_null_fraction)
+    if max_null_fraction is None:
+        check_null_rates(metrics, keys)          # warn only
     return metrics
 
 

@@ -98,11 +98,14 @@ def test_empty_landing_writes_nothing(spark, tmp_root):
     assert read_table(spark, layout.bronze, BRONZE, D2).count() == 6   # left alone
 
 
-def test_null_threshold_can_fail_the_run(spark, tmp_root):
+def test_null_threshold_fails_before_publishing(spark, tmp_root):
     layout = jobs.Layout.under(tmp_root)
     land(spark, layout, D2, RECORDS)
-    with pytest.raises(DataQualityError):
+    with pytest.raises(DataQualityError, match="localizacao"):
         jobs.run(spark, layout, D2, max_null_fraction=0.1)
+    assert read_table(spark, layout.gold, GOLD, D2).count() == 0      # nothing published
+    _, m = jobs.run(spark, layout, D2, max_null_fraction=0.5)          # within the threshold
+    assert m["gold"]["n_rows"] == 5
 
 
 def test_missing_settings_and_columns(spark):
