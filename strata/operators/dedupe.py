@@ -45,7 +45,8 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str],
 
     The row kept is the first by ``order`` (Column sort expressions, e.g.
     ``F.col('updated_at').desc_nulls_last()``), then by every other column
-    ascending with NULLs first.
+    ascending with NULLs first.  Map and variant columns cannot be ordered and
+    take no part in the tie-break.
     """
     keys = list(keys)
     if not keys:

@@ -35,3 +35,14 @@ def test_stream_rebuilds_new_dates_once(spark, tmp_root):
     by_date = {d: gold.where(gold.date == d).groupBy().sum("quantity_of_breweries").first()[0]
                for d in (D1, D2)}
     assert by_date == {D1: 3, D2: 5}
+
+
+def test_command_line_stream(spark, tmp_root, capsys):
+    from strata.__main__ import main
+
+    layout = jobs.Layout.under(tmp_root)
+    land(spark, layout, D2, RECORDS)
+    assert main(["stream", "--root", tmp_root]) == 0
+    assert main(["stream", "--root", tmp_root]) == 0           # nothing new
+    lines = [ln for ln in capsys.readouterr().out.splitlines() if ln.startswith("{")]
+    assert lines == ['{"dates": ["2024-11-28"]}', '{"dates": []}']
