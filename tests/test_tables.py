@@ -59,6 +59,8 @@ def test_date_predicate_prunes_partitions(spark, tmp_root):
     df = read_table(spark, root, GOLD, D2).select("brewery_type")
     text = plan(df)
     assert "PartitionFilters: [isnotnull(date" in text and "2024-11-28" in text
+    # only the date's folder is listed, not the table root
+    assert "InMemoryFileIndex [" in text and "/g/date=2024-11-28]" in text
     assert "ReadSchema: struct<brewery_type:string>" in text
     assert df.count() == 1
 
