@@ -20,6 +20,9 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # partition values such as '007' must stay strings
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # the dedupe's pre-shuffle limit (WindowGroupLimit) needs this above 1;
+    # it is what keeps a hot key from reaching one task whole
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }
 
 
@@ -66,6 +69,8 @@ def cluster_settings(input_bytes: int, total_cores: int,
         **SESSION_DEFAULTS,
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        # coalesce to the advisory size, not to the cluster's parallelism
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         # the size check behind every broadcast: only sides estimated below it
