@@ -1,8 +1,9 @@
 """Command line: ``python -m strata <step> --root URI --date YYYY-MM-DD``.
 
 Steps: ``run`` (bronze >> silver >> gold, then the report), ``bronze``,
-``silver``, ``gold``, ``report`` (print the gold report of a date) and
-``stream`` (rebuild every date with newly landed pages).  The session comes
+``silver``, ``gold``, ``report`` (print the gold report of a date),
+``stream`` (rebuild every date with newly landed pages) and ``sql`` (run a
+query over the views landing, bronze, quarantine, silver and gold).  The session comes
 from ``spark-submit`` / the environment; set ``spark.checkpoint.dir`` to a
 shared folder on a cluster.
 """
@@ -16,14 +17,17 @@ import sys
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="strata")
-    ap.add_argument("step", choices=["run", "bronze", "silver", "gold", "report", "stream"])
+    ap.add_argument("step", choices=["run", "bronze", "silver", "gold", "report", "stream", "sql"])
+    ap.add_argument("query", nargs="?", help="SQL text for the sql step")
     ap.add_argument("--root", required=True, help="lake root; tables are <root>/<layer>")
     ap.add_argument("--date", help="run date, YYYY-MM-DD (all steps but stream)")
     ap.add_argument("--max-null-fraction", type=float, default=None)
     ap.add_argument("--rows", type=int, default=1000, help="report rows to print")
-    args = ap.parse_args(argv)
-    if args.step != "stream" and not args.date:
+    args = ap.parse_intermixed_args(argv)
+    if args.step not in ("stream", "sql") and not args.date:
         ap.error("--date is required")
+    if args.step == "sql" and not args.query:
+        ap.error("the sql step needs a query")
 
     from pyspark.sql import SparkSession
 
@@ -43,6 +47,9 @@ def main(argv: list[str] | None = None) -> int:
         out = jobs.transform_silver(spark, layout, args.date)
     elif args.step == "gold":
         out = jobs.transform_gold(spark, layout, args.date, args.max_null_fraction)
+    elif args.step == "sql":
+        jobs.register_views(spark, layout)
+        spark.sql(args.query).show(args.rows, truncate=False)
     elif args.step == "report":
         gold_report(spark, jobs.read_gold(spark, layout, args.date), args.date).show(args.rows, truncate=False)
     else:

@@ -24,6 +24,7 @@ from strata.plans.layers import to_gold, to_silver
 from strata.session import shared_dir
 from strata.sources.landing import (
     FIRST_GAP,
+    LANDED_TABLE,
     contiguous_prefix,
     page_counts,
     page_report,
@@ -167,6 +168,22 @@ def read_gold(spark: SparkSession, layout: Layout,
     return read_table(spark, layout.gold, GOLD, run_date)
 
 
+def register_views(spark: SparkSession, layout: Layout) -> list[str]:
+    """Temp views ``landing``, ``bronze``, ``quarantine``, ``silver`` and ``gold``
+    over all dates, under their declared schemas, for ad-hoc SQL; a ``date``
+    predicate prunes partitions."""
+    tables = {
+        "landing": (layout.landing, LANDED_TABLE, "json"),
+        "bronze": (layout.bronze, BRONZE, "parquet"),
+        "quarantine": (layout.quarantine, QUARANTINE, "json"),
+        "silver": (layout.silver, SILVER, "parquet"),
+        "gold": (layout.gold, GOLD, "parquet"),
+    }
+    for name, (root, schema, fmt) in tables.items():
+        read_table(spark, root, schema, fmt=fmt).createOrReplaceTempView(name)
+    return list(tables)
+
+
 def run(spark: SparkSession, layout: Layout, run_date: str | dt.date,
         max_null_fraction: float | None = None) -> tuple[DataFrame, dict]:
     """extract >> bronze >> silver >> gold for one date, then the report.
@@ -183,4 +200,5 @@ def run(spark: SparkSession, layout: Layout, run_date: str | dt.date,
     return gold_report(spark, read_gold(spark, layout, d), d), metrics
 
 
-__all__ = ["Layout", "load_bronze", "read_gold", "run", "transform_gold", "transform_silver"]
+__all__ = ["Layout", "load_bronze", "read_gold", "register_views", "run",
+           "transform_gold", "transform_silver"]

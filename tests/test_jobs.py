@@ -129,3 +129,21 @@ def test_command_line_run_and_report(spark, tmp_root, capsys):
     assert main(["report", "--root", tmp_root, "--date", D2.isoformat()]) == 0
     out = capsys.readouterr().out
     assert "Bend, Oregon" in out and '"n_rows": 5' in out
+
+
+def test_views_answer_the_report_query(spark, tmp_root, capsys):
+    from strata.__main__ import main
+
+    layout = jobs.Layout.under(tmp_root)
+    land(spark, layout, D1, RECORDS[:2])
+    jobs.run(spark, layout, D1)
+    land(spark, layout, D2, RECORDS)
+    report, _ = jobs.run(spark, layout, D2)
+    assert jobs.register_views(spark, layout) == ["landing", "bronze", "quarantine", "silver", "gold"]
+    text = ("SELECT brewery_type, localizacao, quantity_of_breweries FROM gold "
+            "WHERE date = '2024-11-28' ORDER BY brewery_type, localizacao")
+    assert spark.sql(text).collect() == report.collect()
+    assert spark.sql("SELECT count(*) FROM bronze").first()[0] == 8          # both dates
+    assert spark.sql("SELECT count(*) FROM quarantine WHERE date = '2024-11-28'").first()[0] == 2
+    assert main(["sql", "--root", tmp_root, "SELECT date, count(*) AS n FROM silver GROUP BY date"]) == 0
+    assert "2024-11-27" in capsys.readouterr().out
