@@ -154,20 +154,23 @@ def _events_landed_with_gap(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events")
     records = events_as_records(events, PAGE_SIZE)
     n_pages = events.agg((F.floor(F.max("event_id") / PAGE_SIZE) + 1).cast("int")).scalar()
-    landing = scratch_path(spark, "landing")
+    landing = scratch_path(spark, "landing")        # also sets the checkpoint folder
     land_pages(records.where(F.col(PAGE_COL) != F.floor((n_pages + 1) / 2)), landing, RUN_DATE)
     return read_landed(spark, landing, RUN_DATE)
 
 
 def q_paged_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Ingest keeps the pages before the gap."""
-    return (contiguous_prefix(_events_landed_with_gap(spark, sf))
+    """Ingest keeps the pages before the gap (page counts checkpointed in the
+    shared folder, so the landing is parsed once for the gap)."""
+    landed = _events_landed_with_gap(spark, sf)
+    counts = page_counts(landed).checkpoint()
+    return (contiguous_prefix(landed, counts=counts)
             .select("id", TYPE_COL, "name", "updated_at", PAGE_COL))
 
 
 def q_page_gap_report(spark: SparkSession, sf: str) -> DataFrame:
     """What the gap left out: one row of page and row counts."""
-    return page_report(page_counts(_events_landed_with_gap(spark, sf)))
+    return page_report(page_counts(_events_landed_with_gap(spark, sf)).checkpoint())
 
 
 def q_bronze_quarantine(spark: SparkSession, sf: str) -> DataFrame:

@@ -72,10 +72,15 @@ def first_gap(counts: DataFrame) -> DataFrame:
          .otherwise(F.lit(1)).cast("int").alias(FIRST_GAP))
 
 
-def contiguous_prefix(records: DataFrame, gap: int | None = None) -> DataFrame:
+def contiguous_prefix(records: DataFrame, gap: int | None = None,
+                      counts: DataFrame | None = None) -> DataFrame:
     """Records of pages 1 .. first_gap - 1.  Pass ``gap`` when it is already
-    known (from :func:`page_report`) to skip the subquery."""
-    bound = F.lit(gap) if gap is not None else first_gap(page_counts(records)).scalar()
+    known (from :func:`page_report`), or ``counts`` (materialised
+    :func:`page_counts`) so the gap subquery does not re-read the records."""
+    if gap is not None:
+        bound = F.lit(gap)
+    else:
+        bound = first_gap(counts if counts is not None else page_counts(records)).scalar()
     return records.where(F.col(PAGE_COL) < bound)
 
 
