@@ -23,6 +23,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--date", help="run date, YYYY-MM-DD (all steps but stream)")
     ap.add_argument("--max-null-fraction", type=float, default=None)
     ap.add_argument("--rows", type=int, default=1000, help="report rows to print")
+    ap.add_argument("--keep-after-gap", action="store_true",
+                    help="ingest every landed page even past a missing one")
     args = ap.parse_intermixed_args(argv)
     if args.step not in ("stream", "sql") and not args.date:
         ap.error("--date is required")
@@ -39,10 +41,11 @@ def main(argv: list[str] | None = None) -> int:
     layout = jobs.Layout.under(args.root)
     out: dict = {}
     if args.step == "run":
-        report, out = jobs.run(spark, layout, args.date, args.max_null_fraction)
+        report, out = jobs.run(spark, layout, args.date, args.max_null_fraction,
+                               stop_at_gap=not args.keep_after_gap)
         report.show(args.rows, truncate=False)
     elif args.step == "bronze":
-        out = jobs.load_bronze(spark, layout, args.date)
+        out = jobs.load_bronze(spark, layout, args.date, stop_at_gap=not args.keep_after_gap)
     elif args.step == "silver":
         out = jobs.transform_silver(spark, layout, args.date)
     elif args.step == "gold":

@@ -71,10 +71,14 @@ def _require(**settings: object) -> None:
         raise ValueError(f"Required settings not set: {', '.join(missing)}")
 
 
-def load_bronze(spark: SparkSession, layout: Layout, run_date: str | dt.date) -> dict:
+def load_bronze(spark: SparkSession, layout: Layout, run_date: str | dt.date,
+                stop_at_gap: bool = True) -> dict:
     """Landed pages of ``run_date`` -> bronze (all rows of the contiguous page
     prefix) + quarantine (copy of the rows whose longitude is not numeric).
 
+    ``stop_at_gap=False`` ingests every landed page that has a page number,
+    gap or not; the gap is reported either way.
+
     Nothing is written when the prefix is empty.  The quarantine is rebuilt
     from the bronze Parquet just written (not from the JSON landing), and
     is replaced even when it is empty, so a rerun never leaves stale rows.
@@ -93,11 +97,13 @@ def load_bronze(spark: SparkSession, layout: Layout, run_date: str | dt.date) ->
     if pages["rows_without_page"]:
         log.warning("%s landed rows carry no page number (malformed lines)",
                     pages["rows_without_page"])
-    if gap <= 1 or not pages["rows_kept"]:
+    kept = pages["rows_kept"] if stop_at_gap else pages["rows_total"] - pages["rows_without_page"]
+    if not kept:
         log.warning("nothing landed for %s before the first gap; bronze left as it is", d)
         return {**metrics, "rows": 0, "invalid": 0, "written": False}
 
-    records = contiguous_prefix(landed, gap).drop(PAGE_COL, DATE_COL)
+    records = (contiguous_prefix(landed, gap) if stop_at_gap
+               else landed.where(F.col(PAGE_COL).isNotNull())).drop(PAGE_COL, DATE_COL)
     flagged, obs = observed(flag_validity(records), "bronze", {
         "rows": F.count(F.lit(1)),
         "invalid": F.count_if(~F.col(VALID_FLAG)),
@@ -185,14 +191,15 @@ def register_views(spark: SparkSession, layout: Layout) -> list[str]:
 
 
 def run(spark: SparkSession, layout: Layout, run_date: str | dt.date,
-        max_null_fraction: float | None = None) -> tuple[DataFrame, dict]:
+        max_null_fraction: float | None = None,
+        stop_at_gap: bool = True) -> tuple[DataFrame, dict]:
     """extract >> bronze >> silver >> gold for one date, then the report.
 
     Rerunning a date rewrites the same four partitions and nothing else.
     Returns the report DataFrame (lazy) and the metrics of every step.
     """
     d = _run_date(run_date)
-    metrics = {"bronze": load_bronze(spark, layout, d)}
+    metrics = {"bronze": load_bronze(spark, layout, d, stop_at_gap)}
     if not metrics["bronze"]["written"]:
         return gold_report(spark, read_gold(spark, layout, d), d), metrics
     metrics["silver"] = transform_silver(spark, layout, d)

@@ -35,7 +35,8 @@ def landed_dates(batch: DataFrame) -> list:
 def chain_for_new_pages(spark: SparkSession, layout: jobs.Layout, checkpoint: str,
                         max_null_fraction: float | None = None,
                         on_date: Callable[[object, dict], None] | None = None,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        max_files_per_trigger: int | None = None,
+                        stop_at_gap: bool = True) -> StreamingQuery:
     """Start the stream; returns the query (``awaitTermination()`` to wait).
 
     ``checkpoint`` must be a folder shared by the cluster (e.g. under
@@ -49,7 +50,7 @@ def chain_for_new_pages(spark: SparkSession, layout: jobs.Layout, checkpoint: st
 
     def rebuild(batch: DataFrame, epoch: int) -> None:
         for d in landed_dates(batch):
-            _, metrics = jobs.run(spark, layout, d, max_null_fraction)
+            _, metrics = jobs.run(spark, layout, d, max_null_fraction, stop_at_gap)
             log.info("epoch %s rebuilt %s: %s", epoch, d, metrics)
             if on_date:
                 on_date(d, metrics)

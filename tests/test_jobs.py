@@ -147,3 +147,14 @@ def test_views_answer_the_report_query(spark, tmp_root, capsys):
     assert spark.sql("SELECT count(*) FROM quarantine WHERE date = '2024-11-28'").first()[0] == 2
     assert main(["sql", "--root", tmp_root, "SELECT date, count(*) AS n FROM silver GROUP BY date"]) == 0
     assert "2024-11-27" in capsys.readouterr().out
+
+
+def test_gap_stops_ingest_unless_told_otherwise(spark, tmp_root):
+    layout = jobs.Layout.under(tmp_root)
+    gapped = [r if r["page"] == 1 else {**r, "page": 3} for r in RECORDS]    # page 2 lost
+    land(spark, layout, D2, gapped)
+    m = jobs.load_bronze(spark, layout, D2)
+    assert (m["first_gap"], m["rows"], m["rows_after_gap"]) == (2, 3, 3)
+    m = jobs.load_bronze(spark, layout, D2, stop_at_gap=False)
+    assert (m["first_gap"], m["rows"]) == (2, 6)
+    assert read_table(spark, layout.bronze, BRONZE, D2).count() == 6
