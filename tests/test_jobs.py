@@ -158,3 +158,11 @@ def test_gap_stops_ingest_unless_told_otherwise(spark, tmp_root):
     m = jobs.load_bronze(spark, layout, D2, stop_at_gap=False)
     assert (m["first_gap"], m["rows"]) == (2, 6)
     assert read_table(spark, layout.bronze, BRONZE, D2).count() == 6
+
+
+def test_roots_are_uris(spark, tmp_root):
+    layout = jobs.Layout.under(f"file://{tmp_root}/")
+    land(spark, layout, D2, RECORDS)
+    report, m = jobs.run(spark, layout, D2)
+    assert m["gold"]["n_rows"] == 5 and len(report.collect()) == 4
+    assert layout.gold == f"file://{tmp_root}/gold"
