@@ -8,7 +8,9 @@ Plan: ``row_number() over (partition by keys order by ...) = 1``.  Catalyst turn
 the rank filter into a *partial* ``WindowGroupLimit`` before the shuffle and a
 final one after it, so each map task forwards at most one row per key.  A key
 that holds a third of all rows therefore reaches its reducer as one row per map
-task, never as the whole group.
+task, never as the whole group.  The price is one local sort per map task,
+paid even when duplicates are rare; Spark has no hash-based partial form of
+"first row by an order" over string columns.
 """
 
 from __future__ import annotations
