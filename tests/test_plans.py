@@ -59,3 +59,14 @@ def test_dedupes_limit_before_the_shuffle(plans):
 
 def test_sample_is_take_ordered(plans):
     assert "TakeOrderedAndProject" in plans["sample_rows"]
+
+
+def test_one_shuffle_per_layer(spark):
+    from strata.plans.layers import to_gold, to_silver
+    from strata.plans.shapes import pages_as_records, part_as_entities, table
+
+    silver = to_silver(pages_as_records(table(spark, SF001, "pages")).drop("page"), "2024-11-28")
+    gold = to_gold(part_as_entities(table(spark, SF001, "part")), "2024-11-28")
+    for df in (silver, gold):
+        text = plan(df, "simple")
+        assert text.count("Exchange ") == 1, text
