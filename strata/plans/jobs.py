@@ -103,7 +103,7 @@ def load_bronze(spark: SparkSession, layout: Layout, run_date: str | dt.date,
         return {**metrics, "rows": 0, "invalid": 0, "written": False}
 
     records = (contiguous_prefix(landed, gap) if stop_at_gap
-               else landed.where(F.col(PAGE_COL).isNotNull())).drop(PAGE_COL, DATE_COL)
+               else landed.where(F.col(PAGE_COL) >= 1)).drop(PAGE_COL, DATE_COL)
     flagged, obs = observed(flag_validity(records), "bronze", {
         "rows": F.count(F.lit(1)),
         "invalid": F.count_if(~F.col(VALID_FLAG)),

@@ -48,6 +48,11 @@ def land_pages(records: DataFrame, landing: str, run_date: str | dt.date) -> str
     return path
 
 
+def _valid_page() -> Column:
+    """Page numbers start at 1; NULL, 0 and negatives are no page number."""
+    return F.col(PAGE_COL) >= 1
+
+
 def page_counts(records: DataFrame) -> DataFrame:
     """Rows per page number (NULL page included): a partial/final hash
     aggregate, so only one row per page and map task is shuffled.  About one
@@ -62,7 +67,7 @@ def first_gap(counts: DataFrame) -> DataFrame:
     1 when page 1 is absent; otherwise the smallest ``p + 1`` (``p`` present)
     that is not present, found by an anti-join of the page set with itself.
     """
-    pages = counts.select(PAGE_COL)
+    pages = counts.where(_valid_page()).select(PAGE_COL)
     after_present = (pages.select((F.col(PAGE_COL) + 1).alias(PAGE_COL))
                           .join(pages, PAGE_COL, "left_anti")
                           .agg(F.min(PAGE_COL).alias(FIRST_GAP)))
@@ -81,13 +86,13 @@ def contiguous_prefix(records: DataFrame, gap: int | None = None,
         bound = F.lit(gap)
     else:
         bound = first_gap(counts if counts is not None else page_counts(records)).scalar()
-    return records.where(F.col(PAGE_COL) < bound)
+    return records.where(_valid_page() & (F.col(PAGE_COL) < bound))
 
 
 def page_report(counts: DataFrame) -> DataFrame:
     """One row from :func:`page_counts`: the first gap, pages present and
-    beyond the gap, rows in total, kept, beyond the gap and without a page
-    number.  Materialise ``counts`` first (``checkpoint()``) when the records
+    beyond the gap, rows in total, kept, beyond the gap and without a valid
+    page number (NULL or below 1).  Materialise ``counts`` first (``checkpoint()``) when the records
     are expensive to re-read: every part of the report reads it."""
     gap = first_gap(counts).scalar()
     page = F.col(PAGE_COL)
@@ -96,11 +101,12 @@ def page_report(counts: DataFrame) -> DataFrame:
     def total(c):
         return F.coalesce(F.sum(c), F.lit(0)).cast("long")
 
+    valid = F.coalesce(_valid_page(), F.lit(False))
     return counts.agg(
-        F.count(page).alias("pages_present"),
+        F.count_if(valid).alias("pages_present"),
         F.count_if(page > gap).alias("pages_after_gap"),
         total(rows).alias("rows_total"),
-        total(F.when(page < gap, rows)).alias("rows_kept"),
+        total(F.when(valid & (page < gap), rows)).alias("rows_kept"),
         total(F.when(page > gap, rows)).alias("rows_after_gap"),
-        total(F.when(page.isNull(), rows)).alias("rows_without_page"),
+        total(F.when(~valid, rows)).alias("rows_without_page"),
     ).select(gap.alias(FIRST_GAP), "*")

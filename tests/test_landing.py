@@ -69,3 +69,11 @@ def test_malformed_lines_are_counted_not_ingested(spark, tmp_root):
     assert kept["2"].tag_list is None and kept["2"].name == "n2"     # only the bad field is lost
     r = page_report(page_counts(landed)).first()
     assert (r.rows_total, r.rows_kept, r.rows_without_page) == (4, 3, 1)
+
+
+def test_pages_below_one_are_no_page(spark, tmp_root):
+    land_raw(tmp_root, {0: [rec(0)], -3: [rec(9)], 1: [rec(1)], 2: [rec(2)]})
+    landed = read_landed(spark, tmp_root, D)
+    assert sorted(r.id for r in contiguous_prefix(landed).collect()) == ["1", "2"]
+    r = page_report(page_counts(landed)).first()
+    assert (r.first_gap, r.pages_present, r.rows_kept, r.rows_without_page) == (3, 2, 2, 2)
