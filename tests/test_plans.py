@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as E
+from strata.plans.catalog import QUERIES
 from tests.conftest import SF001
 from tests.plans import plan
 
@@ -16,14 +16,14 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduc
 @pytest.fixture(scope="module")
 def plans(spark):
     out = {}
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, SF001)
         df.write.format("noop").mode("overwrite").save()    # final adaptive plan
         out[name] = plan(df, "formatted") + plan(df, "simple")
     return out
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_python_no_cross_join(plans, name):
     for bad in FORBIDDEN:
         assert bad not in plans[name], (name, bad)
