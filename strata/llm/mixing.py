@@ -57,28 +57,56 @@ def _uniforms(tag: str, n: int) -> np.ndarray:
     return np.random.default_rng(seed).random(n)
 
 
+def _open(f: float) -> bool:
+    return _EPS < f < 1 - _EPS
+
+
 def pivotal(frac: np.ndarray, size: np.ndarray, coins: np.ndarray) -> int:
-    """Round ``frac`` in place, pair by pair; returns the position still open, or -1."""
+    """Round ``frac`` in place; returns the position still open, or -1.
+
+    Documents come by falling size.  Each one's partner is the shortest run of
+    open documents after it that can give or take all the words it needs, so
+    the larger one is settled and what stays open in the end is small.  Where
+    the rest cannot (the tail), partners are single documents.
+    """
+    f, s = frac.tolist(), size.tolist()
+    todo = [i for i in range(len(f)) if _open(f[i])]
+    pos = 0
+    for pos, i in enumerate(todo):
+        if not _open(f[i]):
+            continue
+        up, down, give, room, k, run = (1 - f[i]) * s[i], f[i] * s[i], 0.0, 0.0, pos + 1, []
+        while k < len(todo) and (give < up or room < down):
+            j = todo[k]
+            if _open(f[j]):
+                give, room = give + f[j] * s[j], room + (1 - f[j]) * s[j]
+                run.append(j)
+            k += 1
+        if give < up or room < down:
+            break
+        if coins[i] < f[i]:
+            f[i] = 1.0
+            for j in run:
+                f[j] *= 1 - up / give
+        else:
+            f[i] = 0.0
+            for j in run:
+                f[j] += (1 - f[j]) * down / room
     held = -1
-    for i in range(len(frac)):
-        if not _EPS < frac[i] < 1 - _EPS:
-            frac[i] = round(frac[i])
+    for i in todo[pos:]:
+        if not _open(f[i]):
             continue
         if held < 0:
             held = i
             continue
-        h, s, t = held, size[held], size[i]
-        up = min((1 - frac[h]) * s, frac[i] * t)        # words from i to h
-        down = min(frac[h] * s, (1 - frac[i]) * t)      # words from h to i
+        h = held
+        up = min((1 - f[h]) * s[h], f[i] * s[i])        # words from i to h
+        down = min(f[h] * s[h], (1 - f[i]) * s[i])      # words from h to i
         move = up if coins[i] * (up + down) < down else -down
-        frac[h] += move / s
-        frac[i] -= move / t
-        h_open, i_open = _EPS < frac[h] < 1 - _EPS, _EPS < frac[i] < 1 - _EPS
-        if not h_open:
-            frac[h] = round(frac[h])
-        if not i_open:
-            frac[i] = round(frac[i])
-        held = h if h_open else i if i_open else -1
+        f[h] += move / s[h]
+        f[i] -= move / s[i]
+        held = h if _open(f[h]) else i if _open(f[i]) else -1
+    frac[:] = [x if _open(x) else float(round(x)) for x in f]
     return held
 
 

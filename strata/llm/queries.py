@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, simhash, toxicity
+from strata.llm import langid, logbilinear, mixing, simhash, toxicity, warc
 from strata.llm.common import fold, table
+from strata.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,15 +30,37 @@ def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents")).drop("uid")
 
 
+def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(fold("doc_id", 4) != 2))
+    found = langid.identify(model, F.col("text"))
+    return (docs.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), found.alias("found"))
+            .select("doc_id", "held_out", "found.lang_pred", "found.score"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"), max_bits=3, shingle=3).select(
         "doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_warc_revisits(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.deduplicated_archive(table(spark, sf, "pages"), scratch_path(spark, "warc"))
+
+
+def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = logbilinear.score_documents(docs, docs.where(fold("doc_id", 5) != 1))
+    return scored.select("doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op4_mixing": op4_mixing,
+    "op7_language_id": op7_language_id,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_warc_revisits": op9_warc_revisits,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE: dict[str, str] = {}
