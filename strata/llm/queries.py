@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import langid, logbilinear, mixing, simhash, toxicity, warc
+import corpus_pipeline
+from strata.llm import (
+    decontaminate,
+    langid,
+    licenses,
+    logbilinear,
+    mixing,
+    pii,
+    simhash,
+    syncmers,
+    toxicity,
+    warc,
+)
 from strata.llm.common import fold, table
 from strata.session import scratch_path
 
@@ -26,10 +38,26 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(table(spark, sf, "documents"))
+
+
+def op3_pii_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf, "documents").select("doc_id", "text"), counts="n_replaced")
+
+
 def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents")).drop("uid")
 
 
+def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op6_syncmer_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.where(fold("doc_id", 4) != 2))
@@ -56,11 +84,45 @@ def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_license_scan": op2_license_scan,
+    "op3_pii_pseudonyms": op3_pii_pseudonyms,
     "op4_mixing": op4_mixing,
+    "op5_decontamination": op5_decontamination,
+    "op6_syncmer_fingerprints": op6_syncmer_fingerprints,
     "op7_language_id": op7_language_id,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_warc_revisits": op9_warc_revisits,
     "op10_lm_scoring": op10_lm_scoring,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+# Queries that SQL can express; the others are tested by brute force.
+_WORDS = r"regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TYPE = "octet_length(encode(html)) >= 100 AND page_id <> first_id"
+
+ORACLE: dict[str, str] = {
+    "op5_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS gram
+        FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+at AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS gram
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n)),
+hit AS (SELECT doc_id, item_id, s, at.n FROM at JOIN win USING (gram) WHERE at.n = win.n),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+        FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)""",
+    "op9_warc_revisits": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_id FROM p)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN {_TYPE} THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN {_TYPE} THEN first_id END AS refers_to
+FROM f""",
+}
