@@ -107,9 +107,9 @@ b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
 win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS gram
         FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT n FROM win),
-at AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS gram
+phrases AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS gram
        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n)),
-hit AS (SELECT doc_id, item_id, s, at.n FROM at JOIN win USING (gram) WHERE at.n = win.n),
+hit AS (SELECT doc_id, item_id, s, p.n FROM phrases p JOIN win USING (gram) WHERE p.n = win.n),
 pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit
         FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY doc_id),
 its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
