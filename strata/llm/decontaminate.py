@@ -13,9 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import PLAIN_WORD, ascii_lower, stored, whole_text, words_of
+from strata.llm.common import PLAIN_WORD, stored, whole_text, words_of
 
 WINDOW = 10
+SLOTS = 1 << 18                 # of text hashes, when texts are fetched for comparison
+ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"    # PLAIN_WORD before lower-casing
 
 
 def _hash(c: str = "text") -> Column:
@@ -86,33 +88,59 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     comes back once, repeated rows too.
     """
     items = stored(_items(benchmark), "items")
+    hits = _hits(docs, items, window)
+    _, asked, rest = _fetched(docs, hits)
+    joined = asked.join(hits, asked["doc_id"].eqNullSafe(hits["__id"]) & (asked["__key"] == hits["__hash"]), "left")
+    columns = [*[F.col(f"`{c}`") for c in docs.columns],
+               F.regexp_count(whole_text("text"), F.lit(ANY_CASE_WORD)).cast("long").alias("__words")]
+    no_hits, no_items = F.array().cast("array<int>"), F.array().cast("array<string>")
+    return joined.select(*columns, F.coalesce("__hits", no_hits).alias("__hits"),
+                         F.coalesce("__items", no_items).alias("__items")
+                         ).unionByName(rest.select(*columns, no_hits.alias("__hits"), no_items.alias("__items")))
+
+
+def _fetched(docs: DataFrame, named: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``docs`` with its text hash ``__key``: all rows, those that may be named
+    by ``named(__id, __hash)``, and the rest.  A row may be named if the slot of
+    its hash is; slots are a table of at most ``SLOTS`` numbers whatever the
+    input, so texts are shuffled for the named documents and few more."""
+    slots = stored(named.select(F.pmod("__hash", F.lit(SLOTS)).cast("int").alias("__slot")).distinct(), "slots")
+    here = docs.withColumn("__key", _hash()).withColumn("__at", F.pmod("__key", F.lit(SLOTS)).cast("int"))
+    match = here["__at"] == slots["__slot"]
+    return (here, here.join(F.broadcast(slots), match, "left_semi"),
+            here.join(F.broadcast(slots), match, "left_anti"))
+
+
+def _hits(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """``__id, __hash, __hits, __items`` of the documents in which a window
+    occurs: the aligned candidates, compared with the document word by word."""
     found = stored(_aligned(docs, items, window).join(items, "item_key")
                    .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(
                        "item_id", "shift", F.col("words").alias("item"))).alias("candidates"))
                    .withColumnRenamed("doc_id", "__id").withColumnRenamed("text_hash", "__hash"), "aligned")
-    here = docs.withColumn("__key", _hash())
-    joined = here.join(found, here["doc_id"].eqNullSafe(found["__id"]) & (here["__key"] == found["__hash"]), "left")
-    words = F.when(F.col("candidates").isNotNull(), words_of(whole_text("text"), PLAIN_WORD))
-    joined = joined.withColumn("__list", words).withColumn(
-        "__words", F.regexp_count(ascii_lower(whole_text("text")), F.lit(PLAIN_WORD)).cast("long"))
-
-    def occurring(c: Column) -> Column:
-        """Document positions where a window of the candidate's item starts."""
-        length = F.least(F.size(c["item"]), F.lit(window))
-        first, last = F.greatest(F.lit(0), -c["shift"]), F.size(c["item"]) - length
-        return F.struct(c["item_id"].alias("item_id"), length.alias("length"), F.transform(F.filter(
-            F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>")),
-            lambda s: F.slice("__list", c["shift"] + s + 1, length) == F.slice(c["item"], s + 1, length)),
-            lambda s: c["shift"] + s).alias("starts"))
-
-    hit = F.filter(F.transform("candidates", occurring), lambda o: F.size(o["starts"]) > 0)
-    marked = joined.withColumn("__found", F.coalesce(hit, F.array()))
-    spans = F.flatten(F.transform("__found", lambda o: F.flatten(F.transform(
-        o["starts"], lambda s: F.sequence(s, s + o["length"] - 1)))))
-    return marked.select(
-        *[F.col(f"`{c}`") for c in docs.columns], "__words",
-        F.sort_array(F.array_distinct(spans)).alias("__hits"),
-        F.sort_array(F.array_distinct(F.transform("__found", lambda o: o["item_id"]))).alias("__items"))
+    _, asked, _ = _fetched(docs.select("doc_id", "text"), found)
+    read = (asked.join(found, asked["doc_id"].eqNullSafe(found["__id"]) & (asked["__key"] == found["__hash"]))
+            .dropDuplicates(["__id", "__hash"])
+            .select("__id", "__hash", "candidates", words_of(whole_text("text"), PLAIN_WORD).alias("words")))
+    # words near a candidate are cut out beside its document, one candidate a row
+    each = read.select("__id", "__hash", "words", F.explode("candidates").alias("c"))
+    low = F.greatest(F.lit(0), F.col("c.shift"))
+    skipped = low - F.col("c.shift")
+    cut = each.select(
+        "__id", "__hash", "c.item_id", low.alias("low"), F.least(F.size("c.item"), F.lit(window)).alias("length"),
+        F.slice("words", low + 1, F.greatest(F.lit(0), F.size("c.item") - skipped)).alias("near"),
+        F.slice("c.item", skipped + 1, F.size("c.item")).alias("item"))
+    same = F.zip_with("near", F.slice("item", F.lit(1), F.size("near")), lambda a, b: a == b)
+    at = cut.withColumn("same", same).withColumn("starts", F.filter(
+        F.when(F.size("near") >= F.col("length"), F.sequence(F.lit(0), F.size("near") - F.col("length")))
+        .otherwise(F.array().cast("array<int>")),
+        lambda s: ~F.array_contains(F.slice("same", s + 1, F.col("length")), False)))
+    spans = F.flatten(F.transform("starts", lambda s: F.sequence(
+        F.col("low") + s, F.col("low") + s + F.col("length") - 1)))
+    return stored(at.where(F.size("starts") > 0).select("__id", "__hash", "item_id", F.explode(
+        F.array_distinct(spans)).alias("p"))
+        .groupBy("__id", "__hash").agg(F.sort_array(F.collect_set("p")).alias("__hits"),
+                                       F.sort_array(F.collect_set("item_id")).alias("__items")), "hits")
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

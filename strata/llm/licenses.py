@@ -77,6 +77,11 @@ def _classes(sizes: list[int]) -> dict[int, int]:
     return out
 
 
+def _gram_hash(words: str | Column, first: Column, size: int) -> Column:
+    """Hash of ``size`` words of an array from index ``first`` on."""
+    return F.xxhash64(*[F.get(words, first + j) for j in range(size)])
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, shingle: int = SHINGLE,
          bands: int = BANDS, similarity: float = SIMILARITY) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, license, containment, position``: per
@@ -93,7 +98,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, shingle: int
     window_of = _classes([len(g) for g in known.values()])
     plan = spark.createDataFrame(
         [(k, g, window_of[len(g)]) for k, g in known.items()], "license string, grams array<string>, win int")
-    hashed = plan.withColumn("hashes", F.transform("grams", lambda g: F.xxhash64(F.split(g, " "))))
+    hashed = plan.withColumn("hashes", F.transform("grams", lambda g: _gram_hash(F.split(g, " "), F.lit(0), shingle)))
 
     def minhash(hashes: Column, band: int) -> Column:
         return F.transform(hashes, lambda h: F.xxhash64(h, F.lit(band)))
@@ -105,14 +110,15 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, shingle: int
     for r in keys.select("band", "low").collect():          # templates x bands
         lows[r.band].append(r.low)
     rows = (docs.select("doc_id", words_of(whole_text("text"), PLAIN_WORD).alias("words"))
-            .where(F.size("words") >= shingle)
-            .withColumn("hashes", F.transform(F.sequence(F.lit(1), F.size("words") - (shingle - 1)),
-                                              lambda i: F.xxhash64(F.slice("words", i, F.lit(shingle)))))
+            .withColumn("hashes", F.transform(
+                F.when(F.size("words") >= shingle, F.sequence(F.lit(1), F.size("words") - (shingle - 1)))
+                .otherwise(F.array().cast("array<int>")), lambda i: _gram_hash("words", i - 1, shingle)))
             .select("doc_id", "words", "hashes", *[minhash(F.col("hashes"), b).alias(f"m{b}") for b in range(bands)]))
     wins = rows.select("*", F.explode(F.array(*[F.struct(F.lit(w).alias("win"), F.lit(max(1, w // 4)).alias("step"))
                                                 for w in sorted(set(window_of.values()))])).alias("class"))
     each = wins.select("doc_id", "words", *[f"m{b}" for b in range(bands)], F.col("class.win").alias("win"), F.explode(
-        F.sequence(F.lit(1), F.size("hashes"), F.col("class.step"))).alias("at"))
+        F.when(F.size("hashes") > 0, F.sequence(F.lit(1), F.size("hashes"), F.col("class.step")))
+        .otherwise(F.array().cast("array<int>"))).alias("at"))
 
     def low(b: int) -> Column:
         return F.array_min(F.slice(f"m{b}", F.col("at"), F.col("win")))
