@@ -42,12 +42,15 @@ def tiebreak_columns(df: DataFrame, exclude: Iterable[str]) -> list[Column]:
 
 
 def dedupe_by_key(df: DataFrame, keys: Sequence[str],
-                  order: Sequence[Column | str] = ()) -> DataFrame:
+                  order: Sequence[Column | str] = (), ordered: Sequence[str] = (),
+                  hash_first: bool = False) -> DataFrame:
     """One row per distinct ``keys`` value (all-NULL keys form one group).
 
     The row kept is the first by ``order`` (Column sort expressions, e.g.
     ``F.col('updated_at').desc_nulls_last()``), then by every other column
-    ascending with NULLs first.  Map and variant columns cannot be ordered and
+    ascending with NULLs first; ``ordered`` names columns that ``order`` already
+    settles.  With ``hash_first`` rows are partitioned by (hash of the keys,
+    keys): as exact, and long texts are compared by eight bytes first.  Map and variant columns cannot be ordered and
     take no part in the tie-break.
     """
     keys = list(keys)
@@ -57,8 +60,10 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str],
     if missing:
         raise ValueError(f"key columns not found: {missing}")
     sort = [F.col(o) if isinstance(o, str) else o for o in order]
-    sort += tiebreak_columns(df, keys)
-    w = Window.partitionBy(*keys).orderBy(*sort)
+    named = [o for o in order if isinstance(o, str)]
+    sort += tiebreak_columns(df, [*keys, *named, *ordered])
+    parts = [F.xxhash64(*keys), *keys] if hash_first else keys
+    w = Window.partitionBy(*parts).orderBy(*sort)
     return (df.withColumn(_RANK, F.row_number().over(w))
               .where(F.col(_RANK) == 1)
               .drop(_RANK))

@@ -14,9 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.dates import date_literal, day_label, stamp_date
+from strata.functions.dates import day_label, stamp_date
 from strata.functions.numeric import is_float_text, lenient_float
 from strata.functions.text import fill_null, location_label
+from strata.operators.aggregate import group_count
 from strata.operators.dedupe import dedupe_by_key
 from strata.operators.quality import invalid_count, null_audit
 from strata.operators.quarantine import quarantine_of
@@ -34,22 +35,26 @@ from strata.plans.shapes import (
 )
 from strata.session import scratch_path
 from strata.sources.landing import (
-    contiguous_prefix,
     land_pages,
     page_counts,
+    page_of,
     page_report,
     read_landed,
 )
 from strata.sources.schemas import (
+    BRONZE,
+    CORRUPT,
     COUNT_COL,
+    DATE_COL,
     GOLD,
     LOCATION_COL,
     PAGE_COL,
     QUARANTINE,
+    RECORD_FIELDS,
     TYPE_COL,
     VALID_FLAG,
 )
-from strata.sources.tables import read_table, write_partition
+from strata.sources.tables import partition_path, read_table, write_partition
 
 # Fixed parameters of the registered queries.
 RUN_DATE = dt.date(2024, 11, 28)        # the date stamped on written partitions
@@ -69,15 +74,14 @@ def q_sample_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_dated_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Gold of one day of events (type = event_type, location = user), then
-    the report SQL with its date predicate."""
-    start = date_literal(REPORT_DATE).cast("timestamp_ntz")
-    end = date_literal(REPORT_DATE + dt.timedelta(days=1)).cast("timestamp_ntz")
-    day = (table(spark, sf, "events")
-           .where((F.col("ts") >= start) & (F.col("ts") < end))
-           .select(F.col("event_type").alias(TYPE_COL),
-                   F.col("user_id").cast("string").alias(LOCATION_COL)))
-    return gold_report(spark, to_gold(day, REPORT_DATE), REPORT_DATE)
+    """Gold of every day of events (type = event_type, location = user) on
+    disk, then the report SQL over one date of it."""
+    days = table(spark, sf, "events").select(
+        F.col("event_type").alias(TYPE_COL), F.col("user_id").cast("string").alias(LOCATION_COL),
+        F.to_date("ts").alias(DATE_COL))
+    root = scratch_path(spark, "gold-days")
+    group_count(days, [DATE_COL, TYPE_COL, LOCATION_COL], COUNT_COL).write.partitionBy(DATE_COL).parquet(root)
+    return gold_report(spark, read_table(spark, root, GOLD), REPORT_DATE)
 
 
 def q_sink_round_trip(spark: SparkSession, sf: str) -> DataFrame:
@@ -128,11 +132,12 @@ def q_date_stamp(spark: SparkSession, sf: str) -> DataFrame:
 # --- dedupe -------------------------------------------------------------------
 def q_dedupe_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return dedupe_by_key(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"],
-                         [F.col("l_shipdate").desc_nulls_last()])
+                         [F.col("l_shipdate").desc_nulls_last()], ordered=["l_shipdate"])
 
 
 def q_dedupe_text(spark: SparkSession, sf: str) -> DataFrame:
-    return dedupe_by_key(table(spark, sf, "documents"), ["text"], [F.col("doc_id").asc_nulls_last()])
+    return dedupe_by_key(table(spark, sf, "documents"), ["text"], [F.col("doc_id").asc_nulls_last()],
+                         ordered=["doc_id"], hash_first=True)
 
 
 def q_silver_layer(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,28 +154,89 @@ def q_null_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --- ingest and the chain -----------------------------------------------------
-def _events_landed_with_gap(spark: SparkSession, sf: str) -> DataFrame:
+def _events_landed_with_gap(spark: SparkSession, sf: str) -> jobs.Layout:
     """Events landed as pages of 50 records, the middle page lost in transit."""
     events = table(spark, sf, "events")
     records = events_as_records(events, PAGE_SIZE)
-    n_pages = events.agg((F.floor(F.max("event_id") / PAGE_SIZE) + 1).cast("int")).scalar()
-    landing = scratch_path(spark, "landing")        # also sets the checkpoint folder
-    land_pages(records.where(F.col(PAGE_COL) != F.floor((n_pages + 1) / 2)), landing, RUN_DATE)
-    return read_landed(spark, landing, RUN_DATE)
+    n_pages = events.agg(F.max(page_of("event_id", PAGE_SIZE))).first()[0] or 0
+    layout = jobs.Layout.under(scratch_path(spark, "landing"))
+    land_pages(records.where(F.col(PAGE_COL) != (n_pages + 1) // 2), layout.landing, RUN_DATE)
+    return layout
 
 
 def q_paged_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Ingest keeps the pages before the gap (page counts checkpointed in the
-    shared folder, so the landing is parsed once for the gap)."""
-    landed = _events_landed_with_gap(spark, sf)
-    counts = page_counts(landed).checkpoint()
-    return (contiguous_prefix(landed, counts=counts)
-            .select("id", TYPE_COL, "name", "updated_at", PAGE_COL))
+    """Bronze of a landing with a lost page: every row that landed."""
+    layout = _events_landed_with_gap(spark, sf)
+    jobs.load_bronze(spark, layout, RUN_DATE)
+    return read_table(spark, layout.bronze, BRONZE, RUN_DATE).select(
+        "id", TYPE_COL, "name", "updated_at", PAGE_COL)
 
 
 def q_page_gap_report(spark: SparkSession, sf: str) -> DataFrame:
-    """What the gap left out: one row of page and row counts."""
-    return page_report(page_counts(_events_landed_with_gap(spark, sf)).checkpoint())
+    """What a lost page leaves: one row of page and row counts."""
+    landed = read_landed(spark, _events_landed_with_gap(spark, sf).landing, RUN_DATE)
+    return page_report(page_counts(landed).checkpoint())
+
+
+def q_raw_page_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """`events` as raw pages (one JSON array a page, its number in the folder's
+    name only), ingested to bronze."""
+    layout = jobs.Layout.under(scratch_path(spark, "raw-pages"))
+    records = events_as_records(table(spark, sf, "events"), PAGE_SIZE)
+    body = F.to_json(F.collect_list(F.struct(*RECORD_FIELDS)))
+    pages = records.groupBy(PAGE_COL).agg(body.alias("value"))
+    # a folder a page would be thousands of files: pages go by number ranges of
+    # one file each only in the names of folders that hold one page
+    pages.repartition(PAGE_COL).write.partitionBy(PAGE_COL).text(partition_path(layout.landing, RUN_DATE))
+    jobs.load_bronze(spark, layout, RUN_DATE)
+    return read_table(spark, layout.bronze, BRONZE, RUN_DATE).select(
+        "id", TYPE_COL, "name", "updated_at", PAGE_COL)
+
+
+def q_landed_rows_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """`events` landed with every 97th line broken off: rows landed, in bronze
+    and kept as corrupt lines."""
+    layout = jobs.Layout.under(scratch_path(spark, "broken"))
+    records = events_as_records(table(spark, sf, "events"), PAGE_SIZE)
+    line = F.to_json(F.struct(*RECORD_FIELDS, PAGE_COL))
+    broken = F.when(F.col("id").cast("long") % 97 == 0, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    records.select(broken.alias("value")).write.text(partition_path(layout.landing, RUN_DATE))
+    m = jobs.load_bronze(spark, layout, RUN_DATE)
+    bronze = read_table(spark, layout.bronze, BRONZE, RUN_DATE)
+    lines = read_table(spark, layout.corrupt_root, CORRUPT, RUN_DATE)
+    return bronze.agg(F.count(F.lit(1)).alias("in_bronze")).select(
+        F.lit(m["landed"]).cast("long").alias("landed"), "in_bronze",
+        F.lit(lines.count()).cast("long").alias("corrupt"))
+
+
+def q_silver_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver of `pages` as the job writes it, all columns, read without a
+    declared schema."""
+    layout = jobs.Layout.under(scratch_path(spark, "silver"))
+    land_pages(pages_as_records(table(spark, sf, "pages"), PAGE_SIZE), layout.landing, RUN_DATE)
+    jobs.load_bronze(spark, layout, RUN_DATE)
+    jobs.transform_silver(spark, layout, RUN_DATE)
+    return spark.read.parquet(partition_path(layout.silver, RUN_DATE))
+
+
+def q_bronze_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze of `pages` as the job writes it, all columns, read without a
+    declared schema (a flag left in it would show)."""
+    layout = jobs.Layout.under(scratch_path(spark, "bronze"))
+    land_pages(pages_as_records(table(spark, sf, "pages"), PAGE_SIZE), layout.landing, RUN_DATE)
+    jobs.load_bronze(spark, layout, RUN_DATE)
+    return spark.read.parquet(partition_path(layout.bronze, RUN_DATE))
+
+
+def q_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Row counts of the chain over `events` as versions of user records."""
+    layout = jobs.Layout.under(scratch_path(spark, "metrics"))
+    land_pages(events_as_user_records(table(spark, sf, "events"), PAGE_SIZE), layout.landing, RUN_DATE)
+    _, m = jobs.run(spark, layout, RUN_DATE)
+    got = (m["bronze"]["rows"], m["bronze"]["invalid"], m["silver"]["rows_in"], m["silver"]["rows_out"],
+           m["gold"]["groups"], m["gold"]["n_rows"])
+    return spark.createDataFrame(
+        [got], "bronze_rows long, invalid long, silver_in long, silver_out long, gold_groups long, gold_rows long")
 
 
 def q_bronze_quarantine(spark: SparkSession, sf: str) -> DataFrame:
@@ -217,6 +283,11 @@ QUERIES: dict[str, Query] = {
     "sink_round_trip": q_sink_round_trip,
     "paged_ingest": q_paged_ingest,
     "page_gap_report": q_page_gap_report,
+    "raw_page_ingest": q_raw_page_ingest,
+    "landed_rows_kept": q_landed_rows_kept,
+    "bronze_round_trip": q_bronze_round_trip,
+    "silver_round_trip": q_silver_round_trip,
+    "run_metrics": q_run_metrics,
     "bronze_quarantine": q_bronze_quarantine,
     "medallion_end_to_end": q_medallion_end_to_end,
     "medallion_events": q_medallion_events,
@@ -249,13 +320,20 @@ SELECT {_HOST} AS id, {_HOST} AS name,
        {_TAIL} AS longitude,
        CAST(length(html) AS VARCHAR) AS latitude,
        {_QUERY} AS phone,
-       lpad(CAST(page_id AS VARCHAR), 12, '0') AS updated_at
+       lpad(CAST(page_id AS VARCHAR), 12, '0') AS updated_at,
+       split_part(split_part(url, '?', 1), '#', 1) AS street, url AS website_url, page_id,
+       [split_part(url, '/', 4), {_HOST}] AS tag_list
 FROM pages"""
 
 _LATEST_PAGES = f"""
 SELECT * FROM ({_PAGES_RECORDS}) r
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated_at DESC NULLS LAST) = 1"""
 
+_EVENT_RECORD = f"""CAST(event_id AS VARCHAR) AS id, event_type AS {TYPE_COL}, CAST(user_id AS VARCHAR) AS name,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS updated_at"""
+_PAGES_ALL = f"""id, name, {TYPE_COL}, street, city, state, CAST(NULL AS VARCHAR) AS postal_code,
+       CAST(NULL AS VARCHAR) AS country, longitude, latitude, phone, website_url, updated_at, tag_list"""
+
 ORACLE: dict[str, str] = {
     "group_count": _PART_GOLD,
     "numeric_validity_flag": f"SELECT page_id, {_valid(_TAIL)} AS is_valid FROM pages",
@@ -306,28 +384,41 @@ FROM orders""",
     "sample_rows": f"SELECT * FROM ({_PART_GOLD}) g ORDER BY 1, 2 LIMIT 5",
     "sink_round_trip": f"SELECT *, DATE '{RUN_DATE.isoformat()}' AS date FROM ({_PART_GOLD}) g",
     "paged_ingest": f"""
-WITH e AS (SELECT *, CAST(event_id // {PAGE_SIZE} + 1 AS INTEGER) AS page FROM events),
-     gap AS (SELECT CAST(floor((max(page) + 1) / 2) AS INTEGER) AS missing FROM e)
-SELECT CAST(event_id AS VARCHAR) AS id, event_type AS {TYPE_COL},
-       CAST(user_id AS VARCHAR) AS name,
-       strftime(ts, '%Y-%m-%d %H:%M:%S') AS updated_at, page
-FROM e WHERE page < (SELECT missing FROM gap)""",
+WITH e AS (SELECT *, event_id // {PAGE_SIZE} + 1 AS page FROM events)
+SELECT {_EVENT_RECORD}, CAST(page AS BIGINT) AS page
+FROM e WHERE page <> (SELECT (max(page) + 1) // 2 FROM e)""",
+    "raw_page_ingest": f"""
+SELECT {_EVENT_RECORD}, CAST(event_id // {PAGE_SIZE} + 1 AS BIGINT) AS page FROM events""",
     "page_gap_report": f"""
-WITH e AS (SELECT CAST(event_id // {PAGE_SIZE} + 1 AS INTEGER) AS page FROM events),
-     landed AS (SELECT page FROM e
-                WHERE page <> (SELECT CAST(floor((max(page) + 1) / 2) AS INTEGER) FROM e)),
-     p AS (SELECT page, count(*) AS n FROM landed GROUP BY page),
-     g AS (SELECT CASE WHEN (SELECT min(page) FROM p) = 1
-                       THEN (SELECT min(page + 1) FROM p WHERE page + 1 NOT IN (SELECT page FROM p))
-                       ELSE 1 END AS gap)
-SELECT CAST((SELECT gap FROM g) AS INTEGER) AS first_gap,
-       CAST(count(page) AS BIGINT) AS pages_present,
-       CAST(count_if(page > (SELECT gap FROM g)) AS BIGINT) AS pages_after_gap,
-       CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_total,
-       CAST(coalesce(sum(n) FILTER (WHERE page < (SELECT gap FROM g)), 0) AS BIGINT) AS rows_kept,
-       CAST(coalesce(sum(n) FILTER (WHERE page > (SELECT gap FROM g)), 0) AS BIGINT) AS rows_after_gap,
-       CAST(coalesce(sum(n) FILTER (WHERE page IS NULL), 0) AS BIGINT) AS rows_without_page
+WITH e AS (SELECT event_id // {PAGE_SIZE} + 1 AS page FROM events),
+     landed AS (SELECT page FROM e WHERE page <> (SELECT (max(page) + 1) // 2 FROM e)),
+     p AS (SELECT page, count(*) AS n FROM landed GROUP BY page)
+SELECT CAST(CASE WHEN min(page) = 1
+                 THEN (SELECT min(page + 1) FROM p WHERE page + 1 NOT IN (SELECT page FROM p))
+                 ELSE 1 END AS BIGINT) AS first_gap,
+       CAST(count(*) AS BIGINT) AS pages_present,
+       CAST(coalesce(max(page), 0) - count(*) AS BIGINT) AS pages_missing,
+       CAST(coalesce(max(page), 0) AS BIGINT) AS last_page,
+       CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_total, CAST(0 AS BIGINT) AS rows_without_page
 FROM p""",
+    "landed_rows_kept": """
+SELECT CAST(count(*) AS BIGINT) AS landed, CAST(count_if(event_id % 97 <> 0) AS BIGINT) AS in_bronze,
+       CAST(count_if(event_id % 97 = 0) AS BIGINT) AS corrupt FROM events""",
+    "bronze_round_trip": f"""
+SELECT {_PAGES_ALL}, CAST(page_id // {PAGE_SIZE} + 1 AS BIGINT) AS page FROM ({_PAGES_RECORDS}) r""",
+    "silver_round_trip": f"""
+SELECT {_PAGES_ALL.replace("longitude, latitude, phone", "TRY_CAST(longitude AS FLOAT) AS longitude, TRY_CAST(latitude AS FLOAT) AS latitude, coalesce(phone, 'N/A') AS phone")},
+       concat_ws(', ', city, state) AS {LOCATION_COL}
+FROM ({_LATEST_PAGES}) s""",
+    "run_metrics": f"""
+WITH l AS (SELECT * FROM events QUALIFY row_number() OVER (
+       PARTITION BY user_id ORDER BY ts DESC NULLS LAST, CAST(event_id AS VARCHAR)) = 1),
+g AS (SELECT event_type, nullif(json_extract_string(props, '$.k'), '') AS k FROM l GROUP BY ALL)
+SELECT CAST(count(*) AS BIGINT) AS bronze_rows, CAST(0 AS BIGINT) AS invalid,
+       CAST(count(*) AS BIGINT) AS silver_in, CAST((SELECT count(*) FROM l) AS BIGINT) AS silver_out,
+       CAST((SELECT count(*) FROM g) AS BIGINT) AS gold_groups,
+       CAST((SELECT count(*) FROM l) AS BIGINT) AS gold_rows
+FROM events""",
     "bronze_quarantine": f"""
 SELECT id, name, {TYPE_COL}, longitude, updated_at, false AS is_valid_longitude,
        DATE '{RUN_DATE.isoformat()}' AS date

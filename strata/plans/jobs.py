@@ -1,7 +1,7 @@
 """The jobs: load bronze, transform silver, transform gold, and the chain.
 
-Each job reads its input once, writes one date of one table, and returns its
-metrics as a dict.  Metrics are collected by the write itself (``observe`` in
+Each job writes one date of a table and returns its metrics as a dict; a job
+whose input date is not there raises and changes nothing.  Metrics are collected by the write itself (``observe`` in
 the result stage), or from Parquet footers, so no job runs an extra pass just
 to count.
 """
@@ -23,15 +23,15 @@ from strata.operators.report import gold_report, sample_rows
 from strata.plans.layers import to_gold, to_silver
 from strata.session import shared_dir
 from strata.sources.landing import (
-    FIRST_GAP,
     LANDED_TABLE,
-    contiguous_prefix,
     page_counts,
     page_report,
     read_landed,
 )
 from strata.sources.schemas import (
     BRONZE,
+    CORRUPT,
+    CORRUPT_COL,
     COUNT_COL,
     DATE_COL,
     GOLD,
@@ -43,7 +43,7 @@ from strata.sources.schemas import (
     VALID_FLAG,
     without,
 )
-from strata.sources.tables import files_for, read_table, write_partition
+from strata.sources.tables import read_table, write_partition
 
 log = logging.getLogger(__name__)
 
@@ -58,6 +58,11 @@ class Layout:
     silver: str
     gold: str
 
+    @property
+    def corrupt_root(self) -> str:
+        """Landed lines that hold no record."""
+        return f"{self.quarantine.rstrip('/')}_lines"
+
     @classmethod
     def under(cls, base: str) -> Layout:
         base = base.rstrip("/")
@@ -65,6 +70,10 @@ class Layout:
                      ("landing", "bronze", "quarantine", "silver", "gold")))
 
 
+class IncompleteLandingError(RuntimeError):
+    """A landing with gaps, rows without a page, corrupt lines or too few pages."""
+
+
 def _require(**settings: object) -> None:
     missing = [k for k, v in settings.items() if not v]
     if missing:
@@ -72,62 +81,74 @@ def _require(**settings: object) -> None:
 
 
 def load_bronze(spark: SparkSession, layout: Layout, run_date: str | dt.date,
-                stop_at_gap: bool = True) -> dict:
-    """Landed pages of ``run_date`` -> bronze (all rows of the contiguous page
-    prefix) + quarantine (copy of the rows whose longitude is not numeric).
-
-    ``stop_at_gap=False`` ingests every landed page that has a page number,
-    gap or not; the gap is reported either way.
-
-    Nothing is written when the prefix is empty.  The quarantine is rebuilt
-    from the bronze Parquet just written (not from the JSON landing), and
-    is replaced even when it is empty, so a rerun never leaves stale rows.
+                on_gap: str = "report", expected_pages: int | None = None) -> dict:
+    """Landed rows of ``run_date`` -> bronze (every record) + quarantine (copy of
+    the rows whose longitude is not numeric) + corrupt (lines without a record).
+
+    The landing is parsed once, into bronze with its page numbers; pages, gaps
+    and the quarantine are read from that Parquet, and only a landing with
+    corrupt lines is parsed again, for those.  A page missing below the last
+    one, rows without a page number, corrupt lines or fewer pages than
+    ``expected_pages`` make the landing incomplete: ``metrics["complete"]`` is
+    false, and with ``on_gap="fail"`` :class:`IncompleteLandingError` is raised
+    once bronze holds what there is.  Nothing is ever left out.
+
+    Nothing is written when nothing landed.  The quarantine and the corrupt
+    lines are replaced even when empty, so a rerun never leaves stale rows.
     """
     _require(landing=layout.landing, bronze=layout.bronze, quarantine=layout.quarantine)
+    if on_gap not in ("report", "fail"):
+        raise ValueError(f"on_gap is 'report' or 'fail', not {on_gap!r}")
     d = _run_date(run_date)
     landed = read_landed(spark, layout.landing, d)
-    shared_dir(spark)                  # checkpoint() below needs the shared folder
-    counts = page_counts(landed).checkpoint()      # one pass over the landing
-    pages = page_report(counts).first().asDict()
-    gap = pages[FIRST_GAP]
-    metrics = {"date": d.isoformat(), **pages}
-    if pages["pages_after_gap"]:
-        log.error("page %s missing: %s later pages (%s rows) left out",
-                  gap, pages["pages_after_gap"], pages["rows_after_gap"])
-    if pages["rows_without_page"]:
-        log.warning("%s landed rows carry no page number (malformed lines)",
-                    pages["rows_without_page"])
-    kept = pages["rows_kept"] if stop_at_gap else pages["rows_total"] - pages["rows_without_page"]
-    if not kept:
-        log.warning("nothing landed for %s before the first gap; bronze left as it is", d)
-        return {**metrics, "rows": 0, "invalid": 0, "written": False}
-
-    records = (contiguous_prefix(landed, gap) if stop_at_gap
-               else landed.where(F.col(PAGE_COL) >= 1)).drop(PAGE_COL, DATE_COL)
+    metrics = {"date": d.isoformat()}
+    if landed.isEmpty():
+        log.warning("nothing landed for %s; bronze left as it is", d)
+        return {**metrics, "rows": 0, "invalid": 0, "corrupt": 0, "written": False, "complete": False}
+
+    bad_line = F.col(CORRUPT_COL).isNotNull()
+    seen, landed_obs = observed(landed, "landed", {
+        "landed": F.count(F.lit(1)), "corrupt": F.count_if(bad_line)})
+    records = seen.where(~bad_line).drop(CORRUPT_COL, DATE_COL)
     flagged, obs = observed(flag_validity(records), "bronze", {
         "rows": F.count(F.lit(1)),
         "invalid": F.count_if(~F.col(VALID_FLAG)),
     })
     write_partition(flagged.drop(VALID_FLAG), layout.bronze, d)
-    metrics.update(obs.get, written=True)
+    metrics.update(obs.get, **landed_obs.get, written=True)
+    bronze = read_table(spark, layout.bronze, BRONZE, d, must_exist=True)
 
     if metrics["invalid"]:
         log.error("%s rows have a non-numeric longitude; copied to quarantine", metrics["invalid"])
-        bad = invalid_rows(flag_validity(read_table(spark, layout.bronze, BRONZE, d)))
-        # few invalid rows spread over many bronze files: shuffle only those
-        # rows into a file count sized by the observed invalid count
-        bad = bad.repartition(files_for(metrics["invalid"]))
+        # few invalid rows spread over many bronze files: files of the advisory size
+        bad = invalid_rows(flag_validity(bronze.drop(PAGE_COL))).hint("rebalance")
     else:
         bad = spark.createDataFrame([], without(QUARANTINE, DATE_COL))
     write_partition(bad, layout.quarantine, d, fmt="json")
+    if metrics["corrupt"]:
+        log.error("%s landed lines hold no record; kept under %s", metrics["corrupt"], layout.corrupt_root)
+        lines = landed.where(bad_line).select(F.col(CORRUPT_COL).alias("line"), PAGE_COL).drop(PAGE_COL)
+    else:
+        lines = spark.createDataFrame([], without(CORRUPT, DATE_COL))
+    write_partition(lines, layout.corrupt_root, d)
+
+    shared_dir(spark)                  # checkpoint() below needs the shared folder
+    metrics.update(page_report(page_counts(bronze.select(PAGE_COL)).checkpoint()).first().asDict())
+    metrics["complete"] = not (metrics["pages_missing"] or metrics["rows_without_page"] or metrics["corrupt"]
+                               or metrics["last_page"] < (expected_pages or 0))
+    if not metrics["complete"]:
+        log.error("landing of %s is incomplete: %s", d, metrics)
+        if on_gap == "fail":
+            raise IncompleteLandingError(f"landing of {d} is incomplete: {metrics}")
     return metrics
 
 
 def transform_silver(spark: SparkSession, layout: Layout, run_date: str | dt.date) -> dict:
-    """Bronze of ``run_date`` -> silver of ``run_date``."""
+    """Bronze of ``run_date`` -> silver of ``run_date``.  A bronze date that was
+    never finished raises, and silver stays as it is."""
     _require(bronze=layout.bronze, silver=layout.silver)
     d = _run_date(run_date)
-    bronze = read_table(spark, layout.bronze, BRONZE, d)
+    bronze = read_table(spark, layout.bronze, BRONZE, d, must_exist=True).drop(PAGE_COL)
     rows_in = bronze.count()          # answered from Parquet footers
     silver, obs = observed(to_silver(bronze, d), "silver", {"rows": F.count(F.lit(1))})
     write_partition(silver, layout.silver, d, sort_within=[LOCATION_COL])
@@ -136,8 +157,10 @@ def transform_silver(spark: SparkSession, layout: Layout, run_date: str | dt.dat
 
 
 def transform_gold(spark: SparkSession, layout: Layout, run_date: str | dt.date,
-                   max_null_fraction: float | None = None) -> dict:
-    """Silver of ``run_date`` -> gold of ``run_date``.
+                   max_null_fraction: float | None = None, sample: int = 5) -> dict:
+    """Silver of ``run_date`` -> gold of ``run_date``.  A silver date that was
+    never finished raises, and gold stays as it is.  The metrics carry the first
+    ``sample`` rows of the written partition (0: none, and no read back).
 
     The NULL audit of the two keys is read off the groups themselves (NULL is
     a group of its own), inside the write: no separate pass per column.  With
@@ -147,7 +170,7 @@ def transform_gold(spark: SparkSession, layout: Layout, run_date: str | dt.date,
     """
     _require(silver=layout.silver, gold=layout.gold)
     d = _run_date(run_date)
-    silver = read_table(spark, layout.silver, SILVER, d)
+    silver = read_table(spark, layout.silver, SILVER, d, must_exist=True)
     keys = [TYPE_COL, LOCATION_COL]
     if max_null_fraction is not None:
         audit = null_audit(silver.select(TYPE_COL, empty_to_null(LOCATION_COL).alias(LOCATION_COL)),
@@ -161,9 +184,10 @@ def transform_gold(spark: SparkSession, layout: Layout, run_date: str | dt.date,
         f"nulls_{LOCATION_COL}": F.coalesce(F.sum(F.when(F.col(LOCATION_COL).isNull(), n)), F.lit(0)),
     })
     write_partition(gold, layout.gold, d)
-    sample = sample_rows(read_gold(spark, layout, d).drop(DATE_COL), keys, 5)
-    metrics = {"date": d.isoformat(), **obs.get, "schema": gold.schema.simpleString(),
-               "sample": [r.asDict() for r in sample.collect()]}
+    metrics = {"date": d.isoformat(), **obs.get, "schema": gold.schema.simpleString()}
+    if sample:
+        rows = sample_rows(read_gold(spark, layout, d).drop(DATE_COL), keys, sample)
+        metrics["sample"] = [r.asDict() for r in rows.collect()]
     if max_null_fraction is None:
         check_null_rates(metrics, keys)          # warn only
     return metrics
@@ -191,21 +215,22 @@ def register_views(spark: SparkSession, layout: Layout) -> list[str]:
 
 
 def run(spark: SparkSession, layout: Layout, run_date: str | dt.date,
-        max_null_fraction: float | None = None,
-        stop_at_gap: bool = True) -> tuple[DataFrame, dict]:
+        max_null_fraction: float | None = None, on_gap: str = "report",
+        expected_pages: int | None = None) -> tuple[DataFrame | None, dict]:
     """extract >> bronze >> silver >> gold for one date, then the report.
 
-    Rerunning a date rewrites the same four partitions and nothing else.
-    Returns the report DataFrame (lazy) and the metrics of every step.
+    Rerunning a date rewrites the same partitions and nothing else.  Returns the
+    report DataFrame (lazy) and the metrics of every step; when nothing landed
+    there is no report: the date's older gold is not this run's.
     """
     d = _run_date(run_date)
-    metrics = {"bronze": load_bronze(spark, layout, d, stop_at_gap)}
+    metrics = {"bronze": load_bronze(spark, layout, d, on_gap, expected_pages)}
     if not metrics["bronze"]["written"]:
-        return gold_report(spark, read_gold(spark, layout, d), d), metrics
+        return None, metrics
     metrics["silver"] = transform_silver(spark, layout, d)
     metrics["gold"] = transform_gold(spark, layout, d, max_null_fraction)
     return gold_report(spark, read_gold(spark, layout, d), d), metrics
 
 
-__all__ = ["Layout", "load_bronze", "read_gold", "register_views", "run",
+__all__ = ["IncompleteLandingError", "Layout", "load_bronze", "read_gold", "register_views", "run",
            "transform_gold", "transform_silver"]

@@ -26,16 +26,11 @@ def to_silver(bronze: DataFrame, run_date: str | dt.date | None = None) -> DataF
     """Dedupe on ``id`` keeping the newest ``updated_at``; phone NULL -> 'N/A';
     coordinates text -> float (unparsable -> NULL); ``localizacao`` =
     'city, state' unless the input already has one; stamp the run date."""
-    require_columns(bronze, [KEY])
+    require_columns(bronze, [KEY, "updated_at", "phone", "longitude", "latitude", "city", "state"])
     df = bronze.drop("date") if "date" in bronze.columns else bronze
-    df = dedupe_by_key(df, [KEY], [F.col("updated_at").desc_nulls_last()]
-                       if "updated_at" in df.columns else [])
-    derived = {}
-    if "phone" in df.columns:
-        derived["phone"] = fill_null("phone")
-    for c in ("longitude", "latitude"):
-        if c in df.columns:
-            derived[c] = lenient_float(c)
+    df = dedupe_by_key(df, [KEY], [F.col("updated_at").desc_nulls_last()], ordered=["updated_at"])
+    derived = {"phone": fill_null("phone"),
+               **{c: lenient_float(c) for c in ("longitude", "latitude")}}
     if LOCATION_COL not in df.columns:
         derived[LOCATION_COL] = location_label("city", "state")
     df = df.withColumns(derived)

@@ -1,14 +1,12 @@
-"""Landed pages: records fetched page by page (1, 2, 3, ...) and dropped as
-JSON lines under ``<landing>/date=YYYY-MM-DD/``, each record carrying its page
-number.
-
-The source stops at the first page that comes back empty, so only a contiguous
-run of pages from page 1 forms a complete snapshot.  :func:`contiguous_prefix`
-keeps the records of pages below the first missing page and
-:func:`page_report` says what was left out, instead of truncating silently.
-Both are distributed: the page set is aggregated, the first gap is an
-anti-join of ``{p + 1}`` against the pages present, and the prefix filter
-compares with that value as a scalar subquery.
+"""Landed pages: records fetched page by page (1, 2, 3, ...) and dropped as JSON
+under ``<landing>/date=YYYY-MM-DD/``: one record a line, or a whole page as one
+JSON array a line, as an API returns it.  A record's page number is its ``page``
+field, or the number in its file's name or folder (``page-12.json``,
+``page=12/``).
+
+Every landed row is read.  Rows without a page number are rows; lines that are no
+record keep their text in ``_corrupt_record``.  Gaps in the page numbers are
+reported (:func:`page_report`), they never shorten what is ingested.
 """
 
 from __future__ import annotations
@@ -17,27 +15,60 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from pyspark.sql.types import DateType, StructField, StructType
-
-from strata.sources.schemas import DATE_COL, LANDED, PAGE_COL
+from strata.sources.schemas import CORRUPT_COL, DATE_COL, PAGE_COL, RECORD, RECORD_FIELDS
 from strata.sources.tables import partition_path, read_table
 
-LANDED_TABLE = StructType(LANDED.fields + [StructField(DATE_COL, DateType(), True)])
+# As parsed: the page as text, so that 3000000000, "2" and 2.0 all arrive.
+LANDED_TABLE = StructType(RECORD.fields + [StructField(PAGE_COL, StringType(), True),
+                                           StructField(CORRUPT_COL, StringType(), True),
+                                           StructField(DATE_COL, DateType(), True)])
 
 FIRST_GAP = "first_gap"
+PAGE_IN_PATH = r"(?i)/page[=_-]?0*(\d+)[^/]*(?:/[^/]*)?$"
+
+
+def page_number(c: Column | str) -> Column:
+    """Page number in a text: a whole number, written with or without a zero
+    fraction, as a bigint; anything else is NULL."""
+    c = F.trim(F.col(c) if isinstance(c, str) else c)
+    return F.regexp_extract(c, r"^([+-]?\d{1,18})(?:\.0*)?$", 1).try_cast("bigint")
 
 
 def read_landed(spark: SparkSession, landing: str, run_date: str | dt.date) -> DataFrame:
-    """The records landed for ``run_date``, parsed under the declared record
-    schema: unknown keys are dropped, missing keys read as NULL."""
-    return read_table(spark, landing, LANDED_TABLE, run_date, fmt="json")
+    """The rows landed for ``run_date`` under the declared record schema, with
+    ``page`` (bigint) and ``_corrupt_record``: unknown keys are dropped, missing
+    keys read as NULL, a field of another type reads as NULL, and only a line
+    with no record in it is corrupt.  A date without a landing reads as empty."""
+    rows = read_table(spark, landing, LANDED_TABLE, run_date, fmt="json")
+    if "_metadata" in _hidden(rows):
+        path_page = F.regexp_extract(F.col("_metadata.file_path"), PAGE_IN_PATH, 1).try_cast("bigint")
+    else:
+        path_page = F.lit(None).cast("bigint")
+    blank = F.lit(True)
+    for name in RECORD_FIELDS:
+        blank = blank & F.col(name).isNull()
+    return rows.select(
+        *RECORD_FIELDS, F.coalesce(page_number(PAGE_COL), path_page).alias(PAGE_COL),
+        F.when(blank, F.col(CORRUPT_COL)).alias(CORRUPT_COL), DATE_COL)
+
+
+def _hidden(df: DataFrame) -> list[str]:
+    """``_metadata`` if the frame reads files (an absent date is an empty frame)."""
+    try:
+        df.select("_metadata")
+    except Exception as e:          # analysis only: no job runs
+        if "_metadata" in str(e):
+            return []
+        raise
+    return ["_metadata"]
 
 
 def page_of(seq: Column | str, page_size: int = 50) -> Column:
-    """1-based page number of a 0-based sequence number."""
+    """1-based page number of a 0-based sequence number, in whole numbers."""
     seq = F.col(seq) if isinstance(seq, str) else seq
-    return (F.floor(seq / F.lit(page_size)) + F.lit(1)).cast("int")
+    return (F.floor(seq.cast("decimal(20,0)") / F.lit(page_size)) + F.lit(1)).cast("long")
 
 
 def land_pages(records: DataFrame, landing: str, run_date: str | dt.date) -> str:
@@ -48,65 +79,43 @@ def land_pages(records: DataFrame, landing: str, run_date: str | dt.date) -> str
     return path
 
 
-def _valid_page() -> Column:
-    """Page numbers start at 1; NULL, 0 and negatives are no page number."""
-    return F.col(PAGE_COL) >= 1
-
-
 def page_counts(records: DataFrame) -> DataFrame:
     """Rows per page number (NULL page included): a partial/final hash
-    aggregate, so only one row per page and map task is shuffled.  About one
-    row per ``page_size`` records; the gap functions below work on it."""
+    aggregate, so only one row per page and map task is shuffled."""
     return records.groupBy(PAGE_COL).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def first_gap(counts: DataFrame) -> DataFrame:
-    """One row, ``first_gap``: the smallest page number >= 1 with no record,
-    from :func:`page_counts`.
-
-    1 when page 1 is absent; otherwise the smallest ``p + 1`` (``p`` present)
-    that is not present, found by an anti-join of the page set with itself.
-    """
-    pages = counts.where(_valid_page()).select(PAGE_COL)
-    after_present = (pages.select((F.col(PAGE_COL) + 1).alias(PAGE_COL))
-                          .join(pages, PAGE_COL, "left_anti")
-                          .agg(F.min(PAGE_COL).alias(FIRST_GAP)))
-    lowest = pages.agg(F.min(PAGE_COL)).scalar()
-    return after_present.select(
-        F.when(F.coalesce(lowest, F.lit(0)) == 1, F.col(FIRST_GAP))
-         .otherwise(F.lit(1)).cast("int").alias(FIRST_GAP))
-
-
-def contiguous_prefix(records: DataFrame, gap: int | None = None,
-                      counts: DataFrame | None = None) -> DataFrame:
-    """Records of pages 1 .. first_gap - 1.  Pass ``gap`` when it is already
-    known (from :func:`page_report`), or ``counts`` (materialised
-    :func:`page_counts`) so the gap subquery does not re-read the records."""
-    if gap is not None:
-        bound = F.lit(gap)
-    else:
-        bound = first_gap(counts if counts is not None else page_counts(records)).scalar()
-    return records.where(_valid_page() & (F.col(PAGE_COL) < bound))
+def first_gap(counts: DataFrame) -> int:
+    """The smallest page number >= 1 with no row, from materialised
+    :func:`page_counts`.  One aggregate settles a landing without a gap; only
+    one with a gap costs an anti-join of ``{p + 1}`` against the pages."""
+    pages = counts.where(F.col(PAGE_COL) >= 1).select(PAGE_COL)
+    low, high, n = pages.agg(F.min(PAGE_COL), F.max(PAGE_COL), F.count(F.lit(1))).first()
+    if low != 1:
+        return 1
+    if high == n:
+        return high + 1
+    return (pages.select((F.col(PAGE_COL) + 1).alias(PAGE_COL)).join(pages, PAGE_COL, "left_anti")
+            .agg(F.min(PAGE_COL)).first()[0])
 
 
 def page_report(counts: DataFrame) -> DataFrame:
-    """One row from :func:`page_counts`: the first gap, pages present and
-    beyond the gap, rows in total, kept, beyond the gap and without a valid
-    page number (NULL or below 1).  Materialise ``counts`` first (``checkpoint()``) when the records
-    are expensive to re-read: every part of the report reads it."""
-    gap = first_gap(counts).scalar()
-    page = F.col(PAGE_COL)
-    rows = F.col("rows")
+    """One row from materialised :func:`page_counts`: the first gap (one past
+    the last page if there is none), pages present, pages missing below the last
+    one, the last page, rows in total and rows without a valid page number (NULL
+    or below 1)."""
+    gap = first_gap(counts)
+    page, rows = F.col(PAGE_COL), F.col("rows")
+    valid = F.coalesce(page >= 1, F.lit(False))
 
     def total(c):
         return F.coalesce(F.sum(c), F.lit(0)).cast("long")
 
-    valid = F.coalesce(_valid_page(), F.lit(False))
+    last = F.coalesce(F.max(F.when(valid, page)), F.lit(0)).cast("long")
     return counts.agg(
         F.count_if(valid).alias("pages_present"),
-        F.count_if(page > gap).alias("pages_after_gap"),
+        (last - F.count_if(valid)).alias("pages_missing"),
+        last.alias("last_page"),
         total(rows).alias("rows_total"),
-        total(F.when(valid & (page < gap), rows)).alias("rows_kept"),
-        total(F.when(page > gap, rows)).alias("rows_after_gap"),
         total(F.when(~valid, rows)).alias("rows_without_page"),
-    ).select(gap.alias(FIRST_GAP), "*")
+    ).select(F.lit(gap).cast("long").alias(FIRST_GAP), "*")

@@ -12,7 +12,6 @@ from pyspark.sql.types import (
     BooleanType,
     DateType,
     FloatType,
-    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -35,7 +34,8 @@ LOCATION_SEP = ", "
 # -------------------------------------------------------------------------------
 
 DATE_COL = "date"      # partition column of every table (DateType)
-PAGE_COL = "page"      # page number of a landed record (1-based)
+PAGE_COL = "page"      # page number of a landed record (1-based, bigint)
+CORRUPT_COL = "_corrupt_record"   # text of a landed line that is no record
 
 # Raw record: every field arrives as text (coordinates included) except the tag
 # list.  String first, cast later.
@@ -45,9 +45,12 @@ RECORD = StructType(
 )
 
 # A record as landed by the page client: the record plus its page number.
-LANDED = StructType(RECORD.fields + [StructField(PAGE_COL, IntegerType(), True)])
+LANDED = StructType(RECORD.fields + [StructField(PAGE_COL, LongType(), True)])
 
-BRONZE = StructType(RECORD.fields + [StructField(DATE_COL, DateType(), True)])
+BRONZE = StructType(LANDED.fields + [StructField(DATE_COL, DateType(), True)])
+
+# Landed lines that hold no record, kept beside the quarantine.
+CORRUPT = StructType([StructField("line", StringType(), True), StructField(DATE_COL, DateType(), True)])
 
 QUARANTINE = StructType(
     RECORD.fields

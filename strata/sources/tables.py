@@ -28,21 +28,38 @@ def partition_path(root: str, run_date: str | dt.date) -> str:
     return f"{root.rstrip('/')}/{DATE_COL}={_run_date(run_date).isoformat()}"
 
 
+class MissingInputError(FileNotFoundError):
+    """A job's input was never written, or its last write did not finish."""
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its store."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def _missing_path(e: AnalysisException) -> bool:
     cond = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
     return (cond() if cond else None) == "PATH_NOT_FOUND"
 
 
 def read_table(spark: SparkSession, root: str, schema: StructType,
-               run_date: str | dt.date | None = None, fmt: str = "parquet") -> DataFrame:
+               run_date: str | dt.date | None = None, fmt: str = "parquet",
+               must_exist: bool = False) -> DataFrame:
     """The table at ``root`` under ``schema`` (which includes ``date``),
     optionally pruned to one date.  A table or date never written reads as
-    empty.
+    empty; with ``must_exist``, a date without a finished write (no ``_SUCCESS``
+    in its folder) raises :class:`MissingInputError` instead.
 
     With a date, only that date's folder is listed (``basePath`` keeps
     ``date`` a partition column): on an object store holding years of daily
     partitions, a run never lists the other dates.
     """
+    if must_exist:
+        done = f"{root.rstrip('/') if run_date is None else partition_path(root, run_date)}/_SUCCESS"
+        if not path_exists(spark, done):
+            raise MissingInputError(f"no finished write found: {done}")
     reader = spark.read.schema(schema).format(fmt)
     try:
         if run_date is None:

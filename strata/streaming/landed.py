@@ -35,22 +35,19 @@ def landed_dates(batch: DataFrame) -> list:
 def chain_for_new_pages(spark: SparkSession, layout: jobs.Layout, checkpoint: str,
                         max_null_fraction: float | None = None,
                         on_date: Callable[[object, dict], None] | None = None,
-                        max_files_per_trigger: int | None = None,
-                        stop_at_gap: bool = True) -> StreamingQuery:
+                        on_gap: str = "report") -> StreamingQuery:
     """Start the stream; returns the query (``awaitTermination()`` to wait).
 
     ``checkpoint`` must be a folder shared by the cluster (e.g. under
     ``spark.checkpoint.dir``); ``on_date(date, metrics)`` is called after each
-    rebuilt date.
+    rebuilt date.  All that landed since the last run is one micro-batch, so
+    each of its dates is rebuilt once.
     """
-    reader = spark.readStream.schema(LANDED_TABLE)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    pages = reader.json(layout.landing).select(DATE_COL)
+    pages = spark.readStream.schema(LANDED_TABLE).json(layout.landing).select(DATE_COL)
 
     def rebuild(batch: DataFrame, epoch: int) -> None:
         for d in landed_dates(batch):
-            _, metrics = jobs.run(spark, layout, d, max_null_fraction, stop_at_gap)
+            _, metrics = jobs.run(spark, layout, d, max_null_fraction, on_gap)
             log.info("epoch %s rebuilt %s: %s", epoch, d, metrics)
             if on_date:
                 on_date(d, metrics)

@@ -21,9 +21,8 @@ def condense(text: str, width: int = 150) -> str:
 
 
 def main(argv: list[str]) -> None:
-    import __spark_entry__ as E
     from strata.plans import jobs
-    from strata.plans.catalog import PAGE_SIZE, RUN_DATE
+    from strata.plans.catalog import PAGE_SIZE, QUERIES, RUN_DATE
     from strata.plans.layers import to_gold, to_silver
     from strata.plans.shapes import events_as_user_records, table
     from strata.session import local_session, scratch_path
@@ -37,7 +36,7 @@ def main(argv: list[str]) -> None:
     print("Generated by `python -m tests.dump_plans`; expression ids are stripped, long lines cut.")
     print("These are the plans as planned: at run time AQE may still coalesce shuffle")
     print("partitions or turn a sort-merge join into a broadcast from measured sizes.\n")
-    sections = [(name, q(spark, sf)) for name, q in E.queries().items()]
+    sections = [(name, q(spark, sf)) for name, q in QUERIES.items()]
 
     layout = jobs.Layout.under(scratch_path(spark, "plans"))
     land_pages(events_as_user_records(table(spark, sf, "events"), PAGE_SIZE), layout.landing, RUN_DATE)

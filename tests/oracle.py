@@ -12,7 +12,6 @@ import sys
 import time
 
 import duckdb
-import pandas as pd
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -26,35 +25,27 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
+    """A value as a sortable key: NULL, NaN and numbers apart, floats to twelve
+    significant digits (sums may be added in another order)."""
     if v is None:
         return (0, "")
     if isinstance(v, float):
-        if math.isnan(v):
-            return (0, "")
-        return (1, round(v, 4))
-    if hasattr(v, "item") and not isinstance(v, (str, bytes)):
-        try:
-            return _norm(v.item())
-        except (ValueError, AttributeError):
-            pass
+        return (1, "nan") if math.isnan(v) else (1, f"{v:.12g}")
+    if isinstance(v, dict):
+        return (5, tuple((k, _norm(x)) for k, x in sorted(v.items())))
     if isinstance(v, (list, tuple)):
         return (2, tuple(_norm(x) for x in v))
-    if isinstance(v, pd.Timestamp):
-        v = v.to_pydatetime()
-    if isinstance(v, dt.date) and not isinstance(v, dt.datetime):
-        v = dt.datetime.combine(v, dt.time())
     if isinstance(v, dt.datetime):
         return (3, v.isoformat())
+    if isinstance(v, dt.date):
+        return (3, dt.datetime.combine(v, dt.time()).isoformat())
     return (4, str(v))
 
 
-def rows_of(df: pd.DataFrame) -> list[tuple]:
-    cols = sorted(df.columns)
-    out = []
-    for rec in df[cols].itertuples(index=False, name=None):
-        out.append(tuple(_norm(None if (not isinstance(x, (list, tuple)) and pd.isna(x) is True) else x)
-                         for x in rec))
-    return sorted(out)
+def rows_of(table) -> list[tuple]:
+    """Rows of an Arrow table, columns by name."""
+    cols = sorted(table.column_names)
+    return sorted(tuple(_norm(r[c]) for c in cols) for r in table.select(cols).to_pylist())
 
 
 def compare(spark, sf_dir: str, names=None, con=None) -> dict[str, dict]:
@@ -66,16 +57,16 @@ def compare(spark, sf_dir: str, names=None, con=None) -> dict[str, dict]:
     results = {}
     for name in names or qs:
         t = time.time()
-        sdf = qs[name](spark, sf_dir).toPandas()
+        sdf = qs[name](spark, sf_dir).toArrow()
         secs = time.time() - t
-        res = {"rows": len(sdf), "sec": round(secs, 2)}
+        res = {"rows": sdf.num_rows, "sec": round(secs, 2)}
         if name in sqls:
-            odf = con.execute(sqls[name]).df()
-            res["oracle_rows"] = len(odf)
-            res["cols_match"] = sorted(sdf.columns) == sorted(odf.columns)
+            odf = con.execute(sqls[name]).to_arrow_table()
+            res["oracle_rows"] = odf.num_rows
+            res["cols_match"] = sorted(sdf.column_names) == sorted(odf.column_names)
             res["values_match"] = res["cols_match"] and rows_of(sdf) == rows_of(odf)
             if not res["cols_match"]:
-                res["cols"] = (sorted(sdf.columns), sorted(odf.columns))
+                res["cols"] = (sorted(sdf.column_names), sorted(odf.column_names))
         results[name] = res
     return results
 

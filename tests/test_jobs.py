@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +14,8 @@ from strata.operators.quality import DataQualityError
 from strata.plans import jobs
 from strata.plans.layers import to_gold, to_silver
 from strata.sources.landing import land_pages
-from strata.sources.schemas import BRONZE, GOLD, LANDED, QUARANTINE, SILVER
-from strata.sources.tables import read_table
+from strata.sources.schemas import BRONZE, CORRUPT, GOLD, LANDED, QUARANTINE, SILVER
+from strata.sources.tables import MissingInputError, partition_path, read_table
 
 D1, D2 = dt.date(2024, 11, 27), dt.date(2024, 11, 28)
 
@@ -92,12 +95,30 @@ def test_empty_landing_writes_nothing(spark, tmp_root):
     layout = jobs.Layout.under(tmp_root)
     land(spark, layout, D2, RECORDS)
     jobs.run(spark, layout, D2)
-    land(spark, layout, D2, [{**RECORDS[0], "page": 3}])   # page 1 missing -> empty prefix
-    _, m = jobs.run(spark, layout, D2)
-    assert m["bronze"]["written"] is False and "silver" not in m
+    land(spark, layout, D2, [])
+    report, m = jobs.run(spark, layout, D2)
+    assert report is None and m["bronze"]["written"] is False and "silver" not in m
     assert read_table(spark, layout.bronze, BRONZE, D2).count() == 6   # left alone
 
 
+def test_missing_input_raises_and_changes_nothing(spark, tmp_root):
+    layout = jobs.Layout.under(tmp_root)
+    land(spark, layout, D2, RECORDS)
+    jobs.run(spark, layout, D2)
+    lost = replace(layout, bronze=f"{tmp_root}/typo")
+    with pytest.raises(MissingInputError):
+        jobs.transform_silver(spark, lost, D2)
+    with pytest.raises(MissingInputError):
+        jobs.transform_gold(spark, replace(layout, silver=f"{tmp_root}/typo"), D2)
+    assert read_table(spark, layout.silver, SILVER, D2).count() == 5
+    assert read_table(spark, layout.gold, GOLD, D2).count() == 4
+    # a write that crashed leaves no _SUCCESS: the next job does not take it for an empty date
+    os.remove(f"{partition_path(layout.silver, D2)}/_SUCCESS")
+    with pytest.raises(MissingInputError):
+        jobs.transform_gold(spark, layout, D2)
+    assert read_table(spark, layout.gold, GOLD, D2).count() == 4
+
+
 def test_null_threshold_fails_before_publishing(spark, tmp_root):
     layout = jobs.Layout.under(tmp_root)
     land(spark, layout, D2, RECORDS)
@@ -115,11 +136,21 @@ def test_missing_settings_and_columns(spark):
         to_gold(spark.range(1).withColumnRenamed("id", "brewery_type"))
 
 
+SILVER_INPUT = "id string, city string, state string, phone string, longitude string, latitude string, updated_at string"
+
+
 def test_silver_keeps_upstream_location(spark):
-    df = spark.createDataFrame([("1", "X", "Y", "upstream")], "id string, city string, state string, localizacao string")
+    df = spark.createDataFrame([("1", "X", "Y", None, None, None, None, "upstream")],
+                               SILVER_INPUT + ", localizacao string")
     assert to_silver(df).first().localizacao == "upstream"
 
 
+@pytest.mark.parametrize("column", ["id", "city", "state", "phone", "longitude", "latitude", "updated_at"])
+def test_silver_requires_its_columns(spark, column):
+    with pytest.raises(ValueError, match=column):
+        to_silver(spark.createDataFrame([], SILVER_INPUT).drop(column))
+
+
 def test_command_line_run_and_report(spark, tmp_root, capsys):
     from strata.__main__ import main
 
@@ -149,15 +180,48 @@ def test_views_answer_the_report_query(spark, tmp_root, capsys):
     assert "2024-11-27" in capsys.readouterr().out
 
 
-def test_gap_stops_ingest_unless_told_otherwise(spark, tmp_root):
+def test_gap_is_incomplete_never_shorter(spark, tmp_root):
     layout = jobs.Layout.under(tmp_root)
     gapped = [r if r["page"] == 1 else {**r, "page": 3} for r in RECORDS]    # page 2 lost
     land(spark, layout, D2, gapped)
     m = jobs.load_bronze(spark, layout, D2)
-    assert (m["first_gap"], m["rows"], m["rows_after_gap"]) == (2, 3, 3)
-    m = jobs.load_bronze(spark, layout, D2, stop_at_gap=False)
-    assert (m["first_gap"], m["rows"]) == (2, 6)
+    assert (m["first_gap"], m["pages_missing"], m["rows"], m["complete"]) == (2, 1, 6, False)
+    with pytest.raises(jobs.IncompleteLandingError):
+        jobs.run(spark, layout, D2, on_gap="fail")
     assert read_table(spark, layout.bronze, BRONZE, D2).count() == 6
+    assert read_table(spark, layout.gold, GOLD, D2).count() == 0
+    land(spark, layout, D2, RECORDS)
+    assert jobs.load_bronze(spark, layout, D2, expected_pages=2)["complete"] is True
+    assert jobs.load_bronze(spark, layout, D2, expected_pages=3)["complete"] is False     # tail cut
+
+
+def test_no_landed_line_is_lost(spark, tmp_root):
+    layout = jobs.Layout.under(tmp_root)
+    path = partition_path(layout.landing, D2)
+    os.makedirs(path)
+    lines = [json.dumps({**RECORDS[0], "id": f"r{i}", "page": p})
+             for i, p in enumerate([1, 3000000000, "2", 2.0, None])]
+    with open(f"{path}/landed.json", "w") as f:
+        f.write("\n".join([*lines, "{broken"]) + "\n")
+    m = jobs.load_bronze(spark, layout, D2)
+    assert (m["landed"], m["rows"], m["corrupt"], m["rows_without_page"]) == (6, 5, 1, 1)
+    kept = read_table(spark, layout.corrupt_root, CORRUPT, D2).collect()
+    assert [r.line for r in kept] == ["{broken"]
+    pages = {r.id: r.page for r in read_table(spark, layout.bronze, BRONZE, D2).collect()}
+    assert pages == {"r0": 1, "r1": 3000000000, "r2": 2, "r3": 2, "r4": None}
+
+
+def test_command_line_status_and_full_report(spark, tmp_root, capsys):
+    from strata.__main__ import main
+
+    layout = jobs.Layout.under(tmp_root)
+    recs = [{**RECORDS[0], "id": f"i{i}", "city": f"c{i}"} for i in range(1500)]
+    land(spark, layout, D2, [{**r, "page": 2} for r in recs])
+    assert main(["run", "--root", tmp_root, "--date", D2.isoformat()]) == 3      # page 1 missing
+    out = capsys.readouterr().out
+    assert sum(line.startswith('{"brewery_type"') for line in out.splitlines()) == 1500
+    land(spark, layout, D2, [])
+    assert main(["run", "--root", tmp_root, "--date", D2.isoformat()]) == 3
 
 
 def test_roots_are_uris(spark, tmp_root):

@@ -1,4 +1,4 @@
-"""Landed pages: declared-schema parsing and the contiguous-prefix rule."""
+"""Landed pages: declared-schema parsing, page numbers, gaps, broken lines."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import datetime as dt
 import json
 import os
 
-from strata.sources.landing import contiguous_prefix, page_counts, page_report, read_landed
+from strata.sources.landing import page_counts, page_report, read_landed
 from strata.sources.tables import partition_path
 
 D = dt.date(2024, 11, 28)
@@ -25,23 +25,47 @@ def rec(i, **kw):
     return {"id": str(i), "name": f"n{i}", "longitude": "1.5", **kw}
 
 
-def test_gap_keeps_prefix_and_reports(spark, tmp_root):
+def test_gap_is_reported_and_drops_nothing(spark, tmp_root):
     land_raw(tmp_root, {1: [rec(1), rec(2)], 2: [rec(3)], 4: [rec(4), rec(5), rec(6)],
                         5: [rec(7)]})
     landed = read_landed(spark, tmp_root, D)
-    kept = sorted(r.id for r in contiguous_prefix(landed).collect())
-    assert kept == ["1", "2", "3"]
+    assert sorted(r.id for r in landed.collect()) == list("1234567")
     r = page_report(page_counts(landed)).first().asDict()
-    assert r == {"first_gap": 3, "pages_present": 4, "pages_after_gap": 2, "rows_total": 7,
-                 "rows_kept": 3, "rows_after_gap": 4, "rows_without_page": 0}
-    assert sorted(x.id for x in contiguous_prefix(landed, 3).collect()) == kept
+    assert r == {"first_gap": 3, "pages_present": 4, "pages_missing": 1, "last_page": 5,
+                 "rows_total": 7, "rows_without_page": 0}
 
 
-def test_missing_first_page_keeps_nothing(spark, tmp_root):
+def test_missing_first_page(spark, tmp_root):
     land_raw(tmp_root, {2: [rec(1)], 3: [rec(2)]})
     landed = read_landed(spark, tmp_root, D)
-    assert contiguous_prefix(landed).count() == 0
-    assert page_report(page_counts(landed)).first().first_gap == 1
+    r = page_report(page_counts(landed)).first()
+    assert (r.first_gap, r.pages_missing, r.rows_total) == (1, 1, 2)
+
+
+def test_page_numbers_of_any_form(spark, tmp_root):
+    path = partition_path(tmp_root, D)
+    os.makedirs(path)
+    with open(f"{path}/records.json", "w") as f:
+        for i, page in enumerate([3000000000, "2", 2.0, None, "two", 1.5]):
+            f.write(json.dumps({**rec(i), "page": page}) + "\n")
+        f.write(json.dumps(rec(6)) + "\n{broken\n")
+    rows = read_landed(spark, tmp_root, D).collect()
+    assert len(rows) == 8
+    pages = {r.id: r.page for r in rows if r.id}
+    assert pages == {"0": 3000000000, "1": 2, "2": 2, "3": None, "4": None, "5": None, "6": None}
+    assert [r._corrupt_record for r in rows if r.id is None] == ["{broken"]
+
+
+def test_raw_pages_take_their_number_from_the_path(spark, tmp_root):
+    for root, names in ((f"{tmp_root}/files", ("page-0001.json", "page-2.json", "page-4.json")),
+                        (f"{tmp_root}/folders", ("page=1/part-0.json", "page=2/part-0.json", "page=4/p.json"))):
+        path = partition_path(root, D)
+        for name, recs in zip(names, ([rec(1), rec(2)], [rec(3)], [])):
+            os.makedirs(os.path.dirname(f"{path}/{name}"), exist_ok=True)
+            with open(f"{path}/{name}", "w") as f:
+                f.write(json.dumps(recs))
+        rows = read_landed(spark, root, D).collect()
+        assert sorted((r.id, r.page) for r in rows) == [("1", 1), ("2", 1), ("3", 2)]
 
 
 def test_declared_schema_drops_extra_keys_and_nulls_missing(spark, tmp_root):
@@ -58,22 +82,25 @@ def test_no_landing_reads_empty(spark, tmp_root):
     assert landed.count() == 0 and page_report(page_counts(landed)).first().first_gap == 1
 
 
-def test_malformed_lines_are_counted_not_ingested(spark, tmp_root):
+def test_malformed_lines_are_kept_as_lines(spark, tmp_root):
     land_raw(tmp_root, {1: [rec(1), rec(2, tag_list="not-a-list")], 2: [rec(3)]})
     path = partition_path(tmp_root, D)
     with open(f"{path}/page-00002.json", "a") as f:
         f.write("{this is not json\n")
-    landed = read_landed(spark, tmp_root, D)
-    kept = {r.id: r for r in contiguous_prefix(landed).collect()}
+    rows = read_landed(spark, tmp_root, D).collect()
+    kept = {r.id: r for r in rows if r._corrupt_record is None}
     assert sorted(kept) == ["1", "2", "3"]
     assert kept["2"].tag_list is None and kept["2"].name == "n2"     # only the bad field is lost
-    r = page_report(page_counts(landed)).first()
-    assert (r.rows_total, r.rows_kept, r.rows_without_page) == (4, 3, 1)
+    assert [r._corrupt_record for r in rows if r.id is None] == ["{this is not json"]
 
 
 def test_pages_below_one_are_no_page(spark, tmp_root):
-    land_raw(tmp_root, {0: [rec(0)], -3: [rec(9)], 1: [rec(1)], 2: [rec(2)]})
+    path = partition_path(tmp_root, D)
+    os.makedirs(path)
+    with open(f"{path}/records.json", "w") as f:
+        for i, page in enumerate([0, -3, 1, 2]):
+            f.write(json.dumps({**rec(i), "page": page}) + "\n")
     landed = read_landed(spark, tmp_root, D)
-    assert sorted(r.id for r in contiguous_prefix(landed).collect()) == ["1", "2"]
+    assert landed.count() == 4
     r = page_report(page_counts(landed)).first()
-    assert (r.first_gap, r.pages_present, r.rows_kept, r.rows_without_page) == (3, 2, 2, 2)
+    assert (r.first_gap, r.pages_present, r.pages_missing, r.rows_without_page) == (3, 2, 0, 2)
