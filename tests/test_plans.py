@@ -46,7 +46,7 @@ def test_date_reads_prune_partitions(plans):
 
 
 def test_aggregates_are_partial_before_the_shuffle(plans):
-    for name in ("group_count", "dated_report", "null_audit", "invalid_count"):
+    for name in ("group_count", "null_audit", "invalid_count"):
         p = plans[name]
         assert "partial_count" in p and "HashAggregate" in p, name
 
