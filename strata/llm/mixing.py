@@ -75,23 +75,22 @@ def pivotal(frac: np.ndarray, size: np.ndarray, coins: np.ndarray) -> int:
     for pos, i in enumerate(todo):
         if not _open(f[i]):
             continue
-        up, down, give, room, k, run = (1 - f[i]) * s[i], f[i] * s[i], 0.0, 0.0, pos + 1, []
-        while k < len(todo) and (give < up or room < down):
+        # the run moves along one line, in shares of its distances from 0 or 1, so
+        # that chance leaves every document's expectation as it is
+        up, down, room, k, run = (1 - f[i]) * s[i], f[i] * s[i], 0.0, pos + 1, []
+        while k < len(todo) and room < max(up, down):
             j = todo[k]
             if _open(f[j]):
-                give, room = give + f[j] * s[j], room + (1 - f[j]) * s[j]
-                run.append(j)
+                share = min(f[j], 1 - f[j])
+                room += share * s[j]
+                run.append((j, share))
             k += 1
-        if give < up or room < down:
+        if room < max(up, down):
             break
-        if coins[i] < f[i]:
-            f[i] = 1.0
-            for j in run:
-                f[j] *= 1 - up / give
-        else:
-            f[i] = 0.0
-            for j in run:
-                f[j] += (1 - f[j]) * down / room
+        up_now = coins[i] < f[i]
+        f[i] = 1.0 if up_now else 0.0
+        for j, share in run:
+            f[j] += share * (-up if up_now else down) / room
     held = -1
     for i in todo[pos:]:
         if not _open(f[i]):

@@ -231,7 +231,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY, counts: str | None = None) ->
     stay.  NULL texts stay NULL; texts without valid values stay as they are.  With ``counts``, a column of that
     name has the number of values replaced."""
     text = F.col("text").cast("string")
-    searched = F.coalesce(text.rlike("[0-9@]") & (text.rlike(r"@|\d[\d ().-]{5}|[0-9a-f]{32}")), F.lit(False))
+    searched = F.coalesce(text.rlike("[0-9@]") & (text.rlike(r"@|\d[\d ()./-]{5}|[0-9a-f]{32}")), F.lit(False))
     found = F.when(searched, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
     rows = docs.withColumn("__found", found)
     news = F.when(F.size("__found") > 0, F.transform("__found", lambda v: pseudonym(v, key)))

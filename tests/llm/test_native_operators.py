@@ -1,0 +1,176 @@
+"""License scan, pseudonyms, decontamination and fingerprints against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from strata.llm import decontaminate, licenses, pii, syncmers
+from tests.llm.data import empty, frame, prose, rows
+from tests.plans import plan
+
+ITEMS = "item_id long, text string"
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower(t):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+
+
+def words(t):
+    return WORD.findall(lower(t))
+
+
+def items():
+    base = prose(1, 80).split()
+    return [(1, " ".join(base[10:40])), (2, "One"), (3, None), (4, ""), (5, "a a a a a a a a a a a a"),
+            (6, prose(77, 30)), (1, " ".join(base[10:40])), (None, " ".join(base[60:75])), (8, "one two three")]
+
+
+def test_decontamination_is_exact(spark):
+    got = decontaminate.report(frame(spark), spark.createDataFrame(items(), ITEMS)).collect()
+    windows = {}
+    for i, t in items():
+        w = words(t)
+        n = min(10, len(w))
+        for s in range(len(w) - n + 1 if w else 0):
+            windows.setdefault(tuple(w[s:s + n]), set()).add("" if i is None else str(i))
+    want = []
+    for r in rows():
+        w, hit, its = words(r[1]), set(), set()
+        for n in {len(k) for k in windows}:
+            for s in range(len(w) - n + 1):
+                if tuple(w[s:s + n]) in windows:
+                    hit.update(range(s, s + n))
+                    its |= windows[tuple(w[s:s + n])]
+        want.append((str(r[0]), len(w), len(hit), len(its),
+                     hashlib.sha256(",".join(sorted(its)).encode()).hexdigest(), bool(hit)))
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got) == sorted(want)
+
+
+def test_decontamination_bears_empty_tables(spark):
+    none = spark.createDataFrame([], ITEMS)
+    assert decontaminate.report(frame(spark), none).where("contaminated").count() == 0
+    assert decontaminate.report(empty(spark), spark.createDataFrame(items(), ITEMS)).count() == 0
+    kept = decontaminate.decontaminate(frame(spark), spark.createDataFrame(items(), ITEMS))
+    assert kept.columns == frame(spark).columns
+    marked = decontaminate.report(frame(spark), spark.createDataFrame(items(), ITEMS)).collect()
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(
+        str(r.doc_id) for r in marked if not r.contaminated)
+
+
+def test_proximity(spark):
+    docs = spark.createDataFrame([(1, "alpha x beta"), (2, "beta x y alpha"), (3, "alpha"), (4, None)],
+                                 "doc_id long, text string")
+    q = spark.createDataFrame([(9, "Alpha beta")], ITEMS)
+    got = sorted(tuple(r) for r in decontaminate.proximity_matches(docs, q, 3).collect())
+    assert got == [(1, "9", 0, 2)]
+    assert decontaminate.proximity_matches(docs, q, 4).count() == 2
+
+
+def brute_sketch(text, k=16, s=8, bins=64):
+    b, low = (text or "").encode(), {}
+    def h(x):
+        v = xxhash.xxh64_intdigest(x, 42)
+        return v - (1 << 64) if v >> 63 else v
+    for i in range(max(1, len(b) - k + 1) if b else 0):
+        inner = [h(b[i + j:i + j + s]) for j in range(k - s + 1)]
+        if len(b) < k or min(inner) in (inner[0], inner[-1]):
+            v = h(b[i:i + k])
+            low[v % bins] = min(v, low.get(v % bins, v))
+    return sorted(n * 65536 + (v & 65535) for n, v in low.items())
+
+
+def test_fingerprints_match_brute_force(spark):
+    data = [r for r in rows() if r[0] not in (10, None)]
+    got = syncmers.fingerprints(frame(spark, data), bucket_chars=300).collect()
+    ordered = sorted(data, key=lambda r: (r[0], r[1] or ""))
+    want = []
+    for r, nxt in zip(ordered, ordered[1:] + ordered[:1]):
+        t, o = r[1] or "", nxt[1] or ""
+        cut = len(t) // 4
+        e = t[:len(t) - cut] + o[:cut]
+        a, b, c = brute_sketch(t), brute_sketch(e), brute_sketch(o)
+        def like(x, y):
+            used = {v >> 16 for v in x} | {v >> 16 for v in y}
+            return 1.0 if not used else len(set(x) & set(y)) / len(used)
+        want.append((r[0], len(t), hashlib.sha256(e.encode()).hexdigest(), "".join(f"{v:06x}" for v in a),
+                     "".join(f"{v:06x}" for v in b), pytest.approx(like(a, b)), pytest.approx(like(a, c))))
+    key = lambda x: (x[0], x[3], x[2])      # noqa: E731
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    assert syncmers.fingerprints(frame(spark)).count() == len(rows())
+    assert syncmers.fingerprints(empty(spark)).count() == 0
+
+
+def luhn(d):
+    t = 0
+    for i, c in enumerate(reversed(d)):
+        n = int(c) * (2 if i % 2 else 1)
+        t += n - 9 if n > 9 else n
+    return t % 10 == 0
+
+
+VALUES = ["4785380592391139", "4111-1111-1111-1111", "+1 (663) 555-6869", "152.143.123.131", "123-45-6789",
+          "2024-02-29", "31/12/1999", "28.02.2023", "the.72@mail3.example.com",
+          "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"]
+INVALID = ["2123465659789240", "999.1.1.1", "2023-02-30", "000-12-3456", "+1 (163) 555-6869", "v2.0.", "12345"]
+
+
+def replaced(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    return [r.text for r in pii.pseudonymise(df).orderBy("doc_id").collect()]
+
+
+def test_pseudonyms_keep_format_and_links(spark):
+    a = replaced(spark, VALUES)
+    b = replaced(spark, [f"see {v}### twice {v}." for v in VALUES])
+    for v, p, again in zip(VALUES, a, b):
+        assert p != v and again == f"see {p}### twice {p}."
+        if "@" not in v and len(v) < 40 and v.count(".") != 3:
+            assert re.sub(r"\d", "9", p) == re.sub(r"\d", "9", v)
+    assert luhn(a[0]) and luhn(a[1].replace("-", ""))
+    assert all(int(x) <= 255 for x in a[3].split(".")) and re.fullmatch(r"[0-9a-f]{40}", a[9])
+    assert a[8].endswith("@mail3.example.com") and re.fullmatch(r"[a-z]{3}\.\d\d@.*", a[8])
+    assert replaced(spark, INVALID) == INVALID
+
+
+def test_feistel_is_a_permutation(spark):
+    left, right = pii.feistel(F.floor(F.col("id") / 13), F.col("id") % 13, 7, 13, "k", "t")
+    got = spark.range(91).select((left * 13 + right).alias("x")).collect()
+    assert sorted(r.x for r in got) == list(range(91))
+    different = replaced(spark, [f"10.0.{i}.7" for i in range(64)])
+    assert len(set(different)) == 64
+
+
+def test_pseudonyms_bear_odd_rows(spark):
+    out = pii.pseudonymise(frame(spark), counts="found")
+    assert sorted(str(r.text) for r in out.collect()) == sorted(str(r[1]) for r in rows())
+    assert out.agg(F.sum("found")).first()[0] == 0 and pii.pseudonymise(empty(spark)).count() == 0
+
+
+def test_license_scan(spark):
+    apache = licenses.TEMPLATES["Apache-2.0"]
+    broken = apache.replace("limitations", "").replace("express or implied", "x")
+    data = [(1, prose(1, 50) + "\nReleased under the MIT License.\n" + prose(2, 50)),
+            (2, prose(3, 500) + " " + apache + " " + prose(4, 70)), (3, prose(5, 33) + " " + broken),
+            (4, prose(6, 90)), (5, None), (6, ""), (7, "Released under the MIT"), (7, "released UNDER the mit LICENSE"),
+            (8, apache[:len(apache) // 2])]
+    got = licenses.scan(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    found = {(r.doc_id, r.license) for r in got}
+    assert {(1, "MIT/line"), (2, "Apache-2.0"), (3, "Apache-2.0"), (7, "MIT/line")} <= found
+    assert not {d for d, _ in found} & {4, 5, 6}
+    assert (8, "Apache-2.0") not in found
+    assert all(r.containment >= 0.8 for r in got)
+    assert licenses.scan(frame(spark)).count() == 0 and licenses.scan(empty(spark)).count() == 0
+
+
+def test_native_plans_hold_no_python(spark):
+    docs = frame(spark)
+    for df in (licenses.scan(docs), pii.pseudonymise(docs), syncmers.fingerprints(docs),
+               decontaminate.report(docs, spark.createDataFrame(items(), ITEMS))):
+        text = plan(df, "simple")
+        assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", text)
