@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import stored, whole_text
 
 K, S, BINS = 16, 8, 64
-BUCKET_CHARS = 16 << 20         # text laid out in order in one bucket, about
+BUCKET_CHARS = 8 << 20          # text laid out in order in one bucket, about
 MAX_BUCKETS = 20_000
 
 
@@ -81,11 +81,12 @@ def _bucket_of(doc_id: Column, bounds: list[int]) -> Column:
 
 
 def with_next(docs: DataFrame, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``doc_id, text, next_text, rid, next_rid`` in
+    """``docs(doc_id, text)`` -> ``bucket, doc_id, text, next_text, rid, next_rid`` in
     ascending ids (NULL last, repeated ids by text); after the last comes the
     first.  Ids are cut into buckets of neighbouring ids at values that occur, so
     the row after a bucket's last is the bound's: those rows are laid out twice,
-    nothing is ordered in one task and each text is shuffled once."""
+    nothing is ordered in one task and each text is shuffled once.  Rows stay
+    dealt out by ``bucket``: what is grouped by it and more is not shuffled again."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text("text").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n"), F.min("doc_id").alias("low")).first()
     buckets = int(min(MAX_BUCKETS, max(1, (size.n or 0) // bucket_chars)))
@@ -115,7 +116,7 @@ def with_next(docs: DataFrame, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
     first_of_next = F.when(F.col("bucket") == last, 0).otherwise(F.col("bucket") + 1).cast("long") * stride + 1
     rid = F.col("bucket").cast("long") * stride + F.col("nth")
     return laid.where("guest = 0").select(
-        "doc_id", "text", "next_text", rid.alias("rid"),
+        "bucket", "doc_id", "text", "next_text", rid.alias("rid"),
         F.when(F.col("next_guest") == 0, rid + 1).otherwise(first_of_next).alias("next_rid"))
 
 
@@ -133,17 +134,17 @@ def fingerprints(docs: DataFrame, bins: int = BINS, k: int = K, s: int = S,
     fingerprint, edited_fingerprint, near_edited, near_next``.  NULL texts are
     empty: their fingerprint is '' and they are like other empty texts only."""
     rows = with_next(docs, bucket_chars).withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    facts = rows.select("doc_id", "rid", "next_rid", F.char_length("text").cast("long").alias("n_chars"),
+    facts = rows.select("bucket", "doc_id", "rid", "next_rid", F.char_length("text").cast("long").alias("n_chars"),
                         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    both = rows.select("rid", F.explode(F.array(
+    both = rows.select("bucket", "rid", F.explode(F.array(
         F.struct(F.lit(0).alias("which"), F.col("text").cast("binary").alias("bytes")),
         F.struct(F.lit(1).alias("which"), F.col("edited").cast("binary").alias("bytes")))).alias("v"))
-    sketch = sketches(both.select("rid", "v.which", "v.bytes"), bins, k, s)
-    pair = sketch.groupBy("rid").agg(
+    sketch = sketches(both.select("bucket", "rid", "v.which", "v.bytes"), bins, k, s)
+    pair = sketch.groupBy("bucket", "rid").agg(
         F.max(F.when(F.col("which") == 0, F.col("sketch"))).alias("sketch"),
         F.max(F.when(F.col("which") == 1, F.col("sketch"))).alias("edited_sketch"))
     none = F.array().cast("array<int>")
-    out = stored(facts.join(pair, "rid", "left").select(
+    out = stored(facts.join(pair, ["bucket", "rid"], "left").select(
         "doc_id", "rid", "next_rid", "n_chars", "edited_sha256",
         F.coalesce("sketch", none).alias("sketch"), F.coalesce("edited_sketch", none).alias("edited_sketch")), "sketches")
     following = out.select(F.col("rid").alias("next_rid"), F.col("sketch").alias("next_sketch"))
