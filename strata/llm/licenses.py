@@ -103,16 +103,28 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, shingle: int
     def minhash(hashes: Column, band: int) -> Column:
         return F.transform(hashes, lambda h: F.xxhash64(h, F.lit(band)))
 
-    keys = hashed.select("license", "grams", "win", F.explode(F.array(*[
-        F.struct(F.lit(b).alias("band"), F.array_min(minhash(F.col("hashes"), b)).alias("low"))
-        for b in range(bands)])).alias("key")).select("license", "grams", "win", "key.band", "key.low")
+    def least(hashes: Column, band: int) -> Column:
+        """The MinHash value of a band and the shingle it comes from."""
+        return F.array_min(F.transform(hashes, lambda h: F.struct(
+            F.xxhash64(h, F.lit(band)).alias("low"), h.alias("anchor"))))
+
+    found = hashed.select("license", "grams", "win", F.explode(F.array(*[
+        F.struct(F.lit(b).alias("band"), least(F.col("hashes"), b).alias("least")) for b in range(bands)])).alias("key"))
+    keys = found.select("license", "grams", "win", "key.band", "key.least.low")
     lows: dict[int, list[int]] = {b: [] for b in range(bands)}
-    for r in keys.select("band", "low").collect():          # templates x bands
+    anchors: set[int] = set()
+    for r in found.select("key.band", "key.least.low", "key.least.anchor").collect():      # templates x bands
         lows[r.band].append(r.low)
+        anchors.add(r.anchor)
     rows = (docs.select("doc_id", words_of(whole_text("text"), PLAIN_WORD).alias("words"))
             .withColumn("hashes", F.transform(
                 F.when(F.size("words") >= shingle, F.sequence(F.lit(1), F.size("words") - (shingle - 1)))
-                .otherwise(F.array().cast("array<int>")), lambda i: _gram_hash("words", i - 1, shingle)))
+                .otherwise(F.array().cast("array<int>")), lambda i: _gram_hash("words", i - 1, shingle))))
+    # a window's band key can only be a template's if the window holds the shingle
+    # which that key comes from: a text with none of these shingles has no such
+    # window.  An explode, as a filter would be pushed below and hash again
+    anchored = F.arrays_overlap("hashes", F.array(*[F.lit(a).cast("long") for a in sorted(anchors)]))
+    rows = (rows.select("*", F.explode(F.when(anchored, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))))
             .select("doc_id", "words", "hashes", *[minhash(F.col("hashes"), b).alias(f"m{b}") for b in range(bands)]))
     wins = rows.select("*", F.explode(F.array(*[F.struct(F.lit(w).alias("win"), F.lit(max(1, w // 4)).alias("step"))
                                                 for w in sorted(set(window_of.values()))])).alias("class"))
