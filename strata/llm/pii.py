@@ -29,17 +29,23 @@ MAIL = r"[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IPV4 = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
 DAY_DATE = r"\d{2}[/.]\d{2}[/.]\d{4}"
-PHONE = r"(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
+PHONE = r"(?:\+1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}"
 SSN = r"\d{3}-\d{2}-\d{4}"
-CARD = r"\d(?:[ -]?\d){12,18}"
 HEX_KEY = r"[0-9a-f]{32,128}"
 _AHEAD = r"(?![\p{L}\p{N}])"
 _IP_AHEAD = r"(?!\.?\d)"
+# Digit groups of 13 digits or more in all, up to where another value begins; the
+# cards are searched for among them.  Possessive, which Java runs without recursion.
+_OTHER = rf"(?!{MAIL}|{IPV4}{_IP_AHEAD}|(?:{ISO_DATE}|{DAY_DATE}|{SSN}|{PHONE}){_AHEAD})"
+_GROUP = rf"\d{{1,19}}+{_AHEAD}"
+CARD_RUN = rf"(?=\d(?:[ -]?\d){{12}}){_GROUP}(?:[ -]{_OTHER}{_GROUP})*+"
+# Groups as cards are printed: one, four by four, 4-6-5 and 4-6-4.
+CARD_SHAPES = r"\d{13,19}|\d{4}(?: \d{4}){3}(?: \d{3})?|\d{4} \d{6} \d{4,5}"
 PATTERN = (rf"(?<![\p{{L}}\p{{N}}._%+-]){MAIL}"
            rf"|(?<![\p{{L}}\p{{N}}.]){IPV4}{_IP_AHEAD}"
            rf"|(?<![\p{{L}}\p{{N}}-])(?:{ISO_DATE}|{DAY_DATE}|{SSN}){_AHEAD}"
            rf"|(?<![\p{{L}}\p{{N}}]){PHONE}{_AHEAD}"
-           rf"|(?<![\p{{L}}\p{{N}}.-]){CARD}{_AHEAD}"
+           rf"|(?<![\p{{L}}\p{{N}}.-]){CARD_RUN}"
            rf"|(?<![\p{{L}}\p{{N}}]){HEX_KEY}{_AHEAD}")
 
 
@@ -103,7 +109,8 @@ def luhn_sum(digits: Column) -> Column:
 
 
 def _card(value: Column, key: str) -> Column:
-    """All digits but the last are permuted; the last is the new check digit."""
+    """All digits of a valid card but the last are permuted; the last is the new
+    check digit."""
     def with_digits(d: Column) -> Column:
         n = F.length(d) - 1
         lw = F.floor(n / 2).cast("int")
@@ -115,10 +122,67 @@ def _card(value: Column, key: str) -> Column:
 
         def checked(x: Column) -> Column:
             return F.concat(x, F.pmod(-luhn_sum(F.concat(x, F.lit("0"))), F.lit(10)).cast("string"))
-        return F.when((F.length(d).between(13, 19)) & (luhn_sum(d) % 10 == 0), _refill(value, _let(body, checked)))
+        return _refill(value, _let(body, checked))
     return _let(_digits(value), with_digits)
 
 
+def _card_ends(groups: Column, first: Column) -> Column:
+    """Ends (counts of groups) of the valid cards that begin at group ``first``,
+    with ``usual`` for those in the groups that cards are printed in."""
+    spans = F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - first + 1)),
+        lambda n: F.struct((first + n - 1).alias("end"), F.array_join(F.slice(groups, first, n), " ").alias("said")))
+
+    def valid(x: Column) -> Column:
+        return F.when(F.length(F.replace(x["said"], F.lit(" "), F.lit(""))).between(13, 19),
+                      _let(F.replace(x["said"], F.lit(" "), F.lit("")), lambda d: luhn_sum(d) % 10 == 0)).otherwise(False)
+    return F.transform(F.filter(spans, valid), lambda x: F.struct(
+        x["end"].alias("end"), x["said"].rlike(f"^(?:{CARD_SHAPES})$").alias("usual")))
+
+
+def _cards(value: Column, key: str) -> Column:
+    """``out``, a run of digit groups with the valid cards in it replaced, and
+    ``n``, their number; NULL without any.  A card begins and ends at the border
+    of a group.  From left to right, a card in usual groups goes before one that
+    reaches into it or begins with it; of the others the longest is taken."""
+    def of_groups(tokens: Column, groups: Column, ends: Column) -> Column:
+        usual = F.transform(ends, lambda e: F.array_max(F.transform(F.filter(e, lambda x: x["usual"]),
+                                                                    lambda x: x["end"])))
+
+        def chosen(usual: Column, i: Column) -> Column:
+            free = F.filter(F.get(ends, i - 1), lambda x: ~F.exists(
+                F.slice(usual, i + 1, F.greatest(F.lit(0), x["end"] - i)), lambda u: u.isNotNull()))
+            return F.coalesce(F.get(usual, i - 1), F.array_max(F.transform(free, lambda x: x["end"])))
+
+        def pieces(usual: Column) -> Column:
+            start = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<at:int,end:int>>").alias("cards"))
+
+            def step(acc: Column, i: Column) -> Column:
+                return _let(F.when(i >= acc["next"], chosen(usual, i)), lambda end: F.when(end.isNull(), acc).otherwise(
+                    F.struct((end + 1).alias("next"), F.array_append(
+                        acc["cards"], F.struct(i.alias("at"), end.alias("end"))).alias("cards"))))
+            return F.aggregate(F.sequence(F.lit(1), F.size(groups)), start, step, lambda acc: acc["cards"])
+
+        def text(first: Column, n: Column) -> Column:
+            return F.array_join(F.slice(tokens, first, n), "")
+
+        def put(cards: Column) -> Column:
+            def with_gap(c: Column, k: Column) -> Column:
+                gap = F.coalesce(F.get(cards, k - 1)["end"], F.lit(0)) + 1
+                return F.concat(text(gap, c["at"] - gap), _card(text(c["at"], c["end"] - c["at"] + 1), key))
+            last = F.element_at(cards, -1)["end"]
+            return F.when(F.size(cards) > 0, F.struct(
+                F.concat(F.array_join(F.transform(cards, with_gap), ""),
+                         text(last + 1, F.size(tokens) - last)).alias("out"), F.size(cards).alias("n")))
+        return _let(_let(usual, pieces), put)
+
+    def with_tokens(tokens: Column) -> Column:
+        return _let(F.transform(tokens, _digits), lambda groups: _let(
+            F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: _card_ends(groups, i)),
+            lambda ends: of_groups(tokens, groups, ends)))
+    return _let(F.regexp_extract_all(value, F.lit(r"\d+[ -]?"), F.lit(0)), with_tokens)
+
+
 def _ipv4(value: Column, key: str) -> Column:
     def with_parts(p: Column) -> Column:
         left, right = feistel(p[0] * 256 + p[1], p[2] * 256 + p[3], 1 << 16, 1 << 16, key, "ipv4")
@@ -139,7 +203,7 @@ def _phone(value: Column, key: str) -> Column:
         out = _let(F.struct(left.alias("l"), right.alias("r")), lambda s: F.concat(
             F.when(value.startswith("+1"), F.lit("1")).otherwise(""), (s["l"] + 200).cast("string"),
             (s["r"] + 2_000_000).cast("string")))
-        return F.when((area >= 200) & (rest >= 2_000_000), _refill(value, out))
+        return _refill(value, out)
     return _let(F.right(_digits(value), F.lit(10)), with_digits)
 
 
@@ -210,20 +274,23 @@ def _mail(value: Column, key: str) -> Column:
 
 
 def pseudonym(value: Column, key: str = KEY) -> Column:
-    """Pseudonym of one match of ``PATTERN``; NULL where the value is not valid."""
+    """``out``, the pseudonym of one match of ``PATTERN``, and ``n``, how many
+    values in it were replaced; NULL where none is valid."""
     def whole(p: str) -> Column:
         return value.rlike(f"^(?:{p})$")
 
-    return (F.when(value.contains("@"), _mail(value, key))
-            .when(whole(IPV4), _ipv4(value, key))
-            .when(whole(ISO_DATE), _date(value, "yyyy-MM-dd", key))
-            .when(whole(r"\d{2}/\d{2}/\d{4}"), _date(value, "dd/MM/yyyy", key))
-            .when(whole(r"\d{2}\.\d{2}\.\d{4}"), _date(value, "dd.MM.yyyy", key))
-            .when(whole(SSN), _ssn(value, key))
-            .when(whole(PHONE), _phone(value, key))
-            .when(whole(CARD), F.coalesce(_card(value, key), F.when(
-                whole(HEX_KEY), _permute_chars(value, key, "hex", hex_key=True)).otherwise(F.lit(None))))
-            .when(whole(HEX_KEY), _permute_chars(value, key, "hex", hex_key=True)))
+    def one(new: Column) -> Column:
+        return _let(new, lambda x: F.when(x.isNotNull(), F.struct(x.alias("out"), F.lit(1).alias("n"))))
+
+    return (F.when(value.contains("@"), one(_mail(value, key)))
+            .when(whole(IPV4), one(_ipv4(value, key)))
+            .when(whole(ISO_DATE), one(_date(value, "yyyy-MM-dd", key)))
+            .when(whole(r"\d{2}/\d{2}/\d{4}"), one(_date(value, "dd/MM/yyyy", key)))
+            .when(whole(r"\d{2}\.\d{2}\.\d{4}"), one(_date(value, "dd.MM.yyyy", key)))
+            .when(whole(SSN), one(_ssn(value, key)))
+            .when(whole(PHONE), one(_phone(value, key)))
+            .when(whole(HEX_KEY), one(_permute_chars(value, key, "hex", hex_key=True)))
+            .otherwise(_cards(value, key)))
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY, counts: str | None = None) -> DataFrame:
@@ -239,10 +306,11 @@ def pseudonymise(docs: DataFrame, key: str = KEY, counts: str | None = None) ->
     parts = F.split(text, PATTERN, -1)
     put = F.array_join(F.concat(F.zip_with(
         F.slice(parts, F.lit(1), F.size("__found")),
-        F.zip_with("__found", "__new", lambda old, new: F.coalesce(new, old)), lambda p, v: F.concat(p, v)),
+        F.zip_with("__found", "__new", lambda old, new: F.coalesce(new["out"], old)), lambda p, v: F.concat(p, v)),
         F.slice(parts, F.size("__found") + 1, F.lit(1))), "")
     new_text = F.when(F.size("__found") > 0, put).otherwise(text)
     out = [new_text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     if counts:
-        out.append(F.coalesce(F.size(F.filter("__new", lambda v: v.isNotNull())), F.lit(0)).cast("long").alias(counts))
+        out.append(F.coalesce(F.aggregate(
+            "__new", F.lit(0), lambda n, v: n + F.coalesce(v["n"], F.lit(0))), F.lit(0)).cast("long").alias(counts))
     return rows.select(*out)
