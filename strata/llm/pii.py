@@ -14,6 +14,8 @@ is not searched further.
 
 from __future__ import annotations
 
+import json
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -28,23 +30,32 @@ KEY = "strata-pseudonyms"       # a parameter; production passes a secret
 MAIL = r"[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IPV4 = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
-DAY_DATE = r"\d{2}[/.]\d{2}[/.]\d{4}"
+DAY_DATE = r"\d{1,2}(?:/\d{1,2}/|\.\d{1,2}\.)\d{4}"
+MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+          "November", "December"]
+_MONTH = "(?:" + "|".join(f"{m}|{m.upper()}|{m.lower()}" for m in [*MONTHS, *(m[:3] for m in MONTHS)]) + ")"
+SAID_DATE = (rf"(?:\d{{1,2}}(?:st|nd|rd|th)?[ -](?:of )?{_MONTH}[.,]{{0,2}}[ -]\d{{4}}"
+             rf"|{_MONTH}\.? \d{{1,2}}(?:st|nd|rd|th)?,? \d{{4}})")
 PHONE = r"(?:\+1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}"
 SSN = r"\d{3}-\d{2}-\d{4}"
+ABROAD = r"\+[1-9](?:[ .()-]{0,2}\d){6,14}"
+IBAN = r"[A-Z]{2}\d{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})"
 HEX_KEY = r"[0-9a-f]{32,128}"
 _AHEAD = r"(?![\p{L}\p{N}])"
+_DATE_AHEAD = r"(?!(?!T\d)[\p{L}\p{N}])"
 _IP_AHEAD = r"(?!\.?\d)"
 # Digit groups of 13 digits or more in all, up to where another value begins; the
 # cards are searched for among them.  Possessive, which Java runs without recursion.
-_OTHER = rf"(?!{MAIL}|{IPV4}{_IP_AHEAD}|(?:{ISO_DATE}|{DAY_DATE}|{SSN}|{PHONE}){_AHEAD})"
+_OTHER = (rf"(?!{MAIL}|{IPV4}{_IP_AHEAD}|{ISO_DATE}{_DATE_AHEAD}"
+          rf"|(?:{DAY_DATE}|{SAID_DATE}|{SSN}|{PHONE}){_AHEAD})")
 _GROUP = rf"\d{{1,19}}+{_AHEAD}"
 CARD_RUN = rf"(?=\d(?:[ -]?\d){{12}}){_GROUP}(?:[ -]{_OTHER}{_GROUP})*+"
 # Groups as cards are printed: one, four by four, 4-6-5 and 4-6-4.
 CARD_SHAPES = r"\d{13,19}|\d{4}(?: \d{4}){3}(?: \d{3})?|\d{4} \d{6} \d{4,5}"
 PATTERN = (rf"(?<![\p{{L}}\p{{N}}._%+-]){MAIL}"
            rf"|(?<![\p{{L}}\p{{N}}.]){IPV4}{_IP_AHEAD}"
-           rf"|(?<![\p{{L}}\p{{N}}-])(?:{ISO_DATE}|{DAY_DATE}|{SSN}){_AHEAD}"
-           rf"|(?<![\p{{L}}\p{{N}}]){PHONE}{_AHEAD}"
+           rf"|(?<![\p{{L}}\p{{N}}-])(?:{ISO_DATE}{_DATE_AHEAD}|(?:{DAY_DATE}|{SAID_DATE}|{SSN}){_AHEAD})"
+           rf"|(?<![\p{{L}}\p{{N}}])(?:{PHONE}|{ABROAD}|{IBAN}){_AHEAD}"
            rf"|(?<![\p{{L}}\p{{N}}.-]){CARD_RUN}"
            rf"|(?<![\p{{L}}\p{{N}}]){HEX_KEY}{_AHEAD}")
 
@@ -222,16 +233,180 @@ def _ssn(value: Column, key: str) -> Column:
     return _let(_digits(value), with_digits)
 
 
-def _date(value: Column, fmt: str, key: str) -> Column:
-    """Days of the 400 years from 1800 on: 189 x 773."""
-    first = F.lit("1800-01-01").cast("date")
+_FIRST_DAY = "1800-01-01"
+_DAYS = 189 * 773           # the 400 years from then on
 
-    def with_day(n: Column) -> Column:
-        left, right = feistel(F.floor(n / 773), F.pmod(n, F.lit(773)), 189, 773, key, "date")
-        out = _let(F.struct(left.alias("l"), right.alias("r")),
-                   lambda s: F.date_format(F.date_add(first, (s["l"] * 773 + s["r"]).cast("int")), fmt))
-        return F.when(n.between(0, 189 * 773 - 1), out)
-    return _let(F.datediff(F.to_date(F.try_to_timestamp(value, F.lit(fmt))), first).cast("long"), with_day)
+
+def _walk(n: Column, key: str, within: Callable[[Column], Column]) -> Column:
+    """The day ``n`` permuted until the result is ``within`` a class that ``n``
+    is of: a permutation of that class.  Of the smallest class, every fifth of
+    the days, one in 10^27 are still outside after the last step: NULL."""
+    def again(acc: Column, i: Column) -> Column:
+        left, right = feistel(F.floor(acc / 773), F.pmod(acc, F.lit(773)), 189, 773, key, "date")
+        moved = _let(F.struct(left.alias("l"), right.alias("r")), lambda s: s["l"] * 773 + s["r"])
+        return F.when((i > 1) & within(F.date_add(F.lit(_FIRST_DAY).cast("date"), acc.cast("int"))), acc).otherwise(moved)
+    out = F.aggregate(F.sequence(F.lit(1), F.lit(256)), n, again)
+    return _let(out, lambda x: F.when(
+        x.isNotNull() & within(F.date_add(F.lit(_FIRST_DAY).cast("date"), x.cast("int"))),
+        F.date_add(F.lit(_FIRST_DAY).cast("date"), x.cast("int"))))
+
+
+def _date(year: Column, month: Column, day: Column, key: str, within: Callable[[Column], Column]) -> Column:
+    """Another day of the 400 years from 1800 on, ``within`` the days that can be
+    written as the value is; NULL if the calendar has no such day."""
+    said = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+    n = F.datediff(F.to_date(F.try_to_timestamp(said, F.lit("yyyy-MM-dd"))), F.lit(_FIRST_DAY).cast("date"))
+    return _let(n.cast("long"), lambda n: F.when(n.between(0, _DAYS - 1), _walk(n, key, within)))
+
+
+def _iso_date(value: Column, key: str) -> Column:
+    new = _date(F.left(value, F.lit(4)), F.substring(value, 6, 2), F.right(value, F.lit(2)), key,
+                lambda d: F.lit(True))
+    return F.date_format(new, "yyyy-MM-dd")
+
+
+def _day_date(value: Column, key: str) -> Column:
+    """Day first if the calendar has such a day, else month first.  The digits of
+    day and month stay as many, and what can only be read month first stays so:
+    a text has one reading, and different texts have different pseudonyms."""
+    def with_parts(p: Column) -> Column:
+        day_first = p[1].cast("int") <= 12
+        day, month = F.when(day_first, p[0]).otherwise(p[1]), F.when(day_first, p[1]).otherwise(p[0])
+
+        def places(d: Column) -> tuple[Column, Column]:
+            return (F.when(day_first, F.day(d)).otherwise(F.month(d)),
+                    F.when(day_first, F.month(d)).otherwise(F.day(d)))
+
+        def within(d: Column) -> Column:
+            first, second = places(d)
+            return (((F.length(p[0]) == 2) | (first < 10)) & ((F.length(p[1]) == 2) | (second < 10))
+                    & (day_first | (second > 12)))
+
+        def said(d: Column) -> Column:
+            first, second = places(d)
+            mark = F.when(value.contains("/"), "/").otherwise(".")
+            return F.concat(_pad(first, F.length(p[0])), mark, _pad(second, F.length(p[1])), mark, _pad(F.year(d), 4))
+        return _let(_date(p[2], month, day, key, within), lambda d: F.when(d.isNotNull(), said(d)))
+    return _let(F.split(value, "[/.]"), with_parts)
+
+
+def _said_date(value: Column, key: str) -> Column:
+    """A date with an English month.  Its order, marks, case, number of digits and
+    long or short names stay; the name May counts as long."""
+    names = F.array(*[F.lit(m) for m in MONTHS])
+
+    def with_parts(p: Column) -> Column:
+        name, day, mark = p["name"], p["day"], p["mark"]
+        month = F.array_position(F.transform(names, lambda m: F.lower(F.left(m, F.lit(3)))),
+                                 F.lower(F.left(name, F.lit(3))))
+        short = (F.length(name) == 3) & (F.lower(name) != "may")
+
+        def within(d: Column) -> Column:
+            return ((F.length(day) == 2) | (F.day(d) < 10)) & (~short | (F.month(d) != 5))
+
+        def said(d: Column) -> Column:
+            full = F.element_at(names, F.month(d))
+            new = F.when(short, F.left(full, F.lit(3))).otherwise(full)
+            new = F.when(name == F.upper(name), F.upper(new)).when(name == F.lower(name), F.lower(new)).otherwise(new)
+            n = F.day(d)
+            nth = F.when(mark == "", "").when(n.isin(1, 21, 31), "st").when(n.isin(2, 22), "nd").when(
+                n.isin(3, 23), "rd").otherwise("th")
+            day_out = F.concat(_pad(n, F.length(day)), nth)
+            return F.concat(F.when(p["before"] == "", F.concat(day_out, p["mid"], new)).otherwise(
+                F.concat(new, p["mid"], day_out)), p["end"], _pad(F.year(d), 4))
+        return _let(_date(F.right(value, F.lit(4)), month.cast("string"), day, key, within),
+                    lambda d: F.when(d.isNotNull(), said(d)))
+
+    def part(pattern: str, group: int) -> Column:
+        return F.regexp_extract(value, pattern, group)
+    day_first = rf"^(\d+)(st|nd|rd|th|)([ -](?:of )?)({_MONTH})([.,]*[ -])\d{{4}}$"
+    month_first = rf"^({_MONTH})(\.? )(\d+)(st|nd|rd|th|)(,? )\d{{4}}$"
+
+    def struct(pattern: str, name: int, day: int, mark: int, mid: int, end: int, before: str) -> Column:
+        return F.struct(part(pattern, name).alias("name"), part(pattern, day).alias("day"),
+                        part(pattern, mark).alias("mark"), part(pattern, mid).alias("mid"),
+                        part(pattern, end).alias("end"), F.lit(before).alias("before"))
+    return _let(F.when(value.rlike(r"^\d"), struct(day_first, 4, 1, 2, 3, 5, ""))
+                .otherwise(struct(month_first, 1, 3, 4, 2, 5, "month")), with_parts)
+
+
+def _permute_digits(d: Column, key: str, kind: str) -> Column:
+    """A string of 2 to 18 digits permuted over all strings of as many."""
+    n, lw = F.length(d), F.floor(F.length(d) / 2).cast("int")
+    left, right = feistel(F.left(d, lw).cast("long"), F.substring(d, lw + 1, n - lw).cast("long"),
+                          F.pow(F.lit(10.0), lw).cast("long"), F.pow(F.lit(10.0), n - lw).cast("long"), key, kind)
+    return _let(F.struct(left.alias("l"), right.alias("r")),
+                lambda s: F.concat(_pad(s["l"], lw), _pad(s["r"], n - lw)))
+
+
+# Country codes: one digit, two digits; all others have three.
+COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+
+
+def _abroad(value: Column, key: str) -> Column:
+    """The country code stays; the digits after it are permuted over all of their
+    number.  A North American number without its marks is one of ``_phone``; one
+    whose area or exchange is not in use stays."""
+    def with_digits(d: Column) -> Column:
+        code = F.regexp_extract(d, f"({COUNTRY})", 1)
+        rest = F.substring(d, F.length(code) + 1, F.length(d))
+        return F.when(code != "1", _refill(value, F.concat(code, _permute_digits(rest, key, "abroad")))).when(
+            d.rlike(r"^1[2-9]\d\d[2-9]\d{6}$"), _phone(value, key))
+    return _let(_digits(value), with_digits)
+
+
+def _iban(value: Column, key: str) -> Column:
+    """Letters and digits of a valid account are permuted within their class, and
+    the check digits follow.  The country stays."""
+    def check(country: Column, account: Column) -> Column:
+        def add(acc: Column, c: Column) -> Column:
+            n = F.ascii(c)
+            return F.when(n < 58, F.pmod(acc * 10 + n - 48, F.lit(97))).otherwise(F.pmod(acc * 100 + n - 55, F.lit(97)))
+        return _pad(98 - F.aggregate(F.split(F.concat(account, country, F.lit("00")), ""), F.lit(0), add), 2)
+
+    def with_text(t: Column) -> Column:
+        country, account = F.left(t, F.lit(2)), F.substring(t, 5, 30)
+
+        def put(new: Column) -> Column:
+            whole = F.concat(country, check(country, new), new)
+            start = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"))
+            return F.aggregate(F.split(value, ""), start, lambda acc, c: F.struct(
+                F.concat(acc["out"], F.when(c == " ", c).otherwise(F.substring(whole, acc["n"] + 1, F.lit(1)))).alias("out"),
+                (acc["n"] + F.when(c == " ", 0).otherwise(1)).alias("n")), lambda acc: acc["out"])
+        return F.when(F.substring(t, 3, 2) == check(country, account),
+                      _let(_permute_chars(account, key, "iban"), put))
+    return _let(F.replace(value, F.lit(" "), F.lit("")), with_text)
+
+
+def _letter_ranges() -> list[tuple[int, int]]:
+    """(first, size) of the runs of code points beyond ASCII that are letters or
+    numbers; the runs of one go together as the pairs after the list."""
+    runs: list[list[int]] = []
+    for c in range(128, 0x20000):
+        if unicodedata.category(chr(c))[0] in "LN":
+            if runs and runs[-1][0] + runs[-1][1] == c:
+                runs[-1][1] += 1
+            else:
+                runs.append([c, 1])
+    return [(a, n) for a, n in runs]
+
+
+_RUNS = [r for r in _letter_ranges() if r[1] > 1]
+_LONE = "".join(chr(a) for a, n in _letter_ranges() if n == 1)
+
+
+def _beyond_ascii(c: Column, k: Column) -> Column:
+    """A letter or number beyond ASCII moved by ``k`` within the run of code
+    points it is in, a lone one among the lone ones."""
+    runs = F.from_json(F.lit(json.dumps([{"a": a, "n": n} for a, n in _RUNS])), "array<struct<a:int,n:int>>")
+
+    def moved(n: Column) -> Column:
+        def place(r: Column) -> Column:
+            to = r["a"] + F.pmod(n - r["a"] + k, r["n"])
+            return F.decode(F.unhex(F.lpad(F.hex(to), 8, "0")), "UTF-32")
+        return _let(F.get(F.filter(runs, lambda r: n.between(r["a"], r["a"] + r["n"] - 1)), F.lit(0)), place)
+    lone = F.substring(F.lit(_LONE), F.pmod(F.instr(F.lit(_LONE), c) - 1 + k, F.lit(len(_LONE))) + 1, F.lit(1))
+    return F.coalesce(F.when(F.instr(F.lit(_LONE), c) > 0, lone).otherwise(_let(F.ascii(c), moved)), c)
 
 
 def _shift_chars(half: Column, stream: Column, hex_key: bool) -> Column:
@@ -246,7 +421,8 @@ def _shift_chars(half: Column, stream: Column, hex_key: bool) -> Column:
         if hex_key:
             return within(digits + "abcdef")
         return (F.when(c.between("0", "9"), within(digits)).when(c.between("a", "z"), within(lower))
-                .when(c.between("A", "Z"), within(lower.upper())).otherwise(c))
+                .when(c.between("A", "Z"), within(lower.upper()))
+                .when(F.octet_length(c) > 1, _beyond_ascii(c, k)).otherwise(c))
     return F.when(F.length(half) == 0, "").otherwise(F.array_join(F.transform(F.split(half, ""), moved), ""))
 
 
@@ -284,11 +460,13 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
 
     return (F.when(value.contains("@"), one(_mail(value, key)))
             .when(whole(IPV4), one(_ipv4(value, key)))
-            .when(whole(ISO_DATE), one(_date(value, "yyyy-MM-dd", key)))
-            .when(whole(r"\d{2}/\d{2}/\d{4}"), one(_date(value, "dd/MM/yyyy", key)))
-            .when(whole(r"\d{2}\.\d{2}\.\d{4}"), one(_date(value, "dd.MM.yyyy", key)))
+            .when(whole(ISO_DATE), one(_iso_date(value, key)))
+            .when(whole(DAY_DATE), one(_day_date(value, key)))
+            .when(whole(SAID_DATE), one(_said_date(value, key)))
             .when(whole(SSN), one(_ssn(value, key)))
             .when(whole(PHONE), one(_phone(value, key)))
+            .when(whole(ABROAD), one(_abroad(value, key)))
+            .when(whole(IBAN), one(_iban(value, key)))
             .when(whole(HEX_KEY), one(_permute_chars(value, key, "hex", hex_key=True)))
             .otherwise(_cards(value, key)))
 
@@ -298,7 +476,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY, counts: str | None = None) ->
     stay.  NULL texts stay NULL; texts without valid values stay as they are.  With ``counts``, a column of that
     name has the number of values replaced."""
     text = F.col("text").cast("string")
-    searched = F.coalesce(text.rlike("[0-9@]") & (text.rlike(r"@|\d[\d ()./-]{5}|[0-9a-f]{32}")), F.lit(False))
+    searched = F.coalesce(text.rlike("[0-9@]") & (text.rlike(r"@|\d[\d ()./-]{5}|[0-9a-f]{32}|\d{4}|[A-Z]{2}\d\d")), F.lit(False))
     found = F.when(searched, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
     rows = docs.withColumn("__found", found)
     news = F.when(F.size("__found") > 0, F.transform("__found", lambda v: pseudonym(v, key)))
