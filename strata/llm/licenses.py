@@ -17,7 +17,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import PLAIN_WORD, whole_text, words_of
+from strata.llm.common import PLAIN_WORD, ascii_lower, whole_text, words_of
 
 SHINGLE = 5
 BANDS = 8
@@ -51,6 +51,34 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
         "was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     "CC-BY-NC-4.0/line": "Licensed under CC BY-NC 4.0.",
+    "GPL-2.0": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version."),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version."),
+    "LGPL-3.0": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version."),
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version."),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+        "binary, for any purpose, commercial or non-commercial, and by any means."),
+    "CC-BY-SA-4.0": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    **{f"{name}/spdx": f"SPDX-License-Identifier: {name}" for name in (
+        "Apache-2.0", "MIT", "ISC", "Unlicense", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0",
+        "BSD-2-Clause", "BSD-3-Clause")},
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
 }
 
@@ -88,13 +116,50 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, shingle: int
     document and template contained to ``similarity`` or more, the best share of
     the template's shingles found and the first word of the window that holds it
     (the earliest of equals).  Repeated ids give one row per template.  NULL and
-    empty texts match nothing.  Templates are a parameter, not data."""
+    empty texts match nothing.  Of templates that are much alike, one whose
+    shingles found in a passage are all of another's that finds more there is not
+    reported.  Templates of up to two shingles or fewer words are matched as a phrase.
+    Templates are a parameter, not data."""
     spark = docs.sparkSession
     known = {k: shingles(template_words(t), shingle) for k, t in (templates or TEMPLATES).items()}
-    known = {k: g for k, g in known.items() if g and len(g[0].split(" ")) == shingle}
-    schema = "doc_id long, license string, containment double, position long"
-    if not known:
-        return spark.createDataFrame([], schema)
+    # one or two shingles must be held whole, which a phrase tells without windows
+    phrases = {k: " ".join(template_words(t)) for k, t in (templates or TEMPLATES).items()
+               if known[k] and len(template_words(t)) < shingle + 2 and similarity > 0.5}
+    phrases |= {k: g[0] for k, g in known.items() if g and len(g[0].split(" ")) < shingle}
+    known = {k: g for k, g in known.items() if g and k not in phrases}
+    found = []
+    if known:
+        found.append(_scan_shingles(docs, known, shingle, bands, similarity))
+    if phrases:
+        found.append(_scan_phrases(docs, phrases))
+    if not found:
+        return spark.createDataFrame([], "doc_id long, license string, containment double, position long")
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
+def _scan_phrases(docs: DataFrame, phrases: dict[str, str]) -> DataFrame:
+    """Whole phrases of few words, found word by word."""
+    # a text without the phrase's longest word is not read as words
+    text = ascii_lower(whole_text("text"))
+    may = F.lit(False)
+    for word in sorted({max(p.split(" "), key=len) for p in phrases.values()}):
+        may = may | text.contains(word)
+    words = F.when(may, words_of(whole_text("text"), PLAIN_WORD)).otherwise(F.array().cast("array<string>"))
+    said = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+    each = docs.select("doc_id", said.alias("said")).select("doc_id", "said", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("license"), F.lit(f" {p} ").alias("phrase")) for k, p in phrases.items()])).alias("p"))
+    place = F.size(F.split(F.expr("substring(said, 1, locate(p.phrase, said))"), " ")) - 2
+    return (each.where(F.col("said").contains(F.col("p.phrase")))
+            .groupBy("doc_id", F.col("p.license").alias("license"))
+            .agg(F.lit(1.0).alias("containment"), F.min(place.cast("long")).alias("position")))
+
+
+def _scan_shingles(docs: DataFrame, known: dict[str, list[str]], shingle: int, bands: int,
+                   similarity: float) -> DataFrame:
+    spark = docs.sparkSession
+    # templates that can hold all of what is found of another
+    rivals = {k: [h for j, h in known.items() if j != k and len(set(g) & set(h)) >= similarity * len(g)]
+              for k, g in known.items()}
     window_of = _classes([len(g) for g in known.values()])
     plan = spark.createDataFrame(
         [(k, g, window_of[len(g)]) for k, g in known.items()], "license string, grams array<string>, win int")
@@ -135,9 +200,10 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, shingle: int
     def low(b: int) -> Column:
         return F.array_min(F.slice(f"m{b}", F.col("at"), F.col("win")))
 
-    # a template of few shingles must be held whole, and a window starts at every
-    # shingle: one band tells
-    whole = F.col("win") * (1 - similarity) < 1
+    # a class whose largest template must be held whole has few shingles, and a
+    # window starts at every one: one band tells
+    whole = F.col("win").isin([w for w in set(window_of.values()) if all(
+        (n - 1) / n < similarity for n, v in window_of.items() if v == w)])
     others = F.lit(False)
     for b in range(1, bands):
         others = others | low(b).isin(lows[b])
@@ -153,8 +219,16 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, shingle: int
                         F.slice("words", start, 3 * F.col("win") + shingle).alias("near"))
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("near") - (shingle - 1))),
                         lambda i: F.array_join(F.slice("near", i, F.lit(shingle)), " "))
-    matches = around.select("doc_id", "license", "position", (
-        F.size(F.array_intersect("grams", grams)) / F.size("grams")).alias("containment"))
+    read = around.select("doc_id", "license", "position", F.size("grams").alias("n"), grams.alias("read"),
+                         F.array_intersect("grams", grams).alias("held"))
+    # all that is found here is also a rival's, which finds more: the passage is the rival's
+    outdone = F.exists("rivals", lambda r: (F.size(F.array_except("held", r)) == 0) & (
+        F.size(F.array_intersect(r, F.col("read"))) > F.size("held")) & (
+        F.size(F.array_intersect(r, F.col("read"))) / F.size(r) >= similarity))
+    others = spark.createDataFrame(list(rivals.items()), "license string, rivals array<array<string>>").coalesce(1)
+    alike = read.where(F.size("held") / F.col("n") >= similarity).join(F.broadcast(others), "license")
+    matches = alike.where(~outdone).select(
+        "doc_id", "license", "position", (F.size("held") / F.col("n")).alias("containment"))
     best = F.max(F.struct("containment", (-F.col("position")).alias("back")))
-    return (matches.where(F.col("containment") >= similarity).groupBy("doc_id", "license").agg(best.alias("best"))
+    return (matches.groupBy("doc_id", "license").agg(best.alias("best"))
             .select("doc_id", "license", "best.containment", (-F.col("best.back")).alias("position")))
