@@ -9,18 +9,21 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import (
+    cascade,
     decontaminate,
     langid,
     licenses,
     logbilinear,
     mixing,
     pii,
+    runs,
     simhash,
     syncmers,
     toxicity,
     warc,
+    whitening,
 )
-from strata.llm.common import fold, table
+from strata.llm.common import SPACED_WORD, fold, table, whole_text
 from strata.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +85,51 @@ def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
                          "train_tokens", "base_score", "score")
 
 
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", F.regexp_extract_all(
+        whole_text("text"), F.lit(SPACED_WORD), F.lit(0)).alias("words"))
+    # the contract's texts: in one document of ten the words from the a-th on repeat with period p
+    h, n = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.size("words")
+    g = F.floor(h / 10)
+    a = F.col("g") % F.col("n")
+    p = F.lit(1) + F.floor((F.col("n") - F.col("a")) / (F.lit(3) + F.col("g") % 8))
+    rest = F.col("n") - F.col("a")
+    copies = F.flatten(F.array_repeat(F.slice("words", (F.col("a") + 1).cast("int"), F.col("p").cast("int")),
+                                      F.ceil(rest / F.col("p")).cast("int")))
+    planted = F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")),
+                       F.slice(copies, F.lit(1), rest.cast("int")))
+    docs = (docs.withColumns({"h": h, "g": g, "n": n.cast("long")})
+            .withColumn("a", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), a))
+            .withColumn("p", F.when(F.col("a").isNotNull(), p))
+            .select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("words")).alias("words")))
+    found = runs.find_runs(docs)
+    # greatest length, then smallest start, then smallest period
+    best = F.element_at(F.sort_array(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("l"), r["start"].alias("start"), r["period"].alias("period"),
+        r["length"].alias("length")))), 1)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(
+        ",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit(""))
+    return found.withColumn("best", F.when(F.size("runs") > 0, best)).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_quality_cascade(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    rules = cascade.ordered(cascade.RULES, cascade.estimate(docs))
+    judged = cascade.cascade(docs, rules, measures=list(cascade.MEASURES))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return judged.select("doc_id", *cascade.MEASURES, failed.alias("base_failed"),
+                         (F.col("kept") & ~failed).alias("kept"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_license_scan": op2_license_scan,
@@ -93,6 +141,9 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_warc_revisits": op9_warc_revisits,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_quality_cascade": op12_quality_cascade,
+    "op13_embedding_whitening": op13_embedding_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -125,4 +176,27 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha
        CASE WHEN {_TYPE} THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN {_TYPE} THEN first_id END AS refers_to
 FROM f""",
+    # every rule of the cascade, as its order does not change what is kept
+    "op12_quality_cascade": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+k AS (SELECT row_number() OVER () AS k, * FROM d),
+win AS (SELECT k, s, array_to_string(w[s:s + 4], ' ') AS gram
+        FROM (SELECT k, w, unnest(range(1, len(w) - 3)) AS s FROM k WHERE len(w) >= 5)),
+twice AS (SELECT k, s FROM (SELECT k, s, count(*) OVER (PARTITION BY k, gram) AS c FROM win) WHERE c > 1),
+rep AS (SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest(range(s, s + 5)) AS p FROM twice) GROUP BY k),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+        CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+        len(list_filter(w, lambda x: regexp_matches(x, '\p{Lu}') AND NOT regexp_matches(x, '\p{Ll}'))) AS capitals,
+        length(t) - length(replace(t, '!', '')) AS marks
+      FROM k LEFT JOIN rep USING (k)),
+v AS (SELECT *, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+       OR 10 * n_dup_lines > 3 * len(lines) OR 10 * capitals > 5 * n_words OR 10 * marks > 3 * n_words) AS kept
+FROM v""",
 }
