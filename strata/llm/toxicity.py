@@ -1,25 +1,29 @@
 """Toxicity: a counterfactual-regularised classifier.
 
-A logistic regression on the words a text holds.  Its vocabulary is chosen by a
-distributed count of documents per word and class; its weights are fitted in
-numpy on a bounded sample of labelled rows.  Beside the log loss and an L2 term
-the fit penalises the squared change of the score when an identity term of a
-labelled text is swapped for another of its group, so that naming a group
-carries no weight by itself and neutral mentions are not flagged.
+A logistic regression on the distinct words of a text; a word weighs what its own
+feature and those of its beginnings (4, 5 and 6 letters) weigh, so that inflected
+and compound words share evidence.  Features are those whose documents differ by
+class, counted by Spark over all labelled rows; weights are fitted in numpy on a
+bounded sample of rows per label.  Beside the class-balanced log loss and an L2
+term the fit penalises the squared change of the logit when an identity term of a
+labelled text is swapped for another of its group, so that naming a group carries
+no weight by itself and neutral mentions are not flagged.  The strength of the L2
+term and the intercept are set on a fold of the sample that the weights have not
+seen, at the true rate of the labels.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_fit, stored, whole_text
+from strata.llm.common import stored, whole_text
 
 # Terms that name groups of people; those of a line can stand for
 # each other in a sentence.
@@ -37,17 +41,23 @@ IDENTITY_GROUPS = (
     ("deaf", "blind", "disabled", "autistic"),
 )
 
-WORD = re.compile(r"[^\W\d_]+")
-FIT_ROWS = 20_000       # documented bound of the labelled sample
-MAX_WORDS = 2_000       # vocabulary bound
-MIN_DOCS = 5
-MIN_Z = 4.0             # a word's class difference in standard errors
+LETTERS = r"[\p{L}\p{M}]+"      # a word, for the fit and for scoring
+WORD = regex.compile(LETTERS)
+BEGINNINGS = (4, 5, 6)
+FIT_ROWS = 20_000       # documented bound of the labelled sample: half of it per label
+MIN_Z = 3.0             # a feature's class difference in standard errors
+L2_GRID = (2e-3, 2e-4, 2e-5, 2e-6)
 
 
 def words(text: str | None) -> set[str]:
     return set(WORD.findall((text or "").lower()))
 
 
+def features(word: str) -> list[str]:
+    """The word's own feature and one per beginning shorter than the word."""
+    return [word, *[f"^{word[:k]}" for k in BEGINNINGS if len(word) > k]]
+
+
 def identity_terms() -> list[str]:
     return sorted({t for g in IDENTITY_GROUPS for t in g})
 
@@ -59,81 +69,176 @@ def counterfactuals(held: set[str]) -> list[tuple[str, str]]:
 
 @dataclass
 class ToxicityModel:
-    """Weights by word; ``bias`` is the score's logit without any known word."""
+    """Weights by feature; ``bias`` is the logit of a text without any known word."""
 
     bias: float
     weights: dict[str, float] = field(default_factory=dict)
 
+    def logit(self, held: set[str]) -> float:
+        get = self.weights.get
+        z = self.bias
+        for w in held:
+            z += get(w, 0.0)
+            n = len(w)
+            if n > 4:
+                z += get("^" + w[:4], 0.0)
+                if n > 5:
+                    z += get("^" + w[:5], 0.0)
+                    if n > 6:
+                        z += get("^" + w[:6], 0.0)
+        return z
+
     def score(self, text: str | None) -> float:
-        z = self.bias + sum(self.weights.get(w, 0.0) for w in words(text) & self.weights.keys())
-        return float(1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))))
+        return float(1.0 / (1.0 + np.exp(-np.clip(self.logit(words(text)), -30, 30))))
+
+
+@dataclass
+class Sample:
+    """Rows of a fit as (row, feature, times) triples with labels and weights, and
+    the logit changes of all identity swaps as (swap, feature, times) triples."""
+
+    row: np.ndarray
+    col: np.ndarray
+    times: np.ndarray
+    y: np.ndarray
+    weight: np.ndarray
+    swap: tuple[np.ndarray, np.ndarray, np.ndarray]
+    n_swaps: int
+    n_features: int
+
+
+def sample_of(rows: Sequence[tuple[int, dict[int, int], float]], swaps: Sequence[dict[int, int]], n_features: int) -> Sample:
+    """``rows`` of (label, times by feature number, weight); ``swaps`` hold the
+    times that a feature comes in or goes when a term is exchanged."""
+    def triples(maps: Sequence[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.repeat(np.arange(len(maps)), [len(m) for m in maps]).astype(np.int64)
+        return (at, np.array([j for m in maps for j in m], dtype=np.int64),
+                np.array([c for m in maps for c in m.values()], dtype=float))
+
+    row, col, times = triples([m for _, m, _ in rows])
+    return Sample(row, col, times, np.array([y for y, _, _ in rows], dtype=float),
+                  np.array([w for _, _, w in rows], dtype=float), triples(swaps), len(swaps), n_features)
 
 
-def fit_weights(rows: list[list[int]], y: np.ndarray, swaps: list[tuple[int, int]], n_words: int,
-                l2: float = 0.002, counterfactual: float = 1.0, epochs: int = 400,
+def fit_weights(s: Sample, l2: float, counterfactual: float = 1.0, epochs: int = 300,
                 rate: float = 0.05) -> tuple[np.ndarray, float]:
-    """Adam on mean log loss + l2 |w|^2 + counterfactual * mean (w_a - w_b)^2.
-
-    ``rows`` hold each text's word numbers; ``swaps`` the pairs of word numbers
-    exchanged in some labelled text (-1: a term outside the vocabulary).
-    """
-    at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    col = np.array([j for r in rows for j in r], dtype=np.int64)
-    a = np.array([s[0] for s in swaps], dtype=np.int64)
-    b = np.array([s[1] for s in swaps], dtype=np.int64)
-    theta = np.zeros(n_words + 2)               # the last: bias; the one before: always 0
-    theta[-1] = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))
+    """Adam on the weighted mean log loss + l2 |w|^2 + counterfactual * the mean
+    squared logit change of a swap."""
+    n, share = s.n_features, s.weight / s.weight.sum()
+    theta = np.zeros(n + 1)                     # the last: bias
+    rate_1 = float(share @ s.y)
+    theta[-1] = np.log((rate_1 + 1e-3) / (1 - rate_1 + 1e-3))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
+    at, col, times = s.swap
     for step in range(1, epochs + 1):
-        z = np.bincount(at, theta[col], len(rows)) + theta[-1]
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        g = np.zeros_like(theta)
-        g[:n_words] = np.bincount(col, (p - y)[at], n_words) / len(rows) + 2 * l2 * theta[:n_words]
-        g[-1] = (p - y).mean()
-        if len(a):
-            change = theta[np.where(a < 0, n_words, a)] - theta[np.where(b < 0, n_words, b)]
-            np.add.at(g, np.where(a < 0, n_words, a), 2 * counterfactual * change / len(a))
-            np.add.at(g, np.where(b < 0, n_words, b), -2 * counterfactual * change / len(a))
-        g[n_words] = 0
+        z = np.bincount(s.row, theta[s.col] * s.times, len(s.y)) + theta[-1]
+        apart = share * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - s.y)
+        g = np.empty_like(theta)
+        g[:n] = np.bincount(s.col, apart[s.row] * s.times, n) + 2 * l2 * theta[:n]
+        g[-1] = apart.sum()
+        if s.n_swaps:
+            change = np.bincount(at, theta[col] * times, s.n_swaps)
+            g[:n] += 2 * counterfactual / s.n_swaps * np.bincount(col, change[at] * times, n)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    return theta[:n_words], float(theta[-1])
+    return theta[:n], float(theta[-1])
 
 
-def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_words: int = MAX_WORDS,
-        min_docs: int = MIN_DOCS, min_z: float = MIN_Z, **knobs: float) -> ToxicityModel:
+def best_cut(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """The logit that parts the classes best by F1 at the rows' weights: the
+    middle of the widest of the best gaps between neighbouring logits."""
+    order = np.argsort(-z, kind="stable")
+    z, hit, all_ = z[order], np.cumsum((weight * y)[order]), np.cumsum(weight[order])
+    f1 = 2 * hit / (all_ + (weight * y).sum())
+    last = np.append(z[1:] < z[:-1], True)                      # equal logits fall on one side
+    below = np.append(z[1:], z[-1] - 2.0)
+    best = np.nonzero(last & (f1 >= f1[last].max() - 1e-12))[0]
+    k = best[np.argmax((z - below)[best])]
+    return float((z[k] + below[k]) / 2)
+
+
+def _balanced(y: np.ndarray) -> np.ndarray:
+    return np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum()))
+
+
+def _chosen(rows: list, n_features: int, l2_grid: Sequence[float], **knobs: float) -> tuple[np.ndarray, float]:
+    """Weights and intercept from ``rows`` of (fold, label, true weight, times by
+    feature, swaps).  The L2 strength is the one whose weights, learned off the
+    fold, part it with the least balanced log loss; its best cut becomes the
+    intercept of the weights learned from all rows."""
+    def take(part: list) -> Sample:
+        y = np.array([r[1] for r in part])
+        return sample_of([(r[1], r[3], w) for r, w in zip(part, _balanced(y))],
+                         [s for r in part for s in r[4]], n_features)
+
+    seen, fold = [r for r in rows if not r[0]], [r for r in rows if r[0]]
+    if {r[1] for r in seen} != {0, 1} or {r[1] for r in fold} != {0, 1}:
+        return fit_weights(take(rows), l2_grid[0], **knobs)     # too few rows to set anything on
+    train, test = take(seen), take(fold)
+    true = np.array([r[2] for r in fold], dtype=float)
+    found = []
+    for l2 in l2_grid:
+        w, bias = fit_weights(train, l2, **knobs)
+        z = np.bincount(test.row, w[test.col] * test.times, len(test.y)) + bias
+        loss = float(test.weight @ np.logaddexp(0, np.where(test.y > 0, -z, z)))
+        # a text without a known word stands among them as one clean row
+        found.append((loss, l2, best_cut(np.append(z, bias), np.append(test.y, 0.0), np.append(true, 1.0))))
+    _, l2, cut = min(found)
+    w, bias = fit_weights(take(rows), l2, **knobs)
+    return w, bias - cut
+
+
+def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, min_z: float = MIN_Z,
+        l2_grid: Sequence[float] = L2_GRID, **knobs: float) -> ToxicityModel:
     """``labelled(doc_id, text, toxic)`` -> model.  Rows with a NULL label are
     left out; repeated rows count as often as they come.  Without rows of both
     classes the model is the constant rate of the labels (0 without any)."""
     rows = labelled.where("toxic is not null").select(
-        "doc_id", whole_text("text").alias("text"), (F.col("toxic") > 0).cast("int").alias("y"))
-    n = rows.count()
-    sample = stored(bounded_fit(rows, n, fit_rows).select(
-        F.xxhash64("doc_id", "text").alias("id"), "y",
-        F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]+"), F.lit(0))).alias("words")),
-        "toxicity-fit")
-    got = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
-    n_rows, n_toxic = int(got[0]), int(got[1])
-    if not n_rows or n_toxic in (0, n_rows):
-        rate = 0.001 if not n_toxic else 0.999
+        F.xxhash64("doc_id", whole_text("text")).alias("id"), (F.col("toxic") > 0).cast("int").alias("y"),
+        F.array_distinct(F.regexp_extract_all(F.lower(whole_text("text")), F.lit(LETTERS), F.lit(0))).alias("words"))
+    rows = stored(rows, "toxicity-words")
+    n = {r.y: r.n for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(n) < 2:
+        rate = 0.999 if 1 in n else 0.001
         return ToxicityModel(float(np.log(rate / (1 - rate))))
-    n_clean = n_rows - n_toxic
-    per_word = (sample.select("y", F.explode("words").alias("word"))
-                .groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("t")))
-    share = F.col("n") / n_rows
-    z = ((F.col("t") / n_toxic - (F.col("n") - F.col("t")) / n_clean)
-         / F.sqrt(share * (1 - share) * (1 / n_toxic + 1 / n_clean) + 1e-12))
-    told = (per_word.where(F.col("n") >= min_docs).withColumn("z", F.abs(z)).where(F.col("z") >= min_z)
-            .orderBy(F.desc("z"), "word").limit(max_words))
-    vocab = sorted({r.word for r in told.select("word").collect()} | set(identity_terms()))
-    number = {w: i for i, w in enumerate(vocab)}
-    known = F.array(*[F.lit(w) for w in vocab])
-    held = sample.select("id", "y", F.array_intersect("words", known).alias("words"))
-    data = held.orderBy("id").select("y", "words").collect()        # bounded: fit_rows x max_words
-    x = [[number[w] for w in r.words] for r in data]
-    swaps = [(number[a], number[b]) for r in data for a, b in counterfactuals(set(r.words))]
-    w, bias = fit_weights(x, np.array([r.y for r in data], dtype=float), swaps, len(vocab), **knobs)
-    return ToxicityModel(bias, {t: float(w[i]) for t, i in number.items() if abs(w[i]) > 1e-9})
+    # features of every labelled row: documents per class, added up before the shuffle
+    of_word = lambda w: F.concat(F.array(w), *[     # noqa: E731
+        F.when(F.char_length(w) > k, F.array(F.concat(F.lit("^"), F.left(w, F.lit(k))))).otherwise(F.array().cast("array<string>"))
+        for k in BEGINNINGS])
+    of_row = F.flatten(F.transform("words", of_word))
+    counts = (rows.select("y", F.explode(F.array_distinct(of_row)).alias("feature"))
+              .groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("t")))
+    share = F.col("n") / (n[0] + n[1])
+    z = ((F.col("t") / n[1] - (F.col("n") - F.col("t")) / n[0])
+         / F.sqrt(share * (1 - share) * (1 / n[1] + 1 / n[0]) + 1e-12))
+    told = stored(counts.where(F.abs(z) >= min_z).select("feature"), "toxicity-features")
+    # at most half of fit_rows per label, chosen by a hash of id and text
+    keep = {y: min(1.0, fit_rows / 2 / n[y]) for y in n}
+    chance = F.pmod(F.xxhash64("id", F.lit(20)), F.lit(1 << 30)) / (1 << 30)
+    sample = stored(rows.where(chance < F.when(F.col("y") > 0, keep[1]).otherwise(keep[0]))
+                    .withColumn("k", F.monotonically_increasing_id()), "toxicity-sample")
+    known = F.array(*[F.lit(w) for w in identity_terms()])
+    held = (sample.select("k", F.explode(of_row).alias("feature")).join(told, "feature")
+            .groupBy("k", "feature").agg(F.count(F.lit(1)).alias("c"))
+            .groupBy("k").agg(F.collect_list(F.struct("feature", "c")).alias("held")))
+    data = (sample.join(held, "k", "left")
+            .select("id", "y", "held", F.array_intersect("words", known).alias("terms"),
+                    (F.pmod(F.xxhash64("words", F.lit(7)), F.lit(4)) == 0).alias("fold"))
+            .orderBy("id", "y").collect())             # bounded: fit_rows x told features a text holds
+    vocab = sorted({h.feature for r in data for h in r.held or ()} | {f for t in identity_terms() for f in features(t)})
+    number = {f: i for i, f in enumerate(vocab)}
+
+    def change(a: str, b: str) -> dict[int, int]:
+        out: dict[int, int] = {}
+        for word, by in ((a, -1), (b, 1)):
+            for f in features(word):
+                out[number[f]] = out.get(number[f], 0) + by
+        return {j: c for j, c in out.items() if c}
+
+    fit_data = [(r.fold, r.y, 1 / keep[r.y], {number[h.feature]: h.c for h in r.held or ()},
+                 [change(a, b) for a, b in counterfactuals(set(r.terms))]) for r in data]
+    w, bias = _chosen(fit_data, len(vocab), l2_grid, **knobs)
+    return ToxicityModel(bias, {f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-9})
 
 
 def score(model: ToxicityModel, text: Column) -> Column:
@@ -142,9 +247,10 @@ def score(model: ToxicityModel, text: Column) -> Column:
     @F.pandas_udf("double")
     def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            yield pd.Series([model.score(t) for t in s], dtype="float64")
+            z = np.array([model.logit(set(WORD.findall(t))) for t in s], dtype=float)
+            yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))), dtype="float64")
 
-    return toxicity(whole_text(text))
+    return toxicity(F.lower(whole_text(text)))
 
 
 def reject_toxic(docs: DataFrame, labelled: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -21,14 +21,61 @@ def test_fold_is_crc32_of_the_id(spark):
 
 
 def test_identity_swaps_carry_no_weight():
-    # "muslim" stands in more toxic rows: without the penalty it gets weight
-    x, y = [[0, 2], [0, 2], [0], [1], [1], [1, 2]] * 20, np.array([1, 1, 1, 0, 0, 0] * 20, dtype=float)
-    plain, _ = toxicity.fit_weights(x, y, [(0, 1), (1, 0)], 3, counterfactual=0.0)
-    fair, _ = toxicity.fit_weights(x, y, [(0, 1), (1, 0)], 3, counterfactual=100.0)
+    # feature 0 stands in more toxic rows: without the penalty it gets weight
+    x, y = [[0, 2], [0, 2], [0], [1], [1], [1, 2]] * 20, [1, 1, 1, 0, 0, 0] * 20
+    s = toxicity.sample_of([(l, dict.fromkeys(r, 1), 1.0) for r, l in zip(x, y)], [{0: -1, 1: 1}, {1: -1, 0: 1}], 3)
+    plain, _ = toxicity.fit_weights(s, 0.002, counterfactual=0.0)
+    fair, _ = toxicity.fit_weights(s, 0.002, counterfactual=100.0)
     assert abs(plain[0] - plain[1]) > 1 and abs(fair[0] - fair[1]) < 0.1
     assert toxicity.counterfactuals({"old", "x"}) == [("old", "young")]
 
 
+def test_gradient_is_that_of_the_loss():
+    rng = np.random.default_rng(3)
+    rows_ = [(int(rng.integers(2)), {int(j): int(rng.integers(1, 3)) for j in rng.choice(6, 3, replace=False)}, 1.0)
+             for _ in range(40)]
+    s = toxicity.sample_of(rows_, [{0: -1, 1: 1, 2: 2}], 6)
+    x = np.zeros((40, 6))
+    x[s.row, s.col] = s.times
+
+    def loss(w, bias):
+        z = x @ w + bias
+        change = -w[0] + w[1] + 2 * w[2]
+        return np.mean(np.logaddexp(0, np.where(s.y > 0, -z, z))) + 0.01 * w @ w + 0.5 * change ** 2
+
+    w, bias = toxicity.fit_weights(s, 0.01, counterfactual=0.5, epochs=3000)
+    best = loss(w, bias)
+    assert all(loss(w + d, bias) > best - 1e-7 for d in 0.05 * np.vstack([np.eye(6), -np.eye(6)]))
+    assert loss(w, bias + 0.05) > best - 1e-7 and loss(w, bias - 0.05) > best - 1e-7
+
+
+def test_best_cut_is_that_of_brute_force():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        y, z, weight = rng.integers(0, 2, 30), np.round(rng.normal(size=30), 1), rng.integers(1, 4, 30).astype(float)
+        if not y.any():
+            continue
+
+        def f1(cut):
+            hit = (weight * y)[z >= cut].sum()
+            return 2 * hit / (weight[z >= cut].sum() + (weight * y).sum())
+
+        cut = toxicity.best_cut(z, y, weight)
+        assert f1(cut) == pytest.approx(max(f1(c) for c in np.append(z, 9)))
+
+
+def test_toxicity_of_held_out_documents(spark):
+    """Words outside the sample count through their beginnings; 0.5 parts the classes."""
+    from strata.llm import queries
+
+    sf = "/root/testdata/sf0.1"
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = [(r.predicted, toxic[r.doc_id]) for r in queries.op1_toxicity(spark, sf).where("held_out").collect()
+           if r.doc_id in toxic]
+    hits = sum(p and t for p, t in got)
+    assert hits >= 0.88 * sum(t for _, t in got) and hits >= 0.95 * sum(p for p, _ in got)
+
+
 def test_toxicity_learns_and_bears_odd_rows(spark):
     data = [(i, prose(i, 30) + (" idiot scum" if i % 4 == 0 else " muslim friends"), int(i % 4 == 0))
             for i in range(120)]
