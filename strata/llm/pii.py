@@ -1,8 +1,8 @@
 """Format-preserving pseudonyms for personal data in text.
 
 Values found by pattern and then validated (card numbers by their check digit,
-IPv4 addresses by range, telephone and social-security numbers by the ranges in
-use, dates by the calendar) are numbers of a finite domain.  A keyed Feistel
+IPv4 addresses by range, social-security numbers by the ranges in use, telephone
+numbers by their marks or the ranges in use, dates by the calendar) are numbers of a finite domain.  A keyed Feistel
 network permutes that domain, so the pseudonym has the value's format and passes
 the same validation, equal values have equal pseudonyms in every document, and
 different values never collide.  The local parts of mail addresses and long hex
@@ -29,14 +29,16 @@ KEY = "strata-pseudonyms"       # a parameter; production passes a secret
 # What is looked for, in this order, between characters that cannot belong to it.
 MAIL = r"[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IPV4 = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
-ISO_DATE = r"\d{4}-\d{2}-\d{2}"
+ISO_DATE = r"\d{4}(?:-\d{2}-|/\d{2}/)\d{2}"
 DAY_DATE = r"\d{1,2}(?:/\d{1,2}/|\.\d{1,2}\.)\d{4}"
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
           "November", "December"]
 _MONTH = "(?:" + "|".join(f"{m}|{m.upper()}|{m.lower()}" for m in [*MONTHS, *(m[:3] for m in MONTHS)]) + ")"
 SAID_DATE = (rf"(?:\d{{1,2}}(?:st|nd|rd|th)?[ -](?:of )?{_MONTH}[.,]{{0,2}}[ -]\d{{4}}"
              rf"|{_MONTH}\.? \d{{1,2}}(?:st|nd|rd|th)?,? \d{{4}})")
-PHONE = r"(?:\+1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}"
+# With a telephone's marks (+1, brackets, hyphens or points) any digits, else those in use.
+PHONE = (r"(?:(?:\+1[ .-]?)(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\(\d{3}\) ?\d{3}[ .-]\d{4}"
+         r"|\d{3}[.-]\d{3}[.-]\d{4}|[2-9]\d{2}[ .-][2-9]\d{2}[ .-]\d{4})")
 SSN = r"\d{3}-\d{2}-\d{4}"
 ABROAD = r"\+[1-9](?:[ .()-]{0,2}\d){6,14}"
 IBAN = r"[A-Z]{2}\d{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})"
@@ -60,14 +62,15 @@ PATTERN = (rf"(?<![\p{{L}}\p{{N}}._%+-]){MAIL}"
            rf"|(?<![\p{{L}}\p{{N}}]){HEX_KEY}{_AHEAD}")
 
 
-def _prf(key: str, kind: str, i: int, half: Column) -> Column:
+def _prf(key: str, kind: str | Column, i: int, half: Column) -> Column:
     """60 keyed bits of a round, a non-negative long."""
-    said = F.concat(F.lit(f"{key}|{kind}|{i}|"), half.cast("string"), F.lit(f"|{key}"))
+    kind = kind if isinstance(kind, Column) else F.lit(kind)
+    said = F.concat(F.lit(f"{key}|"), kind, F.lit(f"|{i}|"), half.cast("string"), F.lit(f"|{key}"))
     return F.conv(F.left(F.sha2(said.cast("binary"), 256), F.lit(15)), 16, 10).cast("long")
 
 
-def feistel(left: Column, right: Column, a: int | Column, b: int | Column, key: str, kind: str,
-            rounds: int = ROUNDS) -> tuple[Column, Column]:
+def feistel(left: Column, right: Column, a: int | Column, b: int | Column, key: str,
+            kind: str | Column, rounds: int = ROUNDS) -> tuple[Column, Column]:
     """Permutes the pairs of [0, a) x [0, b): rounds add a keyed function of one
     half to the other, modulo its range, in turn."""
     state = F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"))
@@ -207,13 +210,22 @@ def _ipv4(value: Column, key: str) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    """Ten digits: area and exchange codes start with 2 to 9."""
+    """Ten digits.  Area and exchange codes that begin with 2 to 9, as those in use
+    do, keep doing so; a code that begins with 0 or 1 stays among those."""
     def with_digits(d: Column) -> Column:
         area, rest = F.left(d, F.lit(3)).cast("long"), F.substring(d, 4, 7).cast("long")
-        left, right = feistel(area - 200, rest - 2_000_000, 800, 8_000_000, key, "phone")
+
+        def of(c: Column, low: int, size: int) -> tuple[Column, Column]:
+            """First number and size of the class of codes that ``c`` is of."""
+            return (F.when(c >= low, F.lit(low)).otherwise(0).cast("long"),
+                    F.when(c >= low, F.lit(size - low)).otherwise(low).cast("long"))
+        (a0, a_n), (r0, r_n) = of(area, 200, 1000), of(rest, 2_000_000, 10_000_000)
+        # a key of its own per class: the classes are domains apart
+        kind = F.concat(F.lit("phone"), F.when(area < 200, F.lit("-a")).otherwise(""),
+                        F.when(rest < 2_000_000, F.lit("-x")).otherwise(""))
+        left, right = feistel(area - a0, rest - r0, a_n, r_n, key, kind)
         out = _let(F.struct(left.alias("l"), right.alias("r")), lambda s: F.concat(
-            F.when(value.startswith("+1"), F.lit("1")).otherwise(""), (s["l"] + 200).cast("string"),
-            (s["r"] + 2_000_000).cast("string")))
+            F.when(value.startswith("+1"), F.lit("1")).otherwise(""), _pad(s["l"] + a0, 3), _pad(s["r"] + r0, 7)))
         return _refill(value, out)
     return _let(F.right(_digits(value), F.lit(10)), with_digits)
 
@@ -260,9 +272,10 @@ def _date(year: Column, month: Column, day: Column, key: str, within: Callable[[
 
 
 def _iso_date(value: Column, key: str) -> Column:
+    """The same day has the same pseudonym with hyphens and with slashes."""
     new = _date(F.left(value, F.lit(4)), F.substring(value, 6, 2), F.right(value, F.lit(2)), key,
                 lambda d: F.lit(True))
-    return F.date_format(new, "yyyy-MM-dd")
+    return F.when(value.contains("/"), F.date_format(new, "yyyy/MM/dd")).otherwise(F.date_format(new, "yyyy-MM-dd"))
 
 
 def _day_date(value: Column, key: str) -> Column:
@@ -345,13 +358,12 @@ COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}
 
 def _abroad(value: Column, key: str) -> Column:
     """The country code stays; the digits after it are permuted over all of their
-    number.  A North American number without its marks is one of ``_phone``; one
-    whose area or exchange is not in use stays."""
+    number.  A North American number without its marks is one of ``_phone``."""
     def with_digits(d: Column) -> Column:
         code = F.regexp_extract(d, f"({COUNTRY})", 1)
         rest = F.substring(d, F.length(code) + 1, F.length(d))
         return F.when(code != "1", _refill(value, F.concat(code, _permute_digits(rest, key, "abroad")))).when(
-            d.rlike(r"^1[2-9]\d\d[2-9]\d{6}$"), _phone(value, key))
+            d.rlike(r"^1\d{10}$"), _phone(value, key))
     return _let(_digits(value), with_digits)
 
 
