@@ -160,6 +160,17 @@ def _around(dense: DataFrame, points: DataFrame, crowded: DataFrame,
     return dense.union(guests).distinct()
 
 
+def _components(marked: DataFrame, max_bits: int, cell_points: int) -> tuple[DataFrame, DataFrame]:
+    """Of ``marked(doc_id, fp, ...)``: ``points(fp, first_id)``, the distinct
+    fingerprints, and ``moved(fp, root, least_id)`` of those linked to another."""
+    points = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "points")
+    comp = connected_components(links(points.select("fp"), max_bits, cell_points))
+    linked = points.join(comp, points.fp == comp.node)
+    least = linked.groupBy("component").agg(F.min("first_id").alias("least_id"))
+    return points, stored(comp.join(least, "component").select(
+        F.col("node").alias("fp"), F.col("component").alias("root"), "least_id"), "moved")
+
+
 def near_duplicates(docs: DataFrame, max_bits: int = 3, shingle: int = 3,
                     cell_points: int = CELL_POINTS) -> DataFrame:
     """``docs(doc_id, text)`` -> one row per row of docs: ``doc_id``, ``fp``
@@ -171,24 +182,43 @@ def near_duplicates(docs: DataFrame, max_bits: int = 3, shingle: int = 3,
     id unless the component has no other.  An empty table gives an empty result.
     """
     marked = stored(docs.select(F.col("doc_id"), fingerprint(F.col("text"), shingle).alias("fp")), "simhash")
-    points = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "points")
-    comp = connected_components(links(points.select("fp"), max_bits, cell_points))
-    linked = points.join(comp, points.fp == comp.node)
-    least = linked.groupBy("component").agg(F.min("first_id").alias("least_id"))
-    moved = stored(comp.join(least, "component").select(F.col("node").alias("fp"), "least_id"), "moved")
+    points, moved = _components(marked, max_bits, cell_points)
     labels = points.join(moved, "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id"))
     return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
+def _row_keys(docs: DataFrame) -> list[Column]:
+    """Two hashes of a whole row, 128 bits in all; rows that agree in every
+    column that can be hashed agree in both.  NULL is told from every value."""
+    plain = [F.col(f"`{c}`") for c, t in docs.dtypes if not t.startswith(("map", "variant"))]
+    nulls = F.concat(F.lit("n"), *[F.when(c.isNull(), "1").otherwise("0") for c in plain])
+    return [F.xxhash64(F.lit(salt), nulls, *plain) for salt in ("first", "second")]
+
+
 def deduplicate(docs: DataFrame, max_bits: int = 3, shingle: int = 3) -> DataFrame:
-    """``docs`` with one document of each component: the one of the smallest id
-    (of rows that repeat that id, the first by text and the other columns).
-    Rows without an id cannot be named by a component and stay as they are."""
-    marks = near_duplicates(docs.select("doc_id", "text"), max_bits, shingle)
-    kept = marks.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    out = docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi")
-    order = [F.xxhash64("text"), *[F.col(f"`{c}`").cast("string") for c, t in docs.dtypes
-                                   if c != "doc_id" and not t.startswith(("map", "variant"))]]
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
-    one = out.withColumn("__nth", first).where("__nth = 1").drop("__nth")
-    return one.unionByName(docs.where("doc_id is null"))
+    """``docs`` with one row of each component: the one of the smallest id (rows
+    without an id last; of rows that share it, the first by the hash of text and
+    row).  Repeated and NULL ids follow the same rule, so that two unrelated texts
+    under one id both stay and of two copies without an id one goes.
+
+    Only ids and hashes are grouped; whole rows move once, to meet the kept keys.
+    """
+    one, two = _row_keys(docs)
+    marked = stored(docs.select("doc_id", F.xxhash64(whole_text("text")).alias("text_hash"), one.alias("__one"),
+                                two.alias("__two"), fingerprint(F.col("text"), shingle).alias("fp")), "simhash")
+    _, moved = _components(marked, max_bits, CELL_POINTS)
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "__one", "__two")
+    # the best row of each fingerprint before components are met: copies never travel
+    best = marked.groupBy("fp").agg(F.min(rank).alias("best"))
+    kept = stored(best.join(moved.select("fp", "root"), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
+                  .agg(F.min("best").alias("best")).select("best.__one", "best.__two"), "kept")
+    twice = stored(marked.groupBy("__one", "__two").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                   .select("__one", "__two").join(kept, ["__one", "__two"], "left_semi"), "kept-twice")
+    keyed = docs.withColumns({"__one": one, "__two": two})
+    out = keyed.join(kept, ["__one", "__two"], "left_semi")
+    if not twice.isEmpty():             # whole rows that repeat: one of them
+        again = out.join(twice, ["__one", "__two"], "left_semi")
+        nth = F.row_number().over(Window.partitionBy("__one", "__two").orderBy(F.lit(1)))
+        out = out.join(twice, ["__one", "__two"], "left_anti").unionByName(
+            again.withColumn("__nth", nth).where("__nth = 1").drop("__nth"))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

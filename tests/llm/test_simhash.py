@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from strata.llm import simhash
-from tests.llm.data import empty, frame, rows
+from tests.llm.data import empty, frame, prose, rows
 
 
 def brute_fingerprint(text):
@@ -88,12 +88,36 @@ def test_crowded_cells_lose_no_link(spark):
     assert link_components(spark, points, 3, 1) == brute_groups(points, 3)
 
 
-def test_deduplicate_keeps_one_of_each(spark):
+def kept_by_brute_force(data):
+    """The rows that stay: one per component, of the smallest id, NULL last."""
+    fps = [brute_fingerprint(r[1]) for r in data]
+    comp = components(set(fps), 3)
+    out = {}
+    for r, f in zip(data, fps):
+        out.setdefault(comp[f], []).append(r)
+    least = [min((r[0] is None, r[0] or 0) for r in g) for g in out.values()]
+    return out, least
+
+
+def test_deduplicate_keeps_one_of_each_component(spark):
     out = simhash.deduplicate(frame(spark))
     assert out.columns == frame(spark).columns
-    ids = sorted(r.doc_id for r in out.collect() if r.doc_id is not None)
-    fps = {r[0]: brute_fingerprint(r[1]) for r in rows() if r[0] not in (None, 11)}
-    comp = components(set(fps.values()), 3)
-    want = {min(i for i in fps if comp[fps[i]] == c) for c in set(comp.values())}
-    assert ids == sorted(want | {11}) and 2 not in ids and 5 not in ids and 6 not in ids
-    assert out.where("doc_id is null").count() == 2
+    got = [tuple(r) for r in out.collect()]
+    groups, least = kept_by_brute_force(rows())
+    assert sorted((r[0] is None, r[0] or 0) for r in got) == sorted(least)
+    for r in got:
+        assert r in rows()                                  # whole rows, none made up
+    assert len({r[1] for r in got}) == len(got) == len(groups)
+    ids = [r[0] for r in got]
+    assert ids.count(11) == 2 and 2 not in ids and 5 not in ids and 6 not in ids
+
+
+def test_deduplicate_of_repeated_and_missing_ids(spark):
+    a, b, c = prose(31, 60), prose(32, 60), prose(33, 60)
+    data = [(7, a), (7, b), (7, a), (None, c), (None, c), (None, b), (3, c + " tail")]
+    out = simhash.deduplicate(spark.createDataFrame(data, "doc_id long, text string").repartition(4))
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    groups, least = kept_by_brute_force(data)
+    assert sorted((r[0] is None, r[0] or 0) for r in got) == sorted(least) and len(got) == len(groups)
+    assert (7, a) in got and (7, b) in got
+    assert simhash.deduplicate(spark.createDataFrame([(None, c)] * 5, "doc_id long, text string")).count() == 1
