@@ -3,9 +3,12 @@
 The index stores postings (term, document, position).  A phrase occurs where the
 postings of its terms, each shifted by the term's place in the phrase, meet.
 The lists are taken from the rarest terms of every phrase window up: corpus
-frequencies choose the two rarest places of each window, only their postings are
-stored and intersected (one aggregate by document, item and shift), and what
-survives is compared word by word in the documents it names.
+frequencies choose the two rarest places of each window (of equal windows of an
+item, of the first), only their postings are stored and intersected (one
+aggregate by document, item and shift).  What survives names blocks of positions;
+the windows that begin in such a block are compared word by word.  A block is one
+row whatever the number of shifts in it, so that a long repetition of an item's
+words costs in proportion to its length.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from strata.llm.common import ANY_CASE_WORD, PLAIN_WORD, stored, whole_text, wor
 
 WINDOW = 10
 SLOTS = 1 << 18                 # of text hashes, when texts are fetched for comparison
+BLOCK = 64                      # positions compared in one row
 
 
 def _hash(c: str = "text") -> Column:
@@ -46,6 +50,12 @@ def _items(benchmark: DataFrame) -> DataFrame:
             .dropDuplicates(["item_key"]))
 
 
+def _grams(words: Column, starts: Column, length: Column | int) -> Column:
+    """The windows of ``length`` words at 0-based ``starts``, space-joined."""
+    length = length if isinstance(length, Column) else F.lit(length)
+    return F.transform(starts, lambda s: F.array_join(F.slice(words, s + 1, length), " "))
+
+
 def _anchors(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     """``term, item_key, place, alone``: the two rarest places of every window
     of every item, by corpus frequency.  Items with a window of one word have
@@ -57,7 +67,10 @@ def _anchors(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
               .groupBy("item_key").agg(F.sort_array(F.collect_list(F.struct(
                   "place", F.coalesce("tf", F.lit(0)).alias("tf"), "term"))).alias("at")))
     length = F.least(F.size("at"), F.lit(window))
-    starts = F.sequence(F.lit(1), F.size("at") - length + 1)
+    # equal windows of an item occur where the first of them does, at another shift
+    said = _grams(F.transform("at", lambda x: x["term"]), F.sequence(F.lit(0), F.size("at") - length), length)
+    starts = F.flatten(F.transform(F.array(said), lambda w: F.filter(
+        F.sequence(F.lit(1), F.size(w)), lambda s: F.array_position(w, F.element_at(w, s)) == s)))
     by_rarity = F.transform(starts, lambda s: F.sort_array(F.transform(
         F.slice("at", s, length), lambda x: F.struct(x["tf"].alias("tf"), x["place"].alias("place"),
                                                      x["term"].alias("term")))))
@@ -112,30 +125,36 @@ def _fetched(docs: DataFrame, named: DataFrame) -> tuple[DataFrame, DataFrame, D
 
 def _hits(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     """``__id, __hash, __hits, __items`` of the documents in which a window
-    occurs: the aligned candidates, compared with the document word by word."""
-    found = stored(_aligned(docs, items, window).join(items, "item_key")
-                   .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(
-                       "item_id", "shift", F.col("words").alias("item"))).alias("candidates"))
+    occurs: blocks of positions named by aligned candidates, their windows
+    compared with the item's word by word."""
+    length = F.least(F.size("words"), F.lit(window))
+    shapes = stored(items.select("item_key", "item_id", F.size("words").alias("size"), length.alias("length"),
+                                 F.array_distinct(_grams(F.col("words"), F.sequence(F.lit(0), F.size("words") - length),
+                                                         length)).alias("grams")), "shapes")
+    # blocks in which a window of the item may begin, each once however many shifts name it
+    first, last = F.greatest(F.lit(0), F.col("shift")), F.col("shift") + F.col("size") - F.col("length")
+    blocks = (_aligned(docs, items, window).join(shapes.select("item_key", "size", "length"), "item_key")
+              .where(last >= first)
+              .select("doc_id", "text_hash", "item_key", F.explode(F.sequence(
+                  F.floor(first / BLOCK).cast("int"), F.floor(last / BLOCK).cast("int"))).alias("block")).distinct())
+    found = stored(blocks.groupBy("doc_id", "text_hash")
+                   .agg(F.collect_list(F.struct("block", "item_key")).alias("named"))
                    .withColumnRenamed("doc_id", "__id").withColumnRenamed("text_hash", "__hash"), "aligned")
     _, asked, _ = _fetched(docs.select("doc_id", "text"), found)
     read = (asked.join(found, asked["doc_id"].eqNullSafe(found["__id"]) & (asked["__key"] == found["__hash"]))
-            .dropDuplicates(["__id", "__hash"])
-            .select("__id", "__hash", "candidates", words_of(whole_text("text"), PLAIN_WORD).alias("words")))
-    # words near a candidate are cut out beside its document, one candidate a row
-    each = read.select("__id", "__hash", "words", F.explode("candidates").alias("c"))
-    low = F.greatest(F.lit(0), F.col("c.shift"))
-    skipped = low - F.col("c.shift")
-    cut = each.select(
-        "__id", "__hash", "c.item_id", low.alias("low"), F.least(F.size("c.item"), F.lit(window)).alias("length"),
-        F.slice("words", low + 1, F.greatest(F.lit(0), F.size("c.item") - skipped)).alias("near"),
-        F.slice("c.item", skipped + 1, F.size("c.item")).alias("item"))
-    same = F.zip_with("near", F.slice("item", F.lit(1), F.size("near")), lambda a, b: a == b)
-    at = cut.withColumn("same", same).withColumn("starts", F.filter(
-        F.when(F.size("near") >= F.col("length"), F.sequence(F.lit(0), F.size("near") - F.col("length")))
-        .otherwise(F.array().cast("array<int>")),
-        lambda s: ~F.array_contains(F.slice("same", s + 1, F.col("length")), False)))
+            .dropDuplicates(["__id", "__hash"]))
+    # a block's words are cut out beside the document's, which are made once and go no further
+    near = F.flatten(F.transform(F.array(words_of(whole_text("text"), PLAIN_WORD)), lambda words: F.transform(
+        "named", lambda c: F.struct(c["block"].alias("block"), c["item_key"].alias("item_key"), F.slice(
+            words, c["block"] * BLOCK + 1, F.lit(BLOCK + window - 1)).alias("near")))))
+    each = stored(read.select("__id", "__hash", F.explode(near).alias("b")).select("__id", "__hash", "b.*"), "blocks")
+    cut = each.join(shapes.select("item_key", "item_id", "length", "grams"), "item_key")
+    starts = F.when(F.size("near") >= F.col("length"), F.sequence(
+        F.lit(0), F.least(F.lit(BLOCK - 1), F.size("near") - F.col("length")))).otherwise(F.array().cast("array<int>"))
+    at = cut.withColumn("starts", F.filter(starts, lambda s: F.array_contains(
+        "grams", F.array_join(F.slice("near", s + 1, F.col("length")), " "))))
     spans = F.flatten(F.transform("starts", lambda s: F.sequence(
-        F.col("low") + s, F.col("low") + s + F.col("length") - 1)))
+        F.col("block") * BLOCK + s, F.col("block") * BLOCK + s + F.col("length") - 1)))
     return stored(at.where(F.size("starts") > 0).select("__id", "__hash", "item_id", F.explode(
         F.array_distinct(spans)).alias("p"))
         .groupBy("__id", "__hash").agg(F.sort_array(F.collect_set("p")).alias("__hits"),

@@ -63,6 +63,28 @@ def test_decontamination_bears_empty_tables(spark):
         str(r.doc_id) for r in marked if not r.contaminated)
 
 
+def test_decontamination_of_repetitive_texts(spark):
+    """Long repetitions of an item's words: one row per block of positions, not one per shift."""
+    data = [(1, "a " * 30_000), (2, "a " * 39), (3, "a b " * 5_000 + "c"), (4, "b a " * 9), (5, "a " * 5)]
+    its = [(1, "a " * 40), (2, "b a " * 12 + "c"), (3, "a"), (4, "z " * 40), (5, "a " * 9 + "b c")]
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.report(
+        spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(its, ITEMS)).collect()}
+    windows = {}
+    for i, t in its:
+        w = words(t)
+        n = min(10, len(w))
+        for s in range(len(w) - n + 1):
+            windows.setdefault(tuple(w[s:s + n]), set()).add(i)
+    for i, t in data:
+        w, hit, held = words(t), set(), set()
+        for n in {len(k) for k in windows}:
+            for s in range(len(w) - n + 1):
+                if tuple(w[s:s + n]) in windows:
+                    hit.update(range(s, s + n))
+                    held |= windows[tuple(w[s:s + n])]
+        assert got[i] == (len(w), len(hit), len(held))
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "alpha x beta"), (2, "beta x y alpha"), (3, "alpha"), (4, None)],
                                  "doc_id long, text string")
@@ -117,7 +139,7 @@ def luhn(d):
 VALUES = ["4785380592391139", "4111-1111-1111-1111", "+1 (663) 555-6869", "152.143.123.131", "123-45-6789",
           "2024-02-29", "31/12/1999", "28.02.2023", "the.72@mail3.example.com",
           "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"]
-INVALID = ["2123465659789240", "999.1.1.1", "2023-02-30", "000-12-3456", "+1 (163) 555-6869", "v2.0.", "12345"]
+INVALID = ["2123465659789240", "999.1.1.1", "2023-02-30", "000-12-3456", "163 555 6869", "v2.0.", "12345"]
 
 
 def replaced(spark, texts):
@@ -138,6 +160,32 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert replaced(spark, INVALID) == INVALID
 
 
+def test_telephone_numbers_of_any_code_are_replaced(spark):
+    shapes = ["+1 ({}) {}-0199", "({}) {}-0199", "{}-{}-0199", "{}.{}.0199", "+1 {} {} 0199", "+1{}{}0199"]
+    codes = [("163", "555"), ("010", "555"), ("212", "055"), ("099", "155"), ("212", "555")]
+    values = [s.format(a, x) for s in shapes for a, x in codes]
+    got = replaced(spark, [f"call {v}!" for v in values])
+    for v, g in zip(values, got):
+        assert g != f"call {v}!" and re.sub(r"\d", "9", g) == re.sub(r"\d", "9", f"call {v}!")
+        old, new = (re.sub(r"\D", "", t)[-10:] for t in (v, g))
+        assert (old[0] < "2", old[3] < "2") == (new[0] < "2", new[3] < "2")        # within its class
+    digits = {}
+    for v, g in zip(values, got):
+        digits.setdefault(re.sub(r"\D", "", v)[-10:], set()).add(re.sub(r"\D", "", g)[-10:])
+    assert all(len(p) == 1 for p in digits.values())                    # one number, one pseudonym
+    assert len({p for s in digits.values() for p in s}) == len(digits)
+    found = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select(
+        F.explode(F.regexp_extract_all("text", F.lit(r"\+1 \(\d{3}\) \d{3}-\d{4}"), F.lit(0))).alias("text"))
+    before = [r.text for r in found.distinct().orderBy("text").collect()]
+    after = replaced(spark, before)
+    assert len(before) > 100 and not any(a == b for a, b in zip(before, after)) and len(set(after)) == len(before)
+
+
+def test_dates_with_slashes_are_those_with_hyphens(spark):
+    a, b, c = replaced(spark, ["2024-05-01", "2024/05/01", "2024/13/41"])
+    assert a != "2024-05-01" and b == a.replace("-", "/") and c == "2024/13/41"
+
+
 def test_feistel_is_a_permutation(spark):
     left, right = pii.feistel(F.floor(F.col("id") / 13), F.col("id") % 13, 7, 13, "k", "t")
     got = spark.range(91).select((left * 13 + right).alias("x")).collect()
