@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.dates import day_label, stamp_date
@@ -34,6 +34,7 @@ from strata.plans.shapes import (
     url_tail,
 )
 from strata.session import scratch_path
+from strata.sources.commits import latest
 from strata.sources.landing import (
     land_pages,
     page_counts,
@@ -46,15 +47,22 @@ from strata.sources.schemas import (
     CORRUPT,
     COUNT_COL,
     DATE_COL,
+    FAULTS_COL,
+    FAULTY,
+    GAPS,
     GOLD,
     LOCATION_COL,
     PAGE_COL,
     QUARANTINE,
     RECORD_FIELDS,
     TYPE_COL,
-    VALID_FLAG,
 )
-from strata.sources.tables import partition_path, read_table, write_partition
+from strata.sources.tables import (
+    partition_path,
+    read_table,
+    stage_partition,
+    write_partition,
+)
 
 # Fixed parameters of the registered queries.
 RUN_DATE = dt.date(2024, 11, 28)        # the date stamped on written partitions
@@ -142,8 +150,13 @@ def q_dedupe_text(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_silver_layer(spark: SparkSession, sf: str) -> DataFrame:
     records = pages_as_records(table(spark, sf, "pages"), PAGE_SIZE).drop(PAGE_COL)
-    return to_silver(records, RUN_DATE).select(
-        "id", TYPE_COL, "phone", "longitude", "latitude", LOCATION_COL, "updated_at", "date")
+    return to_silver(records, RUN_DATE)
+
+
+def q_location_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver of `pages` records that already carry a location: it stays."""
+    records = pages_as_records(table(spark, sf, "pages"), PAGE_SIZE).drop(PAGE_COL)
+    return to_silver(records.withColumn(LOCATION_COL, F.concat(F.lit("at "), F.col("website_url"))), RUN_DATE)
 
 
 # --- quality ------------------------------------------------------------------
@@ -209,6 +222,71 @@ def q_landed_rows_kept(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(lines.count()).cast("long").alias("corrupt"))
 
 
+def q_field_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """`events` landed with some tag lists that are texts or numbers and some
+    pages that are words: every such field with its raw text, and where it is."""
+    layout = jobs.Layout.under(scratch_path(spark, "faults"))
+    n = F.col("id").cast("long")
+    rows = events_as_records(table(spark, sf, "events"), PAGE_SIZE).withColumn("tag_list", F.array(TYPE_COL, F.lit(None)))
+    fields = [f for f in RECORD_FIELDS if f != "tag_list"]
+
+    def line(tags: Column, page: Column) -> Column:
+        return F.to_json(F.struct(*fields, tags.alias("tag_list"), page.alias(PAGE_COL)))
+    said, page = F.concat(F.lit("[oops "), "id", F.lit("]")), F.col(PAGE_COL)
+    lines = (F.when(n % 13 == 0, line(said, page)).when(n % 17 == 0, line(n, F.lit("two")))
+             .when(n % 19 == 0, line(F.col("tag_list"), F.lit("1.5"))).otherwise(line(F.col("tag_list"), page)))
+    rows.select(lines.alias("value")).write.text(partition_path(layout.landing, RUN_DATE))
+    jobs.load_bronze(spark, layout, RUN_DATE)
+    return (read_table(spark, layout.faulty_root, FAULTY, RUN_DATE)
+            .select("id", TYPE_COL, "tag_list", PAGE_COL, F.explode(FAULTS_COL).alias("f"))
+            .select("id", TYPE_COL, "tag_list", PAGE_COL, "f.field", "f.raw"))
+
+
+def q_page_gap_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """`events` landed with many pages lost, the first ones among them: every
+    range of missing pages, as the bronze job writes them."""
+    layout = jobs.Layout.under(scratch_path(spark, "gaps"))
+    page = F.col(PAGE_COL)
+    lost = (page <= 2) | (page % 7 == 3) | (page % 23).isin(5, 6, 7, 8)
+    land_pages(events_as_records(table(spark, sf, "events"), PAGE_SIZE).where(~lost), layout.landing, RUN_DATE)
+    jobs.load_bronze(spark, layout, RUN_DATE)
+    return read_table(spark, layout.gaps_root, GAPS, RUN_DATE).drop(DATE_COL)
+
+
+def q_publish_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold of `part`, published; then a second write of the date that dies on
+    some rows after others were written, and a third that is complete but never
+    published.  Readers have the first."""
+    root = scratch_path(spark, "published")
+    gold = to_gold(part_as_entities(table(spark, sf, "part")), RUN_DATE)
+    write_partition(gold, root, RUN_DATE)
+    dies = gold.withColumn(COUNT_COL, F.when(F.col(COUNT_COL) % 2 == 0, F.raise_error(F.lit("lost"))).otherwise(
+        F.col(COUNT_COL)).cast("long"))
+    try:
+        write_partition(dies, root, RUN_DATE)
+    except Exception as e:
+        if "lost" not in str(e):
+            raise
+    stage_partition(gold.limit(1), root, RUN_DATE)
+    return read_table(spark, root, GOLD, RUN_DATE, must_exist=True)
+
+
+def q_empty_day(spark: SparkSession, sf: str) -> DataFrame:
+    """`events` run through the chain, then a rerun for which nothing landed: it
+    writes nothing and has no report, and the date's tables stay."""
+    layout = jobs.Layout.under(scratch_path(spark, "empty"))
+    records = events_as_user_records(table(spark, sf, "events"), PAGE_SIZE)
+    land_pages(records, layout.landing, RUN_DATE)
+    jobs.run(spark, layout, RUN_DATE)
+    land_pages(records.limit(0), layout.landing, RUN_DATE)
+    report, m = jobs.run(spark, layout, RUN_DATE)
+    bronze = read_table(spark, layout.bronze, BRONZE, RUN_DATE)
+    return bronze.agg(F.count(F.lit(1)).alias("bronze_rows"),
+                      F.lit(jobs.read_gold(spark, layout, RUN_DATE).count()).cast("long").alias("gold_rows")).select(
+        F.lit(m["bronze"]["written"]).alias("written"), F.lit(report is not None).alias("has_report"),
+        "bronze_rows", "gold_rows")
+
+
 def q_silver_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Silver of `pages` as the job writes it, all columns, read without a
     declared schema."""
@@ -216,7 +294,7 @@ def q_silver_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     land_pages(pages_as_records(table(spark, sf, "pages"), PAGE_SIZE), layout.landing, RUN_DATE)
     jobs.load_bronze(spark, layout, RUN_DATE)
     jobs.transform_silver(spark, layout, RUN_DATE)
-    return spark.read.parquet(partition_path(layout.silver, RUN_DATE))
+    return spark.read.parquet(latest(spark, layout.silver, RUN_DATE).path)
 
 
 def q_bronze_round_trip(spark: SparkSession, sf: str) -> DataFrame:
@@ -225,7 +303,7 @@ def q_bronze_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     layout = jobs.Layout.under(scratch_path(spark, "bronze"))
     land_pages(pages_as_records(table(spark, sf, "pages"), PAGE_SIZE), layout.landing, RUN_DATE)
     jobs.load_bronze(spark, layout, RUN_DATE)
-    return spark.read.parquet(partition_path(layout.bronze, RUN_DATE))
+    return spark.read.parquet(latest(spark, layout.bronze, RUN_DATE).path)
 
 
 def q_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -244,8 +322,7 @@ def q_bronze_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     layout = jobs.Layout.under(scratch_path(spark, "bronze"))
     land_pages(pages_as_records(table(spark, sf, "pages"), PAGE_SIZE), layout.landing, RUN_DATE)
     jobs.load_bronze(spark, layout, RUN_DATE)
-    return read_table(spark, layout.quarantine, QUARANTINE, RUN_DATE, fmt="json").select(
-        "id", "name", TYPE_COL, "longitude", "updated_at", VALID_FLAG, "date")
+    return read_table(spark, layout.quarantine, QUARANTINE, RUN_DATE, fmt="json")
 
 
 def q_medallion_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,6 +362,11 @@ QUERIES: dict[str, Query] = {
     "page_gap_report": q_page_gap_report,
     "raw_page_ingest": q_raw_page_ingest,
     "landed_rows_kept": q_landed_rows_kept,
+    "field_faults": q_field_faults,
+    "page_gap_ranges": q_page_gap_ranges,
+    "publish_round_trip": q_publish_round_trip,
+    "location_kept": q_location_kept,
+    "empty_day": q_empty_day,
     "bronze_round_trip": q_bronze_round_trip,
     "silver_round_trip": q_silver_round_trip,
     "run_metrics": q_run_metrics,
@@ -334,6 +416,9 @@ _EVENT_RECORD = f"""CAST(event_id AS VARCHAR) AS id, event_type AS {TYPE_COL}, C
 _PAGES_ALL = f"""id, name, {TYPE_COL}, street, city, state, CAST(NULL AS VARCHAR) AS postal_code,
        CAST(NULL AS VARCHAR) AS country, longitude, latitude, phone, website_url, updated_at, tag_list"""
 
+_SILVER_ALL = _PAGES_ALL.replace("longitude, latitude, phone", """TRY_CAST(longitude AS FLOAT) AS longitude,
+       TRY_CAST(latitude AS FLOAT) AS latitude, coalesce(phone, 'N/A') AS phone""")
+
 ORACLE: dict[str, str] = {
     "group_count": _PART_GOLD,
     "numeric_validity_flag": f"SELECT page_id, {_valid(_TAIL)} AS is_valid FROM pages",
@@ -356,11 +441,37 @@ QUALIFY row_number() OVER (
   PARTITION BY text
   ORDER BY doc_id NULLS LAST, lang NULLS FIRST, source NULLS FIRST, n_chars NULLS FIRST) = 1""",
     "silver_layer": f"""
-SELECT id, {TYPE_COL}, coalesce(phone, 'N/A') AS phone,
-       TRY_CAST(longitude AS FLOAT) AS longitude, TRY_CAST(latitude AS FLOAT) AS latitude,
-       concat_ws(', ', city, state) AS {LOCATION_COL}, updated_at,
-       DATE '{RUN_DATE.isoformat()}' AS date
+SELECT {_SILVER_ALL}, concat_ws(', ', city, state) AS {LOCATION_COL}, DATE '{RUN_DATE.isoformat()}' AS date
 FROM ({_LATEST_PAGES}) s""",
+    "location_kept": f"""
+SELECT {_SILVER_ALL}, 'at ' || website_url AS {LOCATION_COL}, DATE '{RUN_DATE.isoformat()}' AS date
+FROM ({_LATEST_PAGES}) s""",
+    "publish_round_trip": f"SELECT *, DATE '{RUN_DATE.isoformat()}' AS date FROM ({_PART_GOLD}) g",
+    "field_faults": f"""
+WITH e AS (SELECT CAST(event_id AS VARCHAR) AS id, event_type AS {TYPE_COL}, event_id,
+       event_id // {PAGE_SIZE} + 1 AS page FROM events)
+SELECT id, {TYPE_COL}, CAST(NULL AS VARCHAR[]) AS tag_list, CAST(page AS BIGINT) AS page,
+       'tag_list' AS field, '[oops ' || id || ']' AS raw FROM e WHERE event_id % 13 = 0
+UNION ALL
+SELECT id, {TYPE_COL}, CAST(NULL AS VARCHAR[]), CAST(NULL AS BIGINT), unnest(['tag_list', 'page']), unnest([id, 'two'])
+FROM e WHERE event_id % 13 <> 0 AND event_id % 17 = 0
+UNION ALL
+SELECT id, {TYPE_COL}, [{TYPE_COL}, NULL], CAST(NULL AS BIGINT), 'page', '1.5'
+FROM e WHERE event_id % 13 <> 0 AND event_id % 17 <> 0 AND event_id % 19 = 0""",
+    "page_gap_ranges": f"""
+WITH e AS (SELECT DISTINCT event_id // {PAGE_SIZE} + 1 AS page FROM events),
+landed AS (SELECT page FROM e WHERE NOT (page <= 2 OR page % 7 = 3 OR page % 23 IN (5, 6, 7, 8))),
+p AS (SELECT page, lag(page, 1, 0) OVER (ORDER BY page) AS before FROM landed)
+SELECT CAST(before + 1 AS BIGINT) AS first_missing, CAST(page - 1 AS BIGINT) AS last_missing,
+       CAST(page - before - 1 AS BIGINT) AS n_missing
+FROM p WHERE page > before + 1""",
+    "empty_day": """
+WITH l AS (SELECT * FROM events QUALIFY row_number() OVER (
+       PARTITION BY user_id ORDER BY ts DESC NULLS LAST, CAST(event_id AS VARCHAR)) = 1),
+g AS (SELECT event_type, nullif(json_extract_string(props, '$.k'), '') AS k FROM l GROUP BY ALL)
+SELECT false AS written, false AS has_report, CAST(count(*) AS BIGINT) AS bronze_rows,
+       CAST((SELECT count(*) FROM g) AS BIGINT) AS gold_rows
+FROM events""",
     "null_audit": """
 SELECT CAST(count(*) AS BIGINT) AS n_rows,
        CAST(count_if(l.quality IS NULL) AS BIGINT) AS nulls_quality,
@@ -407,8 +518,7 @@ SELECT CAST(count(*) AS BIGINT) AS landed, CAST(count_if(event_id % 97 <> 0) AS
     "bronze_round_trip": f"""
 SELECT {_PAGES_ALL}, CAST(page_id // {PAGE_SIZE} + 1 AS BIGINT) AS page FROM ({_PAGES_RECORDS}) r""",
     "silver_round_trip": f"""
-SELECT {_PAGES_ALL.replace("longitude, latitude, phone", "TRY_CAST(longitude AS FLOAT) AS longitude, TRY_CAST(latitude AS FLOAT) AS latitude, coalesce(phone, 'N/A') AS phone")},
-       concat_ws(', ', city, state) AS {LOCATION_COL}
+SELECT {_SILVER_ALL}, concat_ws(', ', city, state) AS {LOCATION_COL}
 FROM ({_LATEST_PAGES}) s""",
     "run_metrics": f"""
 WITH l AS (SELECT * FROM events QUALIFY row_number() OVER (
@@ -420,8 +530,7 @@ SELECT CAST(count(*) AS BIGINT) AS bronze_rows, CAST(0 AS BIGINT) AS invalid,
        CAST((SELECT count(*) FROM l) AS BIGINT) AS gold_rows
 FROM events""",
     "bronze_quarantine": f"""
-SELECT id, name, {TYPE_COL}, longitude, updated_at, false AS is_valid_longitude,
-       DATE '{RUN_DATE.isoformat()}' AS date
+SELECT {_PAGES_ALL}, false AS is_valid_longitude, DATE '{RUN_DATE.isoformat()}' AS date
 FROM ({_PAGES_RECORDS}) r WHERE NOT {_valid('longitude')}""",
     "medallion_end_to_end": f"""
 SELECT {TYPE_COL}, nullif(concat_ws(', ', city, state), '') AS {LOCATION_COL},

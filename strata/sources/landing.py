@@ -5,19 +5,21 @@ field, or the number in its file's name or folder (``page-12.json``,
 ``page=12/``).
 
 Every landed row is read.  Rows without a page number are rows; lines that are no
-record keep their text in ``_corrupt_record``.  Gaps in the page numbers are
-reported (:func:`page_report`), they never shorten what is ingested.
+record keep their text in ``_corrupt_record``; fields whose value is of another
+kind than declared read as NULL and keep name and raw text in ``field_faults``.
+Gaps in the page numbers are reported (:func:`page_report`, and all of them as
+ranges by :func:`page_gap_ranges`), they never shorten what is ingested.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, StringType, StructField, StructType, VariantType
 
-from strata.sources.schemas import CORRUPT_COL, DATE_COL, PAGE_COL, RECORD, RECORD_FIELDS
+from strata.sources.schemas import CORRUPT_COL, DATE_COL, FAULTS_COL, PAGE_COL, RECORD, RECORD_FIELDS
 from strata.sources.tables import partition_path, read_table
 
 # As parsed: the page as text, so that 3000000000, "2" and 2.0 all arrive.
@@ -25,7 +27,13 @@ LANDED_TABLE = StructType(RECORD.fields + [StructField(PAGE_COL, StringType(), T
                                            StructField(CORRUPT_COL, StringType(), True),
                                            StructField(DATE_COL, DateType(), True)])
 
+# The same with the fields that are more than text as they were written: what does
+# not fit the declared type is seen, not nulled by the parser.
+_LISTS = [f.name for f in RECORD.fields if isinstance(f.dataType, ArrayType)]
+RAW_LANDED = StructType([StructField(f.name, VariantType(), True) if f.name in _LISTS else f for f in LANDED_TABLE.fields])
+
 FIRST_GAP = "first_gap"
+GAP_BITS = 16           # page numbers, and then ranges of them, that one window group holds: 2^16
 PAGE_IN_PATH = r"(?i)/page[=_-]?0*(\d+)[^/]*(?:/[^/]*)?$"
 
 
@@ -36,22 +44,40 @@ def page_number(c: Column | str) -> Column:
     return F.regexp_extract(c, r"^([+-]?\d{1,18})(?:\.0*)?$", 1).try_cast("bigint")
 
 
+def _fault(field: str, raw: Column, typed: Column) -> Column:
+    """The fault of a field that has a value, but none of the declared type."""
+    return F.when(raw.isNotNull() & typed.isNull(), F.struct(F.lit(field).alias("field"), raw.alias("raw")))
+
+
 def read_landed(spark: SparkSession, landing: str, run_date: str | dt.date) -> DataFrame:
     """The rows landed for ``run_date`` under the declared record schema, with
-    ``page`` (bigint) and ``_corrupt_record``: unknown keys are dropped, missing
-    keys read as NULL, a field of another type reads as NULL, and only a line
-    with no record in it is corrupt.  A date without a landing reads as empty."""
-    rows = read_table(spark, landing, LANDED_TABLE, run_date, fmt="json")
+    ``page`` (bigint), ``_corrupt_record`` and ``field_faults``: unknown keys are
+    dropped, missing keys read as NULL, and only a line with no record in it is
+    corrupt.  A field of another kind than declared (a text where a list belongs,
+    a page that is no whole number) reads as NULL and is named in
+    ``field_faults`` with its raw text; every scalar is text, so text fields have
+    no faults.  A date without a landing reads as empty."""
+    rows = read_table(spark, landing, RAW_LANDED, run_date, fmt="json")
     if "_metadata" in _hidden(rows):
         path_page = F.regexp_extract(F.col("_metadata.file_path"), PAGE_IN_PATH, 1).try_cast("bigint")
     else:
         path_page = F.lit(None).cast("bigint")
+    typed = {PAGE_COL: page_number(PAGE_COL)}
+    raw = {PAGE_COL: F.col(PAGE_COL)}
+    for name in _LISTS:
+        typed[name] = F.try_variant_get(F.col(name), "$", RECORD[name].dataType.simpleString())
+        null = F.is_variant_null(F.col(name))
+        raw[name] = F.when(F.col(name).isNotNull() & ~null, F.coalesce(
+            F.try_variant_get(F.col(name), "$", "string"), F.to_json(F.col(name))))
+    faults = F.array_compact(F.array(*[_fault(name, raw[name], typed[name]) for name in typed]))
     blank = F.lit(True)
     for name in RECORD_FIELDS:
-        blank = blank & F.col(name).isNull()
+        blank = blank & (raw[name] if name in raw else F.col(name)).isNull()
+    corrupt = F.when(blank, F.col(CORRUPT_COL))
     return rows.select(
-        *RECORD_FIELDS, F.coalesce(page_number(PAGE_COL), path_page).alias(PAGE_COL),
-        F.when(blank, F.col(CORRUPT_COL)).alias(CORRUPT_COL), DATE_COL)
+        *[typed[name].alias(name) if name in typed else F.col(name) for name in RECORD_FIELDS],
+        F.coalesce(typed[PAGE_COL], path_page).alias(PAGE_COL), corrupt.alias(CORRUPT_COL),
+        F.when(corrupt.isNull() & (F.size(faults) > 0), faults).alias(FAULTS_COL), DATE_COL)
 
 
 def _hidden(df: DataFrame) -> list[str]:
@@ -119,3 +145,35 @@ def page_report(counts: DataFrame) -> DataFrame:
         total(rows).alias("rows_total"),
         total(F.when(~valid, rows)).alias("rows_without_page"),
     ).select(F.lit(gap).cast("long").alias(FIRST_GAP), "*")
+
+
+def page_gap_ranges(counts: DataFrame, expected_pages: int | None = None, bits: int = GAP_BITS) -> DataFrame:
+    """All ranges of page numbers from 1 on that have no row, from
+    :func:`page_counts`: ``first_missing, last_missing, n_missing``.  Pages up to
+    ``expected_pages``, if given, belong to a complete landing.  Numbers that are
+    no page (NULL, below 1) are left out.
+
+    Islands of pages are found without a window over all of them: pages are
+    grouped by their upper bits, so that a group holds at most ``2^bits``; the
+    borders of the groups, one row each, are grouped by their upper bits in turn,
+    until one group is left.  A level costs one shuffle of what is left of it.
+    """
+    page = F.col(PAGE_COL)
+    level = counts.where(page >= 1).select(page.alias("low"), page.alias("high"))
+    # a page before the first and one after the last expected border on what is missing
+    ends = [0] if expected_pages is None else [0, expected_pages + 1]
+    spark = counts.sparkSession
+    level = level.unionByName(spark.createDataFrame([(e, e) for e in ends], "low long, high long"))
+    gaps = None
+    for shift in range(bits, 64 + bits, bits):
+        group = F.shiftright("low", min(shift, 63))
+        before = F.max("high").over(Window.partitionBy("group").orderBy("low").rowsBetween(Window.unboundedPreceding, -1))
+        spans = level.withColumn("group", group).withColumn("before", before)
+        found = spans.where(F.col("low") > F.col("before") + 1).select(
+            (F.col("before") + 1).alias("first_missing"), (F.col("low") - 1).alias("last_missing"))
+        gaps = found if gaps is None else gaps.unionByName(found)
+        level = level.groupBy(group.alias("group")).agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("group")
+        if shift >= 63:
+            break
+    return gaps.select("first_missing", "last_missing",
+                       (F.col("last_missing") - F.col("first_missing") + 1).alias("n_missing"))

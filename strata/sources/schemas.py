@@ -36,6 +36,7 @@ LOCATION_SEP = ", "
 DATE_COL = "date"      # partition column of every table (DateType)
 PAGE_COL = "page"      # page number of a landed record (1-based, bigint)
 CORRUPT_COL = "_corrupt_record"   # text of a landed line that is no record
+FAULTS_COL = "field_faults"       # fields of a record whose value is of another kind than declared
 
 # Raw record: every field arrives as text (coordinates included) except the tag
 # list.  String first, cast later.
@@ -52,6 +53,14 @@ BRONZE = StructType(LANDED.fields + [StructField(DATE_COL, DateType(), True)])
 # Landed lines that hold no record, kept beside the quarantine.
 CORRUPT = StructType([StructField("line", StringType(), True), StructField(DATE_COL, DateType(), True)])
 
+# Records with fields that did not fit, each with its name and raw text.
+FAULTS = ArrayType(StructType([StructField("field", StringType(), True), StructField("raw", StringType(), True)]))
+FAULTY = StructType(LANDED.fields + [StructField(FAULTS_COL, FAULTS, True), StructField(DATE_COL, DateType(), True)])
+
+# Runs of page numbers that did not land.
+GAPS = StructType([StructField(n, LongType(), True) for n in ("first_missing", "last_missing", "n_missing")]
+                  + [StructField(DATE_COL, DateType(), True)])
+
 QUARANTINE = StructType(
     RECORD.fields
     + [StructField(VALID_FLAG, BooleanType(), True), StructField(DATE_COL, DateType(), True)]

@@ -1,13 +1,16 @@
-"""Dated tables: ``<root>/date=YYYY-MM-DD/part-*``.
+"""Dated tables: ``<root>/date=YYYY-MM-DD/`` with one current version each.
 
 * Reads always declare the schema (no inference from footers or directory
   names), so an empty or missing table still reads typed, a partition value such
   as ``007`` stays text, and a ``date`` predicate prunes partitions.
-* A write replaces exactly one date: it overwrites that date's folder and
-  nothing else, so reruns of a date are idempotent and other dates are never
-  touched.  Writing an empty frame empties the date (which is how a stale
-  quarantine is cleared).  ``date`` is the only directory level; every other
-  column, location and type included, stays a data column.
+* A write makes a new version of exactly one date and publishes it when it is
+  complete (:mod:`strata.sources.commits`): reruns of a date are idempotent,
+  other dates are never touched, and a write that dies leaves the date as it was.
+  Writing an empty frame empties the date (which is how a stale quarantine is
+  cleared).  ``date`` is the only partition column; every other column, location
+  and type included, stays a data column.
+* Folders without a commit record (landed files, tables laid down by others) are
+  read as they are.
 """
 
 from __future__ import annotations
@@ -21,24 +24,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.functions.dates import run_date as _run_date
+from strata.sources.commits import (
+    Commit,
+    commits_of,
+    current_versions,
+    new_version,
+    partition_path,
+    path_exists,
+    publish,
+)
 from strata.sources.schemas import DATE_COL
 
 
-def partition_path(root: str, run_date: str | dt.date) -> str:
-    return f"{root.rstrip('/')}/{DATE_COL}={_run_date(run_date).isoformat()}"
-
-
 class MissingInputError(FileNotFoundError):
     """A job's input was never written, or its last write did not finish."""
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists in its store."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def _missing_path(e: AnalysisException) -> bool:
     cond = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
     return (cond() if cond else None) == "PATH_NOT_FOUND"
@@ -47,25 +48,29 @@ def _missing_path(e: AnalysisException) -> bool:
 def read_table(spark: SparkSession, root: str, schema: StructType,
                run_date: str | dt.date | None = None, fmt: str = "parquet",
                must_exist: bool = False) -> DataFrame:
-    """The table at ``root`` under ``schema`` (which includes ``date``),
-    optionally pruned to one date.  A table or date never written reads as
-    empty; with ``must_exist``, a date without a finished write (no ``_SUCCESS``
-    in its folder) raises :class:`MissingInputError` instead.
-
-    With a date, only that date's folder is listed (``basePath`` keeps
-    ``date`` a partition column): on an object store holding years of daily
-    partitions, a run never lists the other dates.
+    """The current versions of the table at ``root`` under ``schema`` (which
+    includes ``date``), optionally pruned to one date.  A table or date never
+    written reads as empty; with ``must_exist``, a date without a published
+    version (or, where files lie without records, without ``_SUCCESS``) raises
+    :class:`MissingInputError` instead.
+
+    With a date, only that date's version is listed (``basePath`` keeps ``date``
+    a partition column): on an object store holding years of daily partitions, a
+    run never lists the other dates.
     """
-    if must_exist:
-        done = f"{root.rstrip('/') if run_date is None else partition_path(root, run_date)}/_SUCCESS"
-        if not path_exists(spark, done):
-            raise MissingInputError(f"no finished write found: {done}")
+    if run_date is not None:
+        found = commits_of(spark, root, run_date)
+        paths = [found[-1].path if found else partition_path(root, run_date)]
+        known = bool(found)
+    else:
+        versions = current_versions(spark, root)
+        known = any(versions.values())
+        paths = [c.path if c else partition_path(root, d) for d, c in sorted(versions.items())] if known else [root]
+    if must_exist and not known and not path_exists(spark, f"{paths[0].rstrip('/')}/_SUCCESS"):
+        raise MissingInputError(f"no finished write found: {paths[0]}")
     reader = spark.read.schema(schema).format(fmt)
     try:
-        if run_date is None:
-            df = reader.load(root)
-        else:
-            df = reader.option("basePath", root).load(partition_path(root, run_date))
+        df = reader.load(root) if paths == [root] else reader.option("basePath", root).load(paths)
     except AnalysisException as e:
         if not _missing_path(e):
             raise
@@ -75,24 +80,29 @@ def read_table(spark: SparkSession, root: str, schema: StructType,
     return df
 
 
-def files_for(rows: int, rows_per_file: int = 2_000_000) -> int:
-    """Output file count for ``rows`` rows of a narrow table."""
-    return max(1, -(-int(rows) // rows_per_file))
-
-
-def write_partition(df: DataFrame, root: str, run_date: str | dt.date, fmt: str = "parquet",
+def stage_partition(df: DataFrame, root: str, run_date: str | dt.date, fmt: str = "parquet",
                     sort_within: Sequence[str] = (), max_records_per_file: int | None = None) -> str:
-    """Replace the ``run_date`` partition of the table at ``root`` with ``df``.
+    """Write ``df`` as a new version of the ``run_date`` partition and return the
+    version's name; nobody reads it before it is published.
 
     ``sort_within`` sorts rows inside each output file (row-group statistics
     then skip on those columns) without another shuffle.
     """
-    path = partition_path(root, run_date)
+    version = new_version()
     out = df.drop(DATE_COL) if DATE_COL in df.columns else df
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
+    writer = out.write.mode("errorifexists").format(fmt)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.save(path)
-    return path
+    writer.save(f"{partition_path(root, run_date)}/{version}")
+    return version
+
+
+def write_partition(df: DataFrame, root: str, run_date: str | dt.date, fmt: str = "parquet",
+                    sort_within: Sequence[str] = (), max_records_per_file: int | None = None,
+                    record: dict | None = None) -> Commit:
+    """Replace the ``run_date`` partition of the table at ``root`` with ``df``:
+    a new version, published with ``record`` once it is complete."""
+    version = stage_partition(df, root, run_date, fmt, sort_within, max_records_per_file)
+    return publish(df.sparkSession, root, run_date, version, record or {})

@@ -15,7 +15,7 @@ from strata.plans import jobs
 from strata.plans.layers import to_gold, to_silver
 from strata.sources.landing import land_pages
 from strata.sources.schemas import BRONZE, CORRUPT, GOLD, LANDED, QUARANTINE, SILVER
-from strata.sources.tables import MissingInputError, partition_path, read_table
+from strata.sources.tables import MissingInputError, partition_path, read_table, stage_partition
 
 D1, D2 = dt.date(2024, 11, 27), dt.date(2024, 11, 28)
 
@@ -112,10 +112,11 @@ def test_missing_input_raises_and_changes_nothing(spark, tmp_root):
         jobs.transform_gold(spark, replace(layout, silver=f"{tmp_root}/typo"), D2)
     assert read_table(spark, layout.silver, SILVER, D2).count() == 5
     assert read_table(spark, layout.gold, GOLD, D2).count() == 4
-    # a write that crashed leaves no _SUCCESS: the next job does not take it for an empty date
-    os.remove(f"{partition_path(layout.silver, D2)}/_SUCCESS")
+    # a first write that crashed was never published: the next job does not take it for an empty date
+    stage_partition(read_table(spark, layout.silver, SILVER, D2), layout.silver, D1)
     with pytest.raises(MissingInputError):
-        jobs.transform_gold(spark, layout, D2)
+        jobs.transform_gold(spark, layout, D1)
+    assert read_table(spark, layout.silver, SILVER, D1).count() == 0
     assert read_table(spark, layout.gold, GOLD, D2).count() == 4
 
 

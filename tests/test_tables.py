@@ -7,6 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from strata.sources.commits import latest
 from strata.sources.schemas import GOLD, QUARANTINE, without
 from strata.sources.tables import partition_path, read_table, write_partition
 from tests.plans import plan
@@ -60,7 +61,7 @@ def test_date_predicate_prunes_partitions(spark, tmp_root):
     text = plan(df)
     assert "PartitionFilters: [isnotnull(date" in text and "2024-11-28" in text
     # only the date's folder is listed, not the table root
-    assert "InMemoryFileIndex [" in text and "/g/date=2024-11-28]" in text
+    assert "InMemoryFileIndex [" in text and "/g/date=2024-11-28/_v-" in text
     assert "ReadSchema: struct<brewery_type:string>" in text
     assert df.count() == 1
 
@@ -69,6 +70,7 @@ def test_sort_within_keeps_rows(spark, tmp_root):
     root = f"{tmp_root}/s"
     df = spark.range(1000).select(F.col("id").cast("string").alias("localizacao"))
     write_partition(df, root, D1, sort_within=["localizacao"], max_records_per_file=300)
-    back = spark.read.parquet(partition_path(root, D1))
-    assert back.count() == 1000 and len([f for f in os.listdir(partition_path(root, D1))
+    path = latest(spark, root, D1).path
+    back = spark.read.parquet(path)
+    assert back.count() == 1000 and len([f for f in os.listdir(path)
                                           if f.endswith(".parquet")]) >= 4
