@@ -1,14 +1,22 @@
 """Language-model scoring with a log-bilinear neural model.
 
-Words are mapped to a small set of symbols: the most frequent words have one
-each, all others share symbols by their ending, and the end of a text has its
-own.  The model predicts a symbol's vector from the two symbols before it, as a
-sum of position-weighted context vectors, and is trained in numpy with
-noise-contrastive estimation on the corpus's symbol trigram counts, which Spark
-gathers from all training documents.  Batched matrix products over all contexts
-then give normalised log-probabilities of symbols; a word's share within its
-symbol follows the corpus counts, so a token's log-probability is normalised
-over all words and one unseen word per shared symbol.
+Every word above a count floor has a symbol of its own; the floor grows with the
+square root of the corpus, and so does the vocabulary.  Words below it share a
+symbol by their last two letters where the ending is frequent enough, else one
+symbol for the rest.  The model predicts the next symbol's vector as a sum of the
+context vectors of the symbols before it, weighed by position.  Symbols lie in
+classes of neighbours in frequency, so that a probability, class times symbol
+within its class, is normalised over all symbols by two short matrix products.
+
+The model is trained in numpy with noise-contrastive estimation over all training
+documents: in rounds, each over its share of the documents, every task starts
+from the round's parameters, learns from its own texts in batches, and Spark
+averages the tasks' parameters by the tokens they saw.  The noise enters by its
+expectation over the class or the class's symbols, without sampling error.
+
+A word's share within a shared symbol follows the corpus counts, so a token's
+log-probability is normalised over all words and one unseen word per shared
+symbol.
 """
 
 from __future__ import annotations
@@ -18,17 +26,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import SPACED_WORD, ascii_lower, stored, whole_text
 
-TOP_WORDS = 95          # words with a symbol of their own
-ENDINGS = 64            # shared symbols
 DIM = 24
-HEAD_WORDS = 200_000    # most frequent words, whose counts every task gets
+CONTEXT = 4             # symbols before a token that the model sees
+FLOOR_SHARE = 8         # a symbol stands for sqrt(tokens) / 8 tokens at least
+LEAST_COUNT = 5
+ROUNDS = 3
+BATCH = 4096            # tokens of a training step
+LEAST_TOKENS = 200_000  # a task with fewer goes over them again,
+MOST_PASSES = 30        # so many times at most
+HEAD_WORDS = 200_000    # at most so many words, the most frequent, whose counts every task gets
+BLOCK = 4096            # parameters averaged in one row
 END = "\n"              # the end token; no word holds white space
 
 
@@ -38,174 +51,340 @@ def tokens_of(text: str | Column = "text") -> Column:
     return F.concat(words, F.array(F.lit(END)))
 
 
-def ending_symbol(word: Column) -> Column:
-    """Shared symbol of a word without one of its own, from its last two letters."""
-    return F.pmod(F.xxhash64(F.right(word, F.lit(2))), F.lit(ENDINGS)).cast("int")
-
+# --- the vocabulary and the corpus counts ----------------------------------------------
 
 @dataclass
-class LogBilinear:
-    """``context`` (2 x symbols x dim) and ``target`` (symbols x dim) vectors, ``bias``."""
+class Vocabulary:
+    """Symbols by falling training tokens: words of their own, endings shared by
+    the words below the floor, and ``rest`` for all others.  ``mass`` has the
+    tokens of each symbol, ``types`` the distinct words of a shared one (0: own)."""
 
-    context: np.ndarray
-    target: np.ndarray
-    bias: np.ndarray
+    own: dict[bytes, int]
+    endings: dict[bytes, int]
+    rest: int
+    mass: np.ndarray
+    types: np.ndarray
 
-    def log10_table(self) -> np.ndarray:
-        """Normalised log10 probabilities, (first x second) contexts x symbols,
-        by one matrix product per first symbol."""
-        k = len(self.bias)
-        out = np.empty((k * k, k), dtype=np.float32)
-        for a in range(k):
-            s = (self.context[0][a] + self.context[1]) @ self.target.T + self.bias
-            s -= s.max(axis=1, keepdims=True)
-            s -= np.log(np.exp(s).sum(axis=1, keepdims=True))
-            out[a * k:(a + 1) * k] = s / np.log(10)
-        return out
+    @property
+    def end(self) -> int:
+        return self.own[END.encode()]
 
+    def symbols(self, words: list[bytes]) -> np.ndarray:
+        own, endings, rest = self.own, self.endings, self.rest
+        return np.fromiter((own[w] if w in own else endings.get(w.decode("utf-8", "replace")[-2:].encode(), rest)
+                            for w in words), dtype=np.int64, count=len(words))
 
-def train(first: np.ndarray, second: np.ndarray, third: np.ndarray, count: np.ndarray, symbols: int,
-          dim: int = DIM, noise: int = 10, epochs: int = 60, rate: float = 0.05, seed: int = 5) -> LogBilinear:
-    """Noise-contrastive estimation on counted trigrams: each observed symbol is
-    told from ``noise`` symbols drawn from the unigram distribution.  Draws enter
-    by their expectation, which for counted contexts is exact and has no
-    sampling error.  Deterministic for equal counts."""
-    rng = np.random.default_rng(seed)
-    total = float(count.sum()) or 1.0
-    q = (np.bincount(third, count, symbols) + 0.5) / (total + 0.5 * symbols)
-    shift = np.log(noise * q)
-    ctx, where = np.unique(first.astype(np.int64) * symbols + second, return_inverse=True)
-    a, b = ctx // symbols, ctx % symbols
-    seen = np.zeros((len(ctx), symbols), dtype=np.float32)
-    np.add.at(seen, (where, third), (count / total).astype(np.float32))
-    mass = seen.sum(axis=1, keepdims=True)
-    theta = [rng.normal(0, 0.1, (symbols, dim)), rng.normal(0, 0.1, (symbols, dim)),
-             rng.normal(0, 0.1, (symbols, dim)), np.log(q)]
-    m, v = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
-    one_a, one_b = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
-
-    def summed(rows: np.ndarray, key: np.ndarray, order: np.ndarray) -> np.ndarray:
-        out = np.zeros((symbols, rows.shape[1]))
-        keys, starts = np.unique(key[order], return_index=True)
-        out[keys] = np.add.reduceat(rows[order], starts, axis=0)
-        return out
 
-    for step in range(1, epochs + 1 if len(ctx) else 1):
-        g = [np.zeros_like(t) for t in theta]
-        left = np.empty((len(ctx), dim))
-        for i in range(0, len(ctx), 4096):
-            j = slice(i, i + 4096)
-            r = theta[0][a[j]] + theta[1][b[j]]
-            p = 1 / (1 + np.exp(-np.clip(r @ theta[2].T + theta[3] - shift, -30, 30)))
-            d = (mass[j] * noise * q) * p - seen[j] * (1 - p)       # of minus the objective
-            left[j] = d @ theta[2]
-            g[2] += d.T @ r
-            g[3] += d.sum(axis=0)
-        g[0], g[1] = summed(left, a, one_a), summed(left, b, one_b)
-        for i, t in enumerate(theta):
-            m[i] = 0.9 * m[i] + 0.1 * g[i]
-            v[i] = 0.99 * v[i] + 0.01 * g[i] ** 2
-            t -= rate * (m[i] / (1 - 0.9 ** step)) / (np.sqrt(v[i] / (1 - 0.99 ** step)) + 1e-9)
-    return LogBilinear(np.stack(theta[:2]), theta[2], theta[3])
-
-
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >> 63 else h
-
-
-def _symbols(words: list[str], own: dict[str, int]) -> np.ndarray:
-    """Symbol of each word: its own, or the one of its ending (as :func:`ending_symbol`)."""
-    return np.fromiter(
-        (own[w] if w in own else len(own) + _signed(xxhash.xxh64_intdigest(w[-2:].encode(), 42)) % ENDINGS
-         for w in words), dtype=np.int64, count=len(words))
-
-
-def _batches(batch: pa.RecordBatch, column: str, rows: int = 512) -> Iterator[tuple[int, int, pa.Array, np.ndarray]]:
-    """(first row, rows, flat tokens, tokens per row) of slices of a batch."""
-    col = batch.column(column)
-    for i in range(0, len(col), rows):
-        part = col.slice(i, rows)
-        yield i, len(part), part.flatten(), pc.list_value_length(part).to_numpy(zero_copy_only=False)
-
-
-def _contexts(sym: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The two symbols before each token (the end symbol before a text), and its text."""
-    text = np.repeat(np.arange(len(lengths)), lengths)
-    place = np.arange(len(sym)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    prev = np.concatenate([[end], sym[:-1]]) if len(sym) else sym
-    prev2 = np.concatenate([[end, end], sym[:-2]])[:len(sym)]
-    return np.where(place >= 2, prev2, end), np.where(place >= 1, prev, end), text
+def vocabulary_of(own: list[tuple[str, int]], endings: list[tuple[str, int, int]], rest: tuple[int, int]) -> Vocabulary:
+    """From ``(word, count)``, ``(ending, tokens, types)`` and the rest's ``(tokens, types)``."""
+    if END not in dict(own):
+        own = [*own, (END, 0)]
+    rows = [(n, 0, w, 0) for w, n in own] + [(n, 1, e, t) for e, n, t in endings] + [(rest[0], 2, "", rest[1])]
+    rows.sort(key=lambda r: (-r[0], r[1], r[2]))
+    of = [{r[2].encode(): i for i, r in enumerate(rows) if r[1] == kind} for kind in (0, 1, 2)]
+    return Vocabulary(of[0], of[1], of[2][b""], np.array([r[0] for r in rows], dtype=float),
+                      np.array([r[3] for r in rows], dtype=float))
 
 
 @dataclass
 class Corpus:
     """What scoring needs of the training documents: ``counts(token, c)`` as a
-    table, its most frequent rows, totals, and the words with own symbols."""
+    table, the counts of its most frequent words, totals and the vocabulary."""
 
     counts: DataFrame
-    head: list[tuple[str, int]]
+    head: dict[bytes, int]
     tokens: int
     distinct: int
-    own: dict[str, int]
-    shared: dict[int, tuple[int, int]]      # ending symbol -> (tokens, distinct words)
+    vocabulary: Vocabulary
 
-    @property
-    def symbols(self) -> int:
-        return len(self.own) + ENDINGS
+
+def head_floor(histogram: list[tuple[int, int]], most: int) -> int:
+    """The least count such that at most ``most`` words reach it, from ``(bucket,
+    words)`` with eight buckets per doubling of the count."""
+    total, floor = 0, None
+    for bucket, words in sorted(histogram, reverse=True):
+        total += words
+        if total > most:
+            break
+        floor = bucket
+    return int(np.ceil(2 ** (floor / 8) - 1e-9)) if floor is not None else 1 << 62
 
 
-def gather(train_docs: DataFrame, top_words: int = TOP_WORDS, head_words: int = HEAD_WORDS) -> Corpus:
-    """Counts of every token of ``train_docs(text)``, added up before the
-    shuffle.  The driver gets the ``head_words`` most frequent and one row per
-    shared symbol."""
+def gather(train_docs: DataFrame, head_words: int = HEAD_WORDS, floor_share: float = FLOOR_SHARE) -> Corpus:
+    """Counts of every token of ``train_docs(text)``, added up before the shuffle.
+
+    The driver gets the words over two floors and the frequent endings: a
+    histogram of the counts says where the first floor lies, so that no more than
+    ``head_words`` reach it; over the second, ``sqrt(tokens) / floor_share``, there
+    are at most ``floor_share * sqrt(tokens)`` symbols.  Nothing is sorted.
+    """
     counts = stored(train_docs.select(F.explode(tokens_of("text")).alias("token"))
                     .groupBy("token").agg(F.count(F.lit(1)).alias("c")), "token-counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    head = [(r.token, r.c) for r in counts.orderBy(F.desc("c"), "token").limit(head_words).collect()]
-    top = [w for w, _ in head if w != END][:top_words]
-    own = {w: i for i, w in enumerate([END, *top])}
-    rest = counts.where(~F.col("token").isin(list(own)))
-    shared = {r.s: (r.n, r.v) for r in rest.groupBy(ending_symbol(F.col("token")).alias("s"))
-              .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-    return Corpus(counts, head, total.n, total.v, own, shared)
-
-
-def fit(train_docs: DataFrame, corpus: Corpus, **knobs) -> LogBilinear:
-    """Symbol trigrams of all training documents, counted in each task, then
-    added up by Spark; the driver trains on at most symbols^3 counts."""
-    own, k = corpus.own, corpus.symbols
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        waiting: list[np.ndarray] = []
-
-        def merge() -> tuple[np.ndarray, np.ndarray]:
-            keys = np.concatenate([held[0], *waiting])
-            n = np.concatenate([held[1], np.ones(len(keys) - len(held[0]), dtype=np.int64)])
-            keys, at = np.unique(keys, return_inverse=True)
-            waiting.clear()
-            return keys, np.bincount(at, n, len(keys)).astype(np.int64)
-
-        size = 0
-        for batch in batches:
-            for _, _, flat, lengths in _batches(batch, "tokens"):
-                coded = flat.dictionary_encode()
-                sym = _symbols(coded.dictionary.to_pylist(), own)[coded.indices.to_numpy(zero_copy_only=False)]
-                a, b, _ = _contexts(sym, lengths, 0)
-                waiting.append((a * k + b) * k + sym)
-                size += len(sym)
-                if size > 2_000_000:
-                    held, size = merge(), 0
-        held = merge()
-        for i in range(0, len(held[0]), 100_000):
-            yield pa.record_batch({"gram": held[0][i:i + 100_000], "n": held[1][i:i + 100_000]})
-
-    got = (train_docs.select(tokens_of("text").alias("tokens")).mapInArrow(count, "gram long, n long")
-           .groupBy("gram").agg(F.sum("n").alias("n")).toArrow())
-    gram, n = got["gram"].to_numpy(), got["n"].to_numpy().astype(float)
-    order = np.argsort(gram)
-    gram, n = gram[order], n[order]
-    return train(gram // (k * k), gram // k % k, gram % k, n, k, **knobs)
+    buckets = (counts.groupBy(F.floor(F.log2("c") * 8 + 1e-9).cast("int").alias("b"))
+               .agg(F.count(F.lit(1)).alias("n")).collect())
+    least = head_floor([(r.b, r.n) for r in buckets], head_words)
+    floor = max(LEAST_COUNT, total.n ** 0.5 / floor_share)
+    head = counts.where(F.col("c") >= least).toArrow()
+    own = counts.where((F.col("c") >= floor) | (F.col("token") == END)).toArrow()
+    rest = counts.where((F.col("c") < floor) & (F.col("token") != END))
+    shared = stored(rest.groupBy(F.right("token", F.lit(2)).alias("ending"))
+                    .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")), "endings")
+    often = shared.where(F.col("n") >= floor).toArrow()
+    other = shared.where(F.col("n") < floor).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    words = vocabulary_of(list(zip(own["token"].to_pylist(), own["c"].to_pylist())),
+                          list(zip(*(often[c].to_pylist() for c in ("ending", "n", "v")))), (other[0], other[1]))
+    known = dict(zip(head["token"].cast(pa.binary()).to_pylist(), head["c"].to_pylist()))
+    return Corpus(counts, known, total.n, total.v, words)
+
+
+# --- the model ------------------------------------------------------------------------
+
+def classes_of(mass: np.ndarray) -> np.ndarray:
+    """First symbols of the classes, with the number of symbols at the end: about
+    the square root of the symbols, each of an equal share of the roots of mass."""
+    n = len(mass)
+    k = int(np.ceil(np.sqrt(n)))
+    share = np.cumsum(np.sqrt(mass + 0.5))
+    of = np.minimum((k * (share - np.sqrt(mass + 0.5)) / share[-1]).astype(int), k - 1)
+    return np.append(np.unique(of, return_index=True)[1], n)
+
+
+@dataclass
+class LogBilinear:
+    """``context`` and ``target`` vectors (symbols x dim), ``place`` weights
+    (positions x dim), class vectors ``group`` and the two biases."""
+
+    cuts: np.ndarray            # classes are the symbols between two cuts
+    context: np.ndarray
+    place: np.ndarray
+    group: np.ndarray
+    group_bias: np.ndarray
+    target: np.ndarray
+    bias: np.ndarray
+
+    PARTS = ("context", "place", "group", "group_bias", "target", "bias")
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([getattr(self, p).ravel() for p in self.PARTS])
+
+    def filled(self, flat: np.ndarray) -> LogBilinear:
+        out, at = {}, 0
+        for p in self.PARTS:
+            like = getattr(self, p)
+            out[p] = flat[at:at + like.size].reshape(like.shape).astype(np.float32)
+            at += like.size
+        return LogBilinear(self.cuts, **out)
+
+    def predicted(self, context: np.ndarray) -> np.ndarray:
+        """Predicted vectors of ``context`` (tokens x positions)."""
+        out = self.context[context[:, 0]] * self.place[0]
+        for k in range(1, context.shape[1]):
+            out += self.context[context[:, k]] * self.place[k]
+        return out
+
+    def log10(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Normalised log10 probability of each symbol after its context."""
+        r = self.predicted(context)
+        of = np.searchsorted(self.cuts, symbol, side="right") - 1
+        out = _normalised(r @ self.group.T + self.group_bias, of)
+        for g, rows in _by_class(of):
+            a, b = self.cuts[g], self.cuts[g + 1]
+            if b - a > 1:
+                out[rows] += _normalised(r[rows] @ self.target[a:b].T + self.bias[a:b], symbol[rows] - a)
+        return out / np.log(10)
+
+
+def _normalised(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    scores = scores - scores.max(axis=1, keepdims=True)
+    return (scores[np.arange(len(at)), at] - np.log(np.exp(scores).sum(axis=1))).astype(float)
+
+
+def _by_class(of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    order = np.argsort(of, kind="stable")
+    groups, starts = np.unique(of[order], return_index=True)
+    for g, rows in zip(groups.tolist(), np.split(order, starts[1:])):
+        yield g, rows
+
+
+def started(mass: np.ndarray, dim: int = DIM, positions: int = CONTEXT, seed: int = 5) -> LogBilinear:
+    """The model before training: the unigram distribution, and small vectors."""
+    rng, cuts, n = np.random.default_rng(seed), classes_of(mass), len(mass)
+    p = mass + 0.5
+    groups = np.add.reduceat(p, cuts[:-1])
+    within = np.log(p / np.repeat(groups, np.diff(cuts)))
+
+    def small(*shape: int) -> np.ndarray:
+        return rng.normal(0, 0.1, shape).astype(np.float32)
+    place = np.repeat(1.0 / (1 + np.arange(positions))[:, None] ** 0.5, dim, axis=1)
+    return LogBilinear(cuts, small(n, dim), place.astype(np.float32), small(len(groups), dim),
+                       np.log(groups / groups.sum()).astype(np.float32), small(n, dim), within.astype(np.float32))
+
+
+class Trainer:
+    """Noise-contrastive estimation by AdaGrad steps.
+
+    On either level the observed symbol (or class) is told from ``noise`` draws of
+    the unigram distribution of its level, which enter by their expectation:
+    of the scores ``s`` less ``log(noise q)`` the sigmoid should be one at the
+    symbol observed and nought, weighed by ``noise q``, at every one.
+    """
+
+    def __init__(self, model: LogBilinear, mass: np.ndarray, noise: float = 10.0, rate: float = 0.2):
+        self.model, self.rate = model, rate
+        p, cuts = mass + 0.5, model.cuts
+        groups = np.add.reduceat(p, cuts[:-1])
+        self.group_noise = (noise * groups / groups.sum()).astype(np.float32)
+        self.noise = (noise * p / np.repeat(groups, np.diff(cuts))).astype(np.float32)
+        self.square = {k: np.full_like(getattr(model, k), 1e-4) for k in model.PARTS}
+
+    @staticmethod
+    def _apart(scores: np.ndarray, noise: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Gradient of minus the objective by the scores."""
+        p = 1 / (1 + np.exp(np.clip(np.log(noise) - scores, -30, 30)))
+        rows = np.arange(len(at))
+        seen = p[rows, at]
+        p *= noise
+        p[rows, at] -= 1 - seen
+        return p
+
+    def _move(self, part: str, g: np.ndarray, rows: slice | np.ndarray = slice(None)) -> None:
+        self.square[part][rows] += g * g
+        getattr(self.model, part)[rows] -= self.rate * g / np.sqrt(self.square[part][rows])
+
+    def step(self, context: np.ndarray, symbol: np.ndarray) -> None:
+        m, n = self.model, np.float32(1.0 / len(symbol))
+        r = m.predicted(context)
+        of = np.searchsorted(m.cuts, symbol, side="right") - 1
+        d = self._apart(r @ m.group.T + m.group_bias, self.group_noise, of) * n
+        back = d @ m.group
+        moves = [("group", d.T @ r, slice(None)), ("group_bias", d.sum(axis=0), slice(None))]
+        for g, rows in _by_class(of):
+            a, b = m.cuts[g], m.cuts[g + 1]
+            if b - a > 1:
+                x = r[rows]
+                d = self._apart(x @ m.target[a:b].T + m.bias[a:b], self.noise[a:b], symbol[rows] - a) * n
+                back[rows] += d @ m.target[a:b]
+                moves += [("target", d.T @ x, slice(a, b)), ("bias", d.sum(axis=0), slice(a, b))]
+        at = context.ravel()
+        given = (back[:, None, :] * m.place[None]).reshape(len(at), -1)
+        order = np.argsort(at, kind="stable")
+        held, starts = np.unique(at[order], return_index=True)
+        moves.append(("context", np.add.reduceat(given[order], starts, axis=0), held))
+        moves.append(("place", np.stack([(back * m.context[context[:, k]]).sum(axis=0)
+                                         for k in range(context.shape[1])]), slice(None)))
+        for part, g, rows in moves:
+            self._move(part, g, rows)
+
+
+# --- texts in tasks --------------------------------------------------------------------
+
+def contexts(symbols: np.ndarray, lengths: np.ndarray, end: int, positions: int) -> np.ndarray:
+    """The symbols before each token, nearest first; the end symbol before a text."""
+    place = np.arange(len(symbols)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out = np.full((len(symbols), positions), end, dtype=np.int64)
+    for k in range(1, positions + 1):
+        there = place >= k
+        out[there, k - 1] = symbols[np.nonzero(there)[0] - k]
+    return out
+
+
+def _texts(batch: pa.RecordBatch, rows: int = 128) -> Iterator[tuple[int, int, pa.DictionaryArray, np.ndarray]]:
+    """(first row, rows, coded tokens of all rows, tokens per row) of slices of a
+    batch; rows with very long texts come in slices of their own."""
+    col = batch.column("text").cast(pa.binary())
+    at, i = 0, 0
+    while i < len(col):
+        tokens, lengths = [], []
+        while i < len(col) and len(lengths) < rows and len(tokens) < 400_000:
+            words = (col[i].as_py() or b"").lower().split()     # bytes: A-Z and ASCII white space only
+            tokens += words
+            tokens.append(END.encode())
+            lengths.append(len(words) + 1)
+            i += 1
+        yield at, len(lengths), pa.array(tokens, pa.binary()).dictionary_encode(), np.array(lengths, dtype=np.int64)
+        at = i
+
+
+def learn(model: LogBilinear, parts: Iterator[tuple[np.ndarray, np.ndarray]], words: Vocabulary, seed: int,
+          least_tokens: int = LEAST_TOKENS, most_passes: int = MOST_PASSES, **knobs: float) -> tuple[LogBilinear, int]:
+    """``parts`` of (symbols, tokens per text) -> the model after a pass over
+    them, in shuffled batches, and the tokens seen.  Fewer than ``least_tokens``
+    are gone over again, up to ``most_passes`` times."""
+    rng, trainer, n = np.random.default_rng(seed), Trainer(model, words.mass, **knobs), 0
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def turn() -> None:
+        ctx, sym = (np.concatenate([w[k] for w in waiting]) for k in (0, 1))
+        order = rng.permutation(len(sym))
+        for i in range(0, len(order), BATCH):
+            trainer.step(ctx[order[i:i + BATCH]], sym[order[i:i + BATCH]])
+
+    size = 0
+    for symbols, lengths in parts:
+        waiting.append((contexts(symbols, lengths, words.end, len(model.place)), symbols))
+        size += len(symbols)
+        n += len(symbols)
+        if size >= 16 * BATCH:
+            if n >= least_tokens:
+                turn()
+                waiting.clear()
+                size = 0
+    if waiting:
+        for _ in range(min(most_passes, max(1, -(-least_tokens // n)))):
+            turn()
+    return model, n
+
+
+def fit(train_docs: DataFrame, corpus: Corpus, rounds: int = ROUNDS, dim: int = DIM, positions: int = CONTEXT,
+        **knobs: float) -> LogBilinear:
+    """The model of all of ``train_docs(text)``: every document is seen in one of
+    the ``rounds``.  What comes back of a task is its parameters, in blocks that
+    Spark adds up in two steps; the driver gets one set of parameters a round."""
+    words = corpus.vocabulary
+    model = started(words.mass, dim, positions)
+    if not corpus.tokens:
+        return model
+    plain = [F.col(f"`{c}`") for c, t in train_docs.dtypes if not t.startswith(("map", "variant"))]
+    texts = train_docs.select(whole_text("text").alias("text"), F.pmod(F.xxhash64(*plain), F.lit(rounds)).alias("round"))
+
+    def task(turn: int, start: LogBilinear):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part = TaskContext.get().partitionId()
+
+            def symbols() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                for batch in batches:
+                    for _, _, coded, lengths in _texts(batch):
+                        of = words.symbols(coded.dictionary.to_pylist())
+                        yield of[coded.indices.to_numpy(zero_copy_only=False)], lengths
+
+            own = start.filled(start.flat())
+            learned, n = learn(own, symbols(), words, 1000 * turn + part, **knobs)
+            if n:
+                flat = learned.flat().astype(np.float64) * n
+                starts = range(0, len(flat), BLOCK)
+                yield pa.record_batch({
+                    "block": pa.array([s // BLOCK for s in starts], pa.int32()),
+                    "slot": pa.array([part % 32] * len(starts), pa.int32()),
+                    "n": pa.array([float(n)] * len(starts)),
+                    "sums": pa.array([flat[s:s + BLOCK].tobytes() for s in starts], pa.binary())})
+        return run
+
+    def added(group: pa.Table) -> pa.Table:
+        total = np.zeros(len(group["sums"][0].as_py()) // 8)
+        for s in group["sums"]:
+            total += np.frombuffer(s.as_py())
+        return pa.table({"block": group["block"][:1], "slot": group["slot"][:1],
+                         "n": pa.array([float(np.sum(group["n"].to_numpy()))]), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    shape = "block int, slot int, n double, sums binary"
+    for turn in range(rounds):
+        parts = texts.where(F.col("round") == turn).select("text").mapInArrow(task(turn, model), shape)
+        got = (parts.groupBy("block", "slot").applyInArrow(added, shape)
+               .groupBy("block").applyInArrow(added, shape).toArrow().sort_by("block"))
+        if len(got):
+            model = model.filled(np.concatenate([np.frombuffer(s.as_py()) / n.as_py() for s, n in zip(got["sums"], got["n"])]))
+    return model
 
 
 def score(docs: DataFrame, corpus: Corpus, model: LogBilinear) -> DataFrame:
@@ -216,52 +395,54 @@ def score(docs: DataFrame, corpus: Corpus, model: LogBilinear) -> DataFrame:
     count table by token, added up per row and token before the shuffle, so no
     frequent token is ever shuffled.  Texts of NULL hold the end token alone.
     """
-    own, k, head = corpus.own, corpus.symbols, dict(corpus.head)
+    words, head = corpus.vocabulary, corpus.head
     n, v = corpus.tokens, corpus.distinct
-    whole = {s: (corpus.shared.get(s, (0, 0))) for s in range(ENDINGS)}
     # log10 of a shared symbol's mass: its counts and halves, one unseen word more
-    mass = np.log10(np.array([whole[s][0] + 0.5 * (whole[s][1] + 1) for s in range(ENDINGS)]))
+    mass = np.log10(words.mass + 0.5 * (words.types + 1))
+    is_shared = np.ones(len(mass), dtype=bool)
+    is_shared[list(words.own.values())] = False
+    positions = len(model.place)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = model.log10_table()
         for batch in batches:
-            for first, rows, flat, lengths in _batches(batch, "tokens"):
-                coded = flat.dictionary_encode()
-                words = coded.dictionary.to_pylist()
-                c = np.fromiter((head.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-                sym_of = _symbols(words, own)
+            for first, rows, coded, lengths in _texts(batch):
+                said = coded.dictionary.to_pylist()
+                c = np.fromiter((head.get(w, -1) for w in said), dtype=np.int64, count=len(said))
+                of = words.symbols(said)
                 at = coded.indices.to_numpy(zero_copy_only=False)
-                sym = sym_of[at]
-                a, b, text = _contexts(sym, lengths, 0)
-                in_shared = sym_of >= len(own)
+                symbols, text = of[at], np.repeat(np.arange(rows), lengths)
+                model_part = np.empty(len(at))
+                around = contexts(symbols, lengths, words.end, positions)
+                for i in range(0, len(at), 16_384):
+                    j = slice(i, i + 16_384)
+                    model_part[j] = model.log10(around[j], symbols[j])
                 log_c = np.where(c >= 0, np.log10(np.maximum(c, 0) + 0.5), 0.0)
                 # within-symbol part: log10((c + 0.5) / mass); 0 for own symbols
-                inside = np.where(in_shared, log_c - mass[np.maximum(sym_of - len(own), 0)], 0.0)
-                model_sum = np.bincount(text, table[a * k + b, sym].astype(float) + inside[at], rows)
-                base_sum = np.bincount(text, log_c[at], rows)
-                known = np.bincount(text, (c > 0)[at], rows).astype(np.int64)
-                far = c < 0
+                inside = np.where(is_shared[of], log_c - mass[of], 0.0)
                 # tokens outside the head, once per row with their number
-                away = np.nonzero(far[at])[0]
-                pair, times = np.unique(text[away] * np.int64(len(words)) + at[away], return_counts=True)
-                owner, word = pair // max(1, len(words)), pair % max(1, len(words))
+                away = np.nonzero((c < 0)[at])[0]
+                pair, times = np.unique(text[away] * np.int64(len(said)) + at[away], return_counts=True)
+                owner, word = pair // max(1, len(said)), pair % max(1, len(said))
                 cuts = np.searchsorted(owner, np.arange(rows + 1)).astype(np.int32)
                 yield pa.record_batch({
                     "row_id": batch.column("row_id").slice(first, rows),
                     "doc_id": batch.column("doc_id").slice(first, rows),
-                    "n_tokens": lengths.astype(np.int64), "known": known, "base": base_sum, "model": model_sum,
+                    "n_tokens": lengths, "known": np.bincount(text, (c > 0)[at], rows).astype(np.int64),
+                    "base": np.bincount(text, log_c[at], rows), "model": np.bincount(text, model_part + inside[at], rows),
                     "far": pa.ListArray.from_arrays(cuts, pa.StructArray.from_arrays(
-                        [coded.dictionary.take(pa.array(word)), pa.array(times.astype(np.int64))], ["token", "times"])),
+                        [coded.dictionary.take(pa.array(word)).cast(pa.string()), pa.array(times.astype(np.int64))],
+                        ["token", "times"])),
                 })
 
     # rows are named where they are written, so repeated ids stay apart
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", tokens_of("text").alias("tokens"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", whole_text("text").alias("text"))
     near_rows = stored(rows.mapInArrow(
         near, f"row_id long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, known long, "
               "base double, model double, far array<struct<token:string,times:long>>"), "lm-near")
     far_rows = near_rows.select("row_id", F.explode("far").alias("f")).select("row_id", "f.token", "f.times")
     c = F.coalesce("c", F.lit(0))
     add = F.col("times") * F.log10(c + 0.5)
+    # words of the head are never far, so their counts need not travel
     far_sums = (far_rows.join(corpus.counts, "token", "left").groupBy("row_id")
                 .agg(F.sum(add).alias("far_sum"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("far_known")))
     zero = F.lit(0.0)
@@ -273,11 +454,11 @@ def score(docs: DataFrame, corpus: Corpus, model: LogBilinear) -> DataFrame:
         (F.col("model") + F.coalesce("far_sum", zero)).alias("score")))
 
 
-def score_documents(docs: DataFrame, train_docs: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, train_docs: DataFrame, **knobs: float) -> DataFrame:
     """``docs(doc_id, text)`` scored by a model of ``train_docs(text)`` ->
     ``doc_id, n_tokens, n_known, train_tokens, base_score, score``, one row per
     row of docs (repeated and NULL ids too).  Without training documents every
     count is 0 and the model is untrained."""
     corpus = gather(train_docs)
-    model = fit(train_docs, corpus)
+    model = fit(train_docs, corpus, **knobs)
     return score(docs, corpus, model).withColumn("train_tokens", F.lit(corpus.tokens).cast("long"))

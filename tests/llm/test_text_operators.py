@@ -145,15 +145,82 @@ def test_language_model_counts_and_normalises(spark):
         (counts.get(w, 0) + 0.5) / (n + 0.5 * (v + 1))) for w in t), 6)) for i, t in toks)
     assert sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
     assert all(r.score < 0 for r in got)
-    small = logbilinear.train(np.array([0, 1, 1]), np.array([1, 0, 2]), np.array([2, 1, 0]),
-                              np.array([5.0, 3.0, 2.0]), 3, epochs=300)
-    table = 10 ** small.log10_table().astype(float)
-    assert table.sum(axis=1) == pytest.approx(1.0, abs=1e-4)
-    assert table[0 * 3 + 1, 2] > 0.8 and table[1 * 3 + 0, 1] > 0.8      # what was seen is likely
     assert logbilinear.score_documents(docs, empty(spark)).count() == len(rows())
     assert logbilinear.score_documents(empty(spark), docs).count() == 0
 
 
+def small_model(n=30, seed=1):
+    rng = np.random.default_rng(seed)
+    mass = np.sort(rng.integers(1, 900, n))[::-1].astype(float)
+    return mass, logbilinear.started(mass, dim=6, positions=3, seed=seed)
+
+
+def test_probabilities_are_normalised_over_all_symbols():
+    mass, model = small_model()
+    assert model.cuts[0] == 0 and model.cuts[-1] == 30 and len(model.cuts) > 3 and (np.diff(model.cuts) > 0).all()
+    context = np.random.default_rng(2).integers(0, 30, (20, 3))
+    total = sum(10 ** model.log10(context, np.full(20, s)) for s in range(30))
+    assert total == pytest.approx(1.0, abs=1e-5)
+    flat = model.filled(np.zeros_like(model.flat()))
+    for part in ("group_bias", "bias"):
+        getattr(flat, part)[:] = getattr(model, part)
+    unigram = 10 ** flat.log10(np.zeros((30, 3), dtype=int), np.arange(30))     # without vectors: the unigrams
+    assert unigram == pytest.approx((mass + 0.5) / (mass + 0.5).sum(), rel=1e-4)
+    assert np.array_equal(model.filled(model.flat()).flat(), model.flat())
+
+
+def test_noise_contrastive_gradient_is_that_of_the_objective():
+    rng = np.random.default_rng(4)
+    scores, noise, at = rng.normal(size=(5, 7)), rng.random(7) * 3 + 0.1, rng.integers(0, 7, 5)
+
+    def loss(s):        # minus: the observed told from noise, and the expected draws told from observed
+        p = 1 / (1 + np.exp(np.log(noise) - s))
+        return -np.log(p[np.arange(5), at]).sum() - (noise * np.log(1 - p)).sum()
+
+    got = logbilinear.Trainer._apart(scores.copy(), noise, at)
+    for i in range(5):
+        for j in range(7):
+            step = np.zeros_like(scores)
+            step[i, j] = 1e-6
+            assert got[i, j] == pytest.approx((loss(scores + step) - loss(scores - step)) / 2e-6, abs=1e-5)
+
+
+def test_what_follows_is_learned():
+    words = logbilinear.vocabulary_of([(w, 100) for w in "abc"], [], (0, 0))
+    of = words.symbols([b"a", b"b", b"c", b"\n"])
+    text = np.array([of[k] for k in [0, 1, 2] * 30 + [3]])
+    model, n = logbilinear.learn(logbilinear.started(words.mass, dim=8, positions=2), iter(
+        [(text, np.array([91]))] * 20), words, 1, least_tokens=400_000, most_passes=300)
+    assert n == 1820
+    at = logbilinear.contexts(text, np.array([91]), words.end, 2)
+    assert at[0].tolist() == [words.end] * 2 and at[2].tolist() == [of[1], of[0]]
+    assert (10 ** model.log10(at[1:], text[1:])).min() > 0.01 and (10 ** model.log10(at[5:80], text[5:80])).min() > 0.9
+
+
+def test_head_floor_and_shared_symbols():
+    counts = [1] * 500 + [2] * 90 + [9] * 20 + [40] * 5
+    buckets = {}
+    for c in counts:
+        b = math.floor(math.log2(c) * 8 + 1e-9)
+        buckets[b] = buckets.get(b, 0) + 1
+    for most in (0, 4, 5, 24, 25, 114, 115, 614, 615, 10_000):
+        floor = logbilinear.head_floor(list(buckets.items()), most)
+        assert sum(c >= floor for c in counts) == max(
+            n for n in (0, 5, 25, 115, 615) if n <= most)
+    words = logbilinear.vocabulary_of([("the", 50), ("é", 9)], [("ng", 70, 3)], (4, 2))
+    said = [b"the", "é".encode(), b"sing", b"zzz", b"\n", b"g"]
+    assert words.symbols(said).tolist() == [1, 2, 0, 3, 4, 3] and words.rest == 3 and words.end == 4
+    assert words.mass.tolist() == [70, 50, 9, 4, 0] and words.types.tolist() == [3, 0, 0, 2, 0]
+
+
+def test_held_out_documents_are_likelier_than_by_unigrams(spark):
+    from strata.llm import queries
+
+    got = (queries.op10_lm_scoring(spark, "/root/testdata/sf0.1").where("held_out")
+           .agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens"), F.avg((F.col("score") > F.col("base_score")).cast("int"))).first())
+    assert (got[0] - got[1]) / got[2] > 0.4 and got[3] > 0.95       # log10 per token; share of documents
+
+
 def test_targets_share_by_weight_and_stop_at_three_times():
     assert mixing.targets([("a", 100), ("b", 100), ("c", 100)]) == pytest.approx(
         {"a": 187.5, "b": 75.0, "c": 37.5})
