@@ -30,11 +30,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACED_WORD, ascii_lower, stored, whole_text
+from strata.llm.common import (
+    SPACED_WORD,
+    ascii_lower,
+    one_blas_thread,
+    stored,
+    whole_text,
+)
 
 DIM = 24
 CONTEXT = 4             # symbols before a token that the model sees
-FLOOR_SHARE = 8         # a symbol stands for sqrt(tokens) / 8 tokens at least
+FLOOR_SHARE = 2         # a symbol stands for sqrt(tokens) / 2 tokens at least
 LEAST_COUNT = 5
 ROUNDS = 3
 BATCH = 4096            # tokens of a training step
@@ -241,7 +247,10 @@ class Trainer:
     @staticmethod
     def _apart(scores: np.ndarray, noise: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Gradient of minus the objective by the scores."""
-        p = 1 / (1 + np.exp(np.clip(np.log(noise) - scores, -30, 30)))
+        p = np.log(noise) - scores
+        np.exp(np.clip(p, -30, 30, out=p), out=p)
+        p += 1
+        np.reciprocal(p, out=p)
         rows = np.arange(len(at))
         seen = p[rows, at]
         p *= noise
@@ -266,13 +275,21 @@ class Trainer:
                 d = self._apart(x @ m.target[a:b].T + m.bias[a:b], self.noise[a:b], symbol[rows] - a) * n
                 back[rows] += d @ m.target[a:b]
                 moves += [("target", d.T @ x, slice(a, b)), ("bias", d.sum(axis=0), slice(a, b))]
-        at = context.ravel()
-        given = (back[:, None, :] * m.place[None]).reshape(len(at), -1)
-        order = np.argsort(at, kind="stable")
-        held, starts = np.unique(at[order], return_index=True)
-        moves.append(("context", np.add.reduceat(given[order], starts, axis=0), held))
-        moves.append(("place", np.stack([(back * m.context[context[:, k]]).sum(axis=0)
-                                         for k in range(context.shape[1])]), slice(None)))
+        # what comes back to each (position, symbol), from which both gradients follow
+        size, positions = len(m.context), context.shape[1]
+        at = (context + size * np.arange(positions)).T.ravel()
+        order = np.argsort(at)
+        at = at[order]
+        starts = np.concatenate([[0], np.nonzero(at[1:] != at[:-1])[0] + 1])
+        sums = np.add.reduceat(back[order % len(symbol)], starts, axis=0)
+        place, held = np.divmod(at[starts], size)
+        given, placed = np.zeros_like(m.context), np.empty_like(m.place)
+        for k, (i, j) in enumerate(zip(np.searchsorted(place, np.arange(positions)),
+                                       np.searchsorted(place, np.arange(positions), side="right"))):
+            placed[k] = (sums[i:j] * m.context[held[i:j]]).sum(axis=0)
+            given[held[i:j]] += sums[i:j] * m.place[k]
+        held = np.unique(held)
+        moves += [("context", given[held], held), ("place", placed, slice(None))]
         for part, g, rows in moves:
             self._move(part, g, rows)
 
@@ -350,6 +367,7 @@ def fit(train_docs: DataFrame, corpus: Corpus, rounds: int = ROUNDS, dim: int =
 
     def task(turn: int, start: LogBilinear):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            one_blas_thread()
             part = TaskContext.get().partitionId()
 
             def symbols() -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -404,6 +422,7 @@ def score(docs: DataFrame, corpus: Corpus, model: LogBilinear) -> DataFrame:
     positions = len(model.place)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_blas_thread()
         for batch in batches:
             for first, rows, coded, lengths in _texts(batch):
                 said = coded.dictionary.to_pylist()
