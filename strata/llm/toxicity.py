@@ -105,19 +105,30 @@ class Sample:
     swap: tuple[np.ndarray, np.ndarray, np.ndarray]
     n_swaps: int
     n_features: int
+    swap_row: np.ndarray | None = None      # the row that each swap is made in
+
+    def part(self, keep: np.ndarray) -> Sample:
+        """The rows that ``keep`` marks, weighed so that both labels count alike."""
+        at, col, times = self.swap
+        row, swaps = np.cumsum(keep) - 1, keep[self.swap_row]
+        mine, moved, y = keep[self.row], swaps[at], self.y[keep]
+        return Sample(row[self.row[mine]], self.col[mine], self.times[mine], y, _balanced(y),
+                      ((np.cumsum(swaps) - 1)[at[moved]], col[moved], times[moved]), int(swaps.sum()),
+                      self.n_features, row[self.swap_row[swaps]])
 
 
 def sample_of(rows: Sequence[tuple[int, dict[int, int], float]], swaps: Sequence[dict[int, int]], n_features: int) -> Sample:
     """``rows`` of (label, times by feature number, weight); ``swaps`` hold the
     times that a feature comes in or goes when a term is exchanged."""
-    def triples(maps: Sequence[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at = np.repeat(np.arange(len(maps)), [len(m) for m in maps]).astype(np.int64)
-        return (at, np.array([j for m in maps for j in m], dtype=np.int64),
-                np.array([c for m in maps for c in m.values()], dtype=float))
-
-    row, col, times = triples([m for _, m, _ in rows])
+    row, col, times = _triples([m for _, m, _ in rows])
     return Sample(row, col, times, np.array([y for y, _, _ in rows], dtype=float),
-                  np.array([w for _, _, w in rows], dtype=float), triples(swaps), len(swaps), n_features)
+                  np.array([w for _, _, w in rows], dtype=float), _triples(swaps), len(swaps), n_features)
+
+
+def _triples(maps: Sequence[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    at = np.repeat(np.arange(len(maps)), [len(m) for m in maps]).astype(np.int64)
+    return (at, np.array([j for m in maps for j in m], dtype=np.int64),
+            np.array([c for m in maps for c in m.values()], dtype=float))
 
 
 def fit_weights(s: Sample, l2: float, counterfactual: float = 1.0, epochs: int = 300,
@@ -161,30 +172,24 @@ def _balanced(y: np.ndarray) -> np.ndarray:
     return np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum()))
 
 
-def _chosen(rows: list, n_features: int, l2_grid: Sequence[float], **knobs: float) -> tuple[np.ndarray, float]:
-    """Weights and intercept from ``rows`` of (fold, label, true weight, times by
-    feature, swaps).  The L2 strength is the one whose weights, learned off the
-    fold, part it with the least balanced log loss; its best cut becomes the
-    intercept of the weights learned from all rows."""
-    def take(part: list) -> Sample:
-        y = np.array([r[1] for r in part])
-        return sample_of([(r[1], r[3], w) for r, w in zip(part, _balanced(y))],
-                         [s for r in part for s in r[4]], n_features)
-
-    seen, fold = [r for r in rows if not r[0]], [r for r in rows if r[0]]
-    if {r[1] for r in seen} != {0, 1} or {r[1] for r in fold} != {0, 1}:
-        return fit_weights(take(rows), l2_grid[0], **knobs)     # too few rows to set anything on
-    train, test = take(seen), take(fold)
-    true = np.array([r[2] for r in fold], dtype=float)
+def _chosen(rows: Sample, fold: np.ndarray, l2_grid: Sequence[float], **knobs: float) -> tuple[np.ndarray, float]:
+    """Weights and intercept from ``rows``, weighed as they are in the labelled
+    table.  The L2 strength is the one whose weights, learned off the ``fold``,
+    part it with the least balanced log loss; its best cut becomes the intercept
+    of the weights learned from all rows."""
+    everything = rows.part(np.ones(len(fold), dtype=bool))
+    train, test = rows.part(~fold), rows.part(fold)
+    if set(train.y) != {0, 1} or set(test.y) != {0, 1}:
+        return fit_weights(everything, l2_grid[0], **knobs)     # too few rows to set anything on
     found = []
     for l2 in l2_grid:
         w, bias = fit_weights(train, l2, **knobs)
         z = np.bincount(test.row, w[test.col] * test.times, len(test.y)) + bias
         loss = float(test.weight @ np.logaddexp(0, np.where(test.y > 0, -z, z)))
         # a text without a known word stands among them as one clean row
-        found.append((loss, l2, best_cut(np.append(z, bias), np.append(test.y, 0.0), np.append(true, 1.0))))
+        found.append((loss, l2, best_cut(np.append(z, bias), np.append(test.y, 0.0), np.append(rows.weight[fold], 1.0))))
     _, l2, cut = min(found)
-    w, bias = fit_weights(take(rows), l2, **knobs)
+    w, bias = fit_weights(everything, l2, **knobs)
     return w, bias - cut
 
 
@@ -218,14 +223,16 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, min_z: float = MIN_Z,
     sample = stored(rows.where(chance < F.when(F.col("y") > 0, keep[1]).otherwise(keep[0]))
                     .withColumn("k", F.monotonically_increasing_id()), "toxicity-sample")
     known = F.array(*[F.lit(w) for w in identity_terms()])
+    # the driver gets numbers and distinct features as columns: fit_rows rows, and
+    # for each the told features that its text holds
     held = (sample.select("k", F.explode(of_row).alias("feature")).join(told, "feature")
-            .groupBy("k", "feature").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("k").agg(F.collect_list(F.struct("feature", "c")).alias("held")))
-    data = (sample.join(held, "k", "left")
-            .select("id", "y", "held", F.array_intersect("words", known).alias("terms"),
-                    (F.pmod(F.xxhash64("words", F.lit(7)), F.lit(4)) == 0).alias("fold"))
-            .orderBy("id", "y").collect())             # bounded: fit_rows x told features a text holds
-    vocab = sorted({h.feature for r in data for h in r.held or ()} | {f for t in identity_terms() for f in features(t)})
+            .groupBy("k", "feature").agg(F.count(F.lit(1)).alias("c")).toArrow())
+    data = (sample.select("k", "id", "y", F.array_intersect("words", known).alias("terms"),
+                          (F.pmod(F.xxhash64("words", F.lit(7)), F.lit(4)) == 0).alias("fold"))
+            .toArrow().sort_by([("id", "ascending"), ("y", "ascending")]))
+    coded = held["feature"].combine_chunks().dictionary_encode()
+    said = coded.dictionary.to_pylist()
+    vocab = sorted({*said, *(f for t in identity_terms() for f in features(t))})
     number = {f: i for i, f in enumerate(vocab)}
 
     def change(a: str, b: str) -> dict[int, int]:
@@ -235,9 +242,17 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, min_z: float = MIN_Z,
                 out[number[f]] = out.get(number[f], 0) + by
         return {j: c for j, c in out.items() if c}
 
-    fit_data = [(r.fold, r.y, 1 / keep[r.y], {number[h.feature]: h.c for h in r.held or ()},
-                 [change(a, b) for a, b in counterfactuals(set(r.terms))]) for r in data]
-    w, bias = _chosen(fit_data, len(vocab), l2_grid, **knobs)
+    k = data["k"].to_numpy()
+    by_k = np.argsort(k)
+    row = by_k[np.searchsorted(k[by_k], held["k"].to_numpy())]
+    col = np.array([number[f] for f in said], dtype=np.int64)[coded.indices.to_numpy()]
+    order = np.lexsort((col, row))                  # sums in one order, whatever the tasks sent first
+    swaps = [(i, change(a, b)) for i, t in enumerate(data["terms"].to_pylist()) for a, b in counterfactuals(set(t))]
+    y = data["y"].to_numpy().astype(float)
+    rows_of = Sample(row[order], col[order], held["c"].to_numpy().astype(float)[order], y,
+                     np.where(y > 0, 1 / keep[1], 1 / keep[0]), _triples([m for _, m in swaps]), len(swaps), len(vocab),
+                     np.array([i for i, _ in swaps], dtype=np.int64))
+    w, bias = _chosen(rows_of, data["fold"].to_numpy(zero_copy_only=False).astype(bool), l2_grid, **knobs)
     return ToxicityModel(bias, {f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-9})
 
 
