@@ -23,9 +23,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,10 +77,27 @@ class Vocabulary:
     def end(self) -> int:
         return self.own[END.encode()]
 
-    def symbols(self, words: list[bytes]) -> np.ndarray:
-        own, endings, rest = self.own, self.endings, self.rest
-        return np.fromiter((own[w] if w in own else endings.get(w.decode("utf-8", "replace")[-2:].encode(), rest)
-                            for w in words), dtype=np.int64, count=len(words))
+    @cached_property
+    def _keys(self) -> list[tuple[pa.Array, np.ndarray]]:
+        """Words and their symbols, endings and theirs, each with ``rest`` for none."""
+        return [(pa.array(list(d), pa.binary()), np.array([*d.values(), self.rest])) for d in (self.own, self.endings)]
+
+    def symbols(self, words: pa.Array | list[bytes]) -> np.ndarray:
+        """The symbol of each of ``words`` (UTF-8)."""
+        words = pa.array(words, pa.binary()) if isinstance(words, list) else words
+        (own, own_ids), (endings, ending_ids) = self._keys
+        at = places(words, own)
+        out = own_ids[at]
+        away = np.nonzero(at < 0)[0]
+        if len(away):
+            last = pc.utf8_slice_codeunits(words.take(pa.array(away)).cast(pa.string()), -2)
+            out[away] = ending_ids[places(last.cast(pa.binary()), endings)]
+        return out
+
+
+def places(words: pa.Array, among: pa.Array) -> np.ndarray:
+    """Where each word lies in ``among``; -1: nowhere."""
+    return pc.fill_null(pc.index_in(words, value_set=among), -1).to_numpy(zero_copy_only=False)
 
 
 def vocabulary_of(own: list[tuple[str, int]], endings: list[tuple[str, int, int]], rest: tuple[int, int]) -> Vocabulary:
@@ -95,10 +114,11 @@ def vocabulary_of(own: list[tuple[str, int]], endings: list[tuple[str, int, int]
 @dataclass
 class Corpus:
     """What scoring needs of the training documents: ``counts(token, c)`` as a
-    table, the counts of its most frequent words, totals and the vocabulary."""
+    table, its most frequent words with their counts, totals and the vocabulary."""
 
     counts: DataFrame
-    head: dict[bytes, int]
+    head: pa.Array
+    head_counts: np.ndarray
     tokens: int
     distinct: int
     vocabulary: Vocabulary
@@ -140,8 +160,8 @@ def gather(train_docs: DataFrame, head_words: int = HEAD_WORDS, floor_share: flo
     other = shared.where(F.col("n") < floor).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     words = vocabulary_of(list(zip(own["token"].to_pylist(), own["c"].to_pylist())),
                           list(zip(*(often[c].to_pylist() for c in ("ending", "n", "v")))), (other[0], other[1]))
-    known = dict(zip(head["token"].cast(pa.binary()).to_pylist(), head["c"].to_pylist()))
-    return Corpus(counts, known, total.n, total.v, words)
+    known = head["token"].cast(pa.binary()).combine_chunks()
+    return Corpus(counts, known, head["c"].to_numpy(), total.n, total.v, words)
 
 
 # --- the model ------------------------------------------------------------------------
@@ -191,26 +211,38 @@ class LogBilinear:
 
     def log10(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """Normalised log10 probability of each symbol after its context."""
-        r = self.predicted(context)
-        of = np.searchsorted(self.cuts, symbol, side="right") - 1
-        out = _normalised(r @ self.group.T + self.group_bias, of)
-        for g, rows in _by_class(of):
+        order, of, spans = _by_class(self.cuts, symbol)
+        r, symbol = self.predicted(context[order]), symbol[order]
+        got = _normalised(r @ self.group.T + self.group_bias, of)
+        for g, rows in spans:
             a, b = self.cuts[g], self.cuts[g + 1]
             if b - a > 1:
-                out[rows] += _normalised(r[rows] @ self.target[a:b].T + self.bias[a:b], symbol[rows] - a)
+                got[rows] += _normalised(r[rows] @ self.target[a:b].T + self.bias[a:b], symbol[rows] - a)
+        out = np.empty(len(got))
+        out[order] = got
         return out / np.log(10)
 
 
 def _normalised(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    scores = scores - scores.max(axis=1, keepdims=True)
-    return (scores[np.arange(len(at)), at] - np.log(np.exp(scores).sum(axis=1))).astype(float)
-
-
-def _by_class(of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Log softmax of each row at ``at``; ``scores`` is overwritten."""
+    rows, ones = np.arange(len(at)), np.ones(scores.shape[1], dtype=scores.dtype)
+    top = scores.max(initial=0)
+    if top > 60 or scores.min(initial=0) < -60:         # beyond what single precision can add up
+        scores -= scores.max(axis=1, keepdims=True)
+    seen = scores[rows, at].astype(float)
+    np.exp(scores, out=scores)
+    return seen - np.log(scores @ ones)
+
+
+def _by_class(cuts: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+    """An order of the symbols by class, their classes in that order, and where
+    each class lies in it."""
+    of = np.searchsorted(cuts, symbol, side="right") - 1
     order = np.argsort(of, kind="stable")
-    groups, starts = np.unique(of[order], return_index=True)
-    for g, rows in zip(groups.tolist(), np.split(order, starts[1:])):
-        yield g, rows
+    of = of[order]
+    groups, starts = np.unique(of, return_index=True)
+    ends = [*starts[1:].tolist(), len(of)]
+    return order, of, [(g, slice(a, b)) for g, a, b in zip(groups.tolist(), starts.tolist(), ends)]
 
 
 def started(mass: np.ndarray, dim: int = DIM, positions: int = CONTEXT, seed: int = 5) -> LogBilinear:
@@ -248,7 +280,8 @@ class Trainer:
     def _apart(scores: np.ndarray, noise: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Gradient of minus the objective by the scores."""
         p = np.log(noise) - scores
-        np.exp(np.clip(p, -30, 30, out=p), out=p)
+        with np.errstate(over="ignore"):                # a sigmoid of nought
+            np.exp(p, out=p)
         p += 1
         np.reciprocal(p, out=p)
         rows = np.arange(len(at))
@@ -263,18 +296,26 @@ class Trainer:
 
     def step(self, context: np.ndarray, symbol: np.ndarray) -> None:
         m, n = self.model, np.float32(1.0 / len(symbol))
+        order, of, spans = _by_class(m.cuts, symbol)
+        context, symbol = context[order], symbol[order]
         r = m.predicted(context)
-        of = np.searchsorted(m.cuts, symbol, side="right") - 1
         d = self._apart(r @ m.group.T + m.group_bias, self.group_noise, of) * n
         back = d @ m.group
         moves = [("group", d.T @ r, slice(None)), ("group_bias", d.sum(axis=0), slice(None))]
-        for g, rows in _by_class(of):
+        held, vectors, biases = [], [], []
+        for g, rows in spans:
             a, b = m.cuts[g], m.cuts[g + 1]
             if b - a > 1:
                 x = r[rows]
-                d = self._apart(x @ m.target[a:b].T + m.bias[a:b], self.noise[a:b], symbol[rows] - a) * n
+                d = self._apart(x @ m.target[a:b].T + m.bias[a:b], self.noise[a:b], symbol[rows] - a)
+                d *= n
                 back[rows] += d @ m.target[a:b]
-                moves += [("target", d.T @ x, slice(a, b)), ("bias", d.sum(axis=0), slice(a, b))]
+                held.append(np.arange(a, b))
+                vectors.append(d.T @ x)
+                biases.append(d.sum(axis=0))
+        if held:
+            there = np.concatenate(held)
+            moves += [("target", np.concatenate(vectors), there), ("bias", np.concatenate(biases), there)]
         # what comes back to each (position, symbol), from which both gradients follow
         size, positions = len(m.context), context.shape[1]
         at = (context + size * np.arange(positions)).T.ravel()
@@ -306,21 +347,29 @@ def contexts(symbols: np.ndarray, lengths: np.ndarray, end: int, positions: int)
     return out
 
 
-def _texts(batch: pa.RecordBatch, rows: int = 128) -> Iterator[tuple[int, int, pa.DictionaryArray, np.ndarray]]:
-    """(first row, rows, coded tokens of all rows, tokens per row) of slices of a
-    batch; rows with very long texts come in slices of their own."""
-    col = batch.column("text").cast(pa.binary())
-    at, i = 0, 0
-    while i < len(col):
-        tokens, lengths = [], []
-        while i < len(col) and len(lengths) < rows and len(tokens) < 400_000:
-            words = (col[i].as_py() or b"").lower().split()     # bytes: A-Z and ASCII white space only
-            tokens += words
-            tokens.append(END.encode())
-            lengths.append(len(words) + 1)
-            i += 1
-        yield at, len(lengths), pa.array(tokens, pa.binary()).dictionary_encode(), np.array(lengths, dtype=np.int64)
-        at = i
+def _texts(batch: pa.RecordBatch, size: int = 1 << 21) -> Iterator[tuple[int, int, pa.Array, np.ndarray, np.ndarray]]:
+    """(first row, rows, distinct words, the word of each token, tokens per row) of
+    slices of a batch, each of about ``size`` bytes of text; a longer text is a
+    slice of its own.  The text column has no NULL."""
+    col = batch.column("text")
+    ends = np.cumsum(pc.binary_length(col).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    at = 0
+    while at < len(col):
+        before = ends[at - 1] if at else 0
+        rows = max(1, int(np.searchsorted(ends, before + size, side="right")) - at)
+        # ASCII alone: A-Z and white space
+        split = pc.ascii_split_whitespace(pc.ascii_lower(col.slice(at, rows)))
+        said = split.flatten()
+        real = pc.greater(pc.binary_length(said), 0)
+        owner = np.repeat(np.arange(rows), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+        owner = owner[real.to_numpy(zero_copy_only=False)]
+        coded = said.filter(real).dictionary_encode()
+        lengths = np.bincount(owner, minlength=rows) + 1
+        tokens = np.full(len(owner) + rows, len(coded.dictionary), dtype=np.int64)
+        tokens[np.arange(len(owner)) + owner] = coded.indices.to_numpy(zero_copy_only=False)
+        words = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END.encode()], pa.binary())])
+        yield at, rows, words, tokens, lengths
+        at += rows
 
 
 def learn(model: LogBilinear, parts: Iterator[tuple[np.ndarray, np.ndarray]], words: Vocabulary, seed: int,
@@ -372,9 +421,8 @@ def fit(train_docs: DataFrame, corpus: Corpus, rounds: int = ROUNDS, dim: int =
 
             def symbols() -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 for batch in batches:
-                    for _, _, coded, lengths in _texts(batch):
-                        of = words.symbols(coded.dictionary.to_pylist())
-                        yield of[coded.indices.to_numpy(zero_copy_only=False)], lengths
+                    for _, _, said, at, lengths in _texts(batch):
+                        yield words.symbols(said)[at], lengths
 
             own = start.filled(start.flat())
             learned, n = learn(own, symbols(), words, 1000 * turn + part, **knobs)
@@ -413,7 +461,7 @@ def score(docs: DataFrame, corpus: Corpus, model: LogBilinear) -> DataFrame:
     count table by token, added up per row and token before the shuffle, so no
     frequent token is ever shuffled.  Texts of NULL hold the end token alone.
     """
-    words, head = corpus.vocabulary, corpus.head
+    words, head, counted = corpus.vocabulary, corpus.head, np.append(corpus.head_counts, -1)
     n, v = corpus.tokens, corpus.distinct
     # log10 of a shared symbol's mass: its counts and halves, one unseen word more
     mass = np.log10(words.mass + 0.5 * (words.types + 1))
@@ -424,11 +472,9 @@ def score(docs: DataFrame, corpus: Corpus, model: LogBilinear) -> DataFrame:
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one_blas_thread()
         for batch in batches:
-            for first, rows, coded, lengths in _texts(batch):
-                said = coded.dictionary.to_pylist()
-                c = np.fromiter((head.get(w, -1) for w in said), dtype=np.int64, count=len(said))
+            for first, rows, said, at, lengths in _texts(batch):
+                c = counted[places(said, head)]
                 of = words.symbols(said)
-                at = coded.indices.to_numpy(zero_copy_only=False)
                 symbols, text = of[at], np.repeat(np.arange(rows), lengths)
                 model_part = np.empty(len(at))
                 around = contexts(symbols, lengths, words.end, positions)
@@ -449,7 +495,7 @@ def score(docs: DataFrame, corpus: Corpus, model: LogBilinear) -> DataFrame:
                     "n_tokens": lengths, "known": np.bincount(text, (c > 0)[at], rows).astype(np.int64),
                     "base": np.bincount(text, log_c[at], rows), "model": np.bincount(text, model_part + inside[at], rows),
                     "far": pa.ListArray.from_arrays(cuts, pa.StructArray.from_arrays(
-                        [coded.dictionary.take(pa.array(word)).cast(pa.string()), pa.array(times.astype(np.int64))],
+                        [said.take(pa.array(word)).cast(pa.string()), pa.array(times.astype(np.int64))],
                         ["token", "times"])),
                 })
 
