@@ -19,6 +19,7 @@ from strata.functions.numeric import is_float_text, lenient_float
 from strata.functions.text import fill_null, location_label
 from strata.operators.aggregate import group_count
 from strata.operators.dedupe import dedupe_by_key
+from strata.operators.drift import date_metrics, metric_drift
 from strata.operators.quality import invalid_count, null_audit
 from strata.operators.quarantine import quarantine_of
 from strata.operators.report import gold_report, sample_rows
@@ -42,6 +43,7 @@ from strata.sources.landing import (
     page_report,
     read_landed,
 )
+from strata.sources.metrics import append_metrics, read_metrics
 from strata.sources.schemas import (
     BRONZE,
     CORRUPT,
@@ -271,6 +273,19 @@ def q_publish_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, root, GOLD, RUN_DATE, must_exist=True)
 
 
+def q_metric_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics of `events` by day, kept in two runs of which the first is run
+    again, each day's newest beside the seven days before."""
+    root = scratch_path(spark, "drift")
+    events = table(spark, sf, "events")
+    checks = {"odd_users": F.col("user_id") % 2 == 1, "low_values": F.col("value") < 10, "clicks": F.col("event_type") == "click"}
+    for run in (1, 1, 2):
+        # the first run counted the even users: the newest run's rows must win
+        seen = events if run == 2 else events.withColumn("user_id", F.col("user_id") + F.lit(1))
+        append_metrics(date_metrics(seen, "events", F.col("ts"), checks), root, run)
+    return metric_drift(read_metrics(spark, root), tolerance=1.5)
+
+
 def q_empty_day(spark: SparkSession, sf: str) -> DataFrame:
     """`events` run through the chain, then a rerun for which nothing landed: it
     writes nothing and has no report, and the date's tables stay."""
@@ -366,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "page_gap_ranges": q_page_gap_ranges,
     "publish_round_trip": q_publish_round_trip,
     "location_kept": q_location_kept,
+    "metric_drift": q_metric_drift,
     "empty_day": q_empty_day,
     "bronze_round_trip": q_bronze_round_trip,
     "silver_round_trip": q_silver_round_trip,
@@ -465,6 +481,20 @@ p AS (SELECT page, lag(page, 1, 0) OVER (ORDER BY page) AS before FROM landed)
 SELECT CAST(before + 1 AS BIGINT) AS first_missing, CAST(page - 1 AS BIGINT) AS last_missing,
        CAST(page - before - 1 AS BIGINT) AS n_missing
 FROM p WHERE page > before + 1""",
+    "metric_drift": """
+WITH c AS (SELECT CAST(ts AS DATE) AS date, count(*) AS r, count(*) FILTER (WHERE user_id % 2 = 1) AS o,
+                  count(*) FILTER (WHERE value < 10) AS l, count(*) FILTER (WHERE event_type = 'click') AS k
+           FROM events GROUP BY 1),
+m AS (SELECT 'rows' AS metric, date, r AS value FROM c UNION ALL SELECT 'odd_users', date, o FROM c
+      UNION ALL SELECT 'low_values', date, l FROM c UNION ALL SELECT 'clicks', date, k FROM c),
+b AS (SELECT *, count(*) OVER w AS n, CAST(sum(value) OVER w AS HUGEINT) AS s,
+             CAST(sum(CAST(value AS HUGEINT) * value) OVER w AS HUGEINT) AS q
+      FROM m WINDOW w AS (PARTITION BY metric ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+SELECT 'events' AS "table", metric, date, CAST(2 AS BIGINT) AS run, CAST(value AS BIGINT) AS value,
+       CAST(n AS BIGINT) AS n_before, CAST(s AS DOUBLE) / CAST(n AS DOUBLE) AS mean_before,
+       CASE WHEN n >= 3 THEN CAST(abs(n * value - s) AS DOUBLE) > 1.5 * sqrt(CAST(n * q - s * s AS DOUBLE))
+                         AND CAST(abs(n * value - s) AS DOUBLE) > 0.01 * CAST(s AS DOUBLE) END AS drifted
+FROM b""",
     "empty_day": """
 WITH l AS (SELECT * FROM events QUALIFY row_number() OVER (
        PARTITION BY user_id ORDER BY ts DESC NULLS LAST, CAST(event_id AS VARCHAR)) = 1),
