@@ -19,6 +19,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,7 +112,7 @@ class Sample:
     def part(self, keep: np.ndarray) -> Sample:
         """The rows that ``keep`` marks, weighed so that both labels count alike."""
         at, col, times = self.swap
-        row, swaps = np.cumsum(keep) - 1, keep[self.swap_row]
+        row, swaps = (np.cumsum(keep) - 1).astype(np.int32), keep[self.swap_row]
         mine, moved, y = keep[self.row], swaps[at], self.y[keep]
         return Sample(row[self.row[mine]], self.col[mine], self.times[mine], y, _balanced(y),
                       ((np.cumsum(swaps) - 1)[at[moved]], col[moved], times[moved]), int(swaps.sum()),
@@ -223,17 +225,19 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, min_z: float = MIN_Z,
     sample = stored(rows.where(chance < F.when(F.col("y") > 0, keep[1]).otherwise(keep[0]))
                     .withColumn("k", F.monotonically_increasing_id()), "toxicity-sample")
     known = F.array(*[F.lit(w) for w in identity_terms()])
-    # the driver gets numbers and distinct features as columns: fit_rows rows, and
-    # for each the told features that its text holds
-    held = (sample.select("k", F.explode(of_row).alias("feature")).join(told, "feature")
-            .groupBy("k", "feature").agg(F.count(F.lit(1)).alias("c")).toArrow())
+    # the driver gets the distinct features that texts of the sample hold, and for
+    # each of its fit_rows rows their numbers, as often as its words have them
+    seen = stored(sample.select("k", F.explode(of_row).alias("feature")).join(told, "feature"), "toxicity-seen")
+    said = seen.select("feature").distinct().toArrow()["feature"].to_pylist()
+    vocab = sorted({*said, *(f for t in identity_terms() for f in features(t))})
+    number = {f: i for i, f in enumerate(vocab)}
+    spark = labelled.sparkSession
+    numbers = spark.createDataFrame(pa.table({"feature": pa.array(vocab, pa.string()),
+                                              "f": pa.array(np.arange(len(vocab)), pa.int32())}))
+    held = seen.join(numbers, "feature").groupBy("k").agg(F.sort_array(F.collect_list("f")).alias("f")).toArrow()
     data = (sample.select("k", "id", "y", F.array_intersect("words", known).alias("terms"),
                           (F.pmod(F.xxhash64("words", F.lit(7)), F.lit(4)) == 0).alias("fold"))
             .toArrow().sort_by([("id", "ascending"), ("y", "ascending")]))
-    coded = held["feature"].combine_chunks().dictionary_encode()
-    said = coded.dictionary.to_pylist()
-    vocab = sorted({*said, *(f for t in identity_terms() for f in features(t))})
-    number = {f: i for i, f in enumerate(vocab)}
 
     def change(a: str, b: str) -> dict[int, int]:
         out: dict[int, int] = {}
@@ -244,12 +248,13 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, min_z: float = MIN_Z,
 
     k = data["k"].to_numpy()
     by_k = np.argsort(k)
-    row = by_k[np.searchsorted(k[by_k], held["k"].to_numpy())]
-    col = np.array([number[f] for f in said], dtype=np.int64)[coded.indices.to_numpy()]
-    order = np.lexsort((col, row))                  # sums in one order, whatever the tasks sent first
+    held = held.add_column(0, "row", pa.array(by_k[np.searchsorted(k[by_k], held["k"].to_numpy())], pa.int32()))
+    held = held.sort_by("row")                      # sums in one order, whatever the tasks sent first
+    row = np.repeat(held["row"].to_numpy(), pc.list_value_length(held["f"]).to_numpy())
+    col = pc.list_flatten(held["f"]).to_numpy()
     swaps = [(i, change(a, b)) for i, t in enumerate(data["terms"].to_pylist()) for a, b in counterfactuals(set(t))]
     y = data["y"].to_numpy().astype(float)
-    rows_of = Sample(row[order], col[order], held["c"].to_numpy().astype(float)[order], y,
+    rows_of = Sample(row, col, np.ones(len(col), dtype=np.int8), y,
                      np.where(y > 0, 1 / keep[1], 1 / keep[0]), _triples([m for _, m in swaps]), len(swaps), len(vocab),
                      np.array([i for i, _ in swaps], dtype=np.int64))
     w, bias = _chosen(rows_of, data["fold"].to_numpy(zero_copy_only=False).astype(bool), l2_grid, **knobs)
