@@ -2,9 +2,9 @@
 
 A logistic regression on the distinct words of a text; a word weighs what its own
 feature and those of its beginnings (4, 5 and 6 letters) weigh, so that inflected
-and compound words share evidence.  Features are those whose documents differ by
-class, counted by Spark over all labelled rows; weights are fitted in numpy on a
-bounded sample of rows per label.  Beside the class-balanced log loss and an L2
+and compound words share evidence.  Features are those whose use differs by class,
+counted by Spark over all labelled rows; weights are fitted in numpy on a bounded
+sample of rows per label.  Beside the class-balanced log loss and an L2
 term the fit penalises the squared change of the logit when an identity term of a
 labelled text is swapped for another of its group, so that naming a group carries
 no weight by itself and neutral mentions are not flagged.  The strength of the L2
@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
+from math import fsum
 
 import numpy as np
 import pandas as pd
@@ -49,6 +51,7 @@ BEGINNINGS = (4, 5, 6)
 FIT_ROWS = 20_000       # documented bound of the labelled sample: half of it per label
 MIN_Z = 3.0             # a feature's class difference in standard errors
 L2_GRID = (2e-3, 2e-4, 2e-5, 2e-6)
+KEPT_WORDS = 1 << 17    # words whose weight a scoring task remembers
 
 
 def words(text: str | None) -> set[str]:
@@ -76,19 +79,12 @@ class ToxicityModel:
     bias: float
     weights: dict[str, float] = field(default_factory=dict)
 
+    def of_word(self, word: str) -> float:
+        """What a word weighs: its own feature and those of its beginnings."""
+        return fsum(self.weights.get(f, 0.0) for f in features(word))
+
     def logit(self, held: set[str]) -> float:
-        get = self.weights.get
-        z = self.bias
-        for w in held:
-            z += get(w, 0.0)
-            n = len(w)
-            if n > 4:
-                z += get("^" + w[:4], 0.0)
-                if n > 5:
-                    z += get("^" + w[:5], 0.0)
-                    if n > 6:
-                        z += get("^" + w[:6], 0.0)
-        return z
+        return self.bias + fsum(map(self.of_word, held))
 
     def score(self, text: str | None) -> float:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.logit(words(text)), -30, 30))))
@@ -133,6 +129,23 @@ def _triples(maps: Sequence[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np
             np.array([c for m in maps for c in m.values()], dtype=float))
 
 
+class _Sums:
+    """Sums of values by group, for numbers 0 to ``n`` - 1 of groups that repeat:
+    ``order`` lays equal numbers side by side, so that a sum is one run."""
+
+    def __init__(self, group: np.ndarray, n: int):
+        self.order = np.argsort(group, kind="stable")
+        lined = group[self.order]
+        self.start = np.nonzero(np.diff(lined, prepend=-1))[0]
+        self.held, self.n = lined[self.start], n
+
+    def __call__(self, lined_values: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.n)
+        if len(self.held):
+            out[self.held] = np.add.reduceat(lined_values, self.start)
+        return out
+
+
 def fit_weights(s: Sample, l2: float, counterfactual: float = 1.0, epochs: int = 300,
                 rate: float = 0.05) -> tuple[np.ndarray, float]:
     """Adam on the weighted mean log loss + l2 |w|^2 + counterfactual * the mean
@@ -143,11 +156,18 @@ def fit_weights(s: Sample, l2: float, counterfactual: float = 1.0, epochs: int =
     theta[-1] = np.log((rate_1 + 1e-3) / (1 - rate_1 + 1e-3))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     at, col, times = s.swap
+    of_row, of_feature = _Sums(s.row, len(s.y)), _Sums(s.col, n)
+    features_lined, rows_lined = s.col[of_row.order].astype(np.intp), s.row[of_feature.order].astype(np.intp)
+    plain = bool((s.times == 1).all())          # no need to multiply by it
+    times_by_row, times_by_feature = (1, 1) if plain else (s.times[of_row.order], s.times[of_feature.order])
+    of_row.order = of_feature.order = None      # laid out; not needed again
     for step in range(1, epochs + 1):
-        z = np.bincount(s.row, theta[s.col] * s.times, len(s.y)) + theta[-1]
+        held = theta[features_lined]
+        z = of_row(held if plain else held * times_by_row) + theta[-1]
         apart = share * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - s.y)
         g = np.empty_like(theta)
-        g[:n] = np.bincount(s.col, apart[s.row] * s.times, n) + 2 * l2 * theta[:n]
+        pulled = apart[rows_lined]
+        g[:n] = of_feature(pulled if plain else pulled * times_by_feature) + 2 * l2 * theta[:n]
         g[-1] = apart.sum()
         if s.n_swaps:
             change = np.bincount(at, theta[col] * times, s.n_swaps)
@@ -208,16 +228,17 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, min_z: float = MIN_Z,
     if len(n) < 2:
         rate = 0.999 if 1 in n else 0.001
         return ToxicityModel(float(np.log(rate / (1 - rate))))
-    # features of every labelled row: documents per class, added up before the shuffle
+    # over every labelled row: documents per word and class, added up before the
+    # shuffle; a beginning counts once for each of a text's words that has it
     of_word = lambda w: F.concat(F.array(w), *[     # noqa: E731
         F.when(F.char_length(w) > k, F.array(F.concat(F.lit("^"), F.left(w, F.lit(k))))).otherwise(F.array().cast("array<string>"))
         for k in BEGINNINGS])
-    of_row = F.flatten(F.transform("words", of_word))
-    counts = (rows.select("y", F.explode(F.array_distinct(of_row)).alias("feature"))
-              .groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("t")))
-    share = F.col("n") / (n[0] + n[1])
-    z = ((F.col("t") / n[1] - (F.col("n") - F.col("t")) / n[0])
-         / F.sqrt(share * (1 - share) * (1 / n[1] + 1 / n[0]) + 1e-12))
+    of_words = (rows.select("y", F.explode("words").alias("word"))
+                .groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("t")))
+    counts = (of_words.select(F.explode(of_word(F.col("word"))).alias("feature"), "n", "t")
+              .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("t").alias("t")))
+    often = F.col("n") / (n[0] + n[1])          # times a text, whose variance is the same as for rare words
+    z = (F.col("t") / n[1] - (F.col("n") - F.col("t")) / n[0]) / F.sqrt(often * (1 / n[1] + 1 / n[0]))
     told = stored(counts.where(F.abs(z) >= min_z).select("feature"), "toxicity-features")
     # at most half of fit_rows per label, chosen by a hash of id and text
     keep = {y: min(1.0, fit_rows / 2 / n[y]) for y in n}
@@ -227,7 +248,8 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, min_z: float = MIN_Z,
     known = F.array(*[F.lit(w) for w in identity_terms()])
     # the driver gets the distinct features that texts of the sample hold, and for
     # each of its fit_rows rows their numbers, as often as its words have them
-    seen = stored(sample.select("k", F.explode(of_row).alias("feature")).join(told, "feature"), "toxicity-seen")
+    said_words = sample.select("k", F.explode("words").alias("word"))
+    seen = stored(said_words.select("k", F.explode(of_word(F.col("word"))).alias("feature")).join(told, "feature"), "toxicity-seen")
     said = seen.select("feature").distinct().toArrow()["feature"].to_pylist()
     vocab = sorted({*said, *(f for t in identity_terms() for f in features(t))})
     number = {f: i for i, f in enumerate(vocab)}
@@ -266,8 +288,9 @@ def score(model: ToxicityModel, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        weight = lru_cache(KEPT_WORDS)(model.of_word)
         for s in batches:
-            z = np.array([model.logit(set(WORD.findall(t))) for t in s], dtype=float)
+            z = np.array([model.bias + fsum(map(weight, set(WORD.findall(t)))) for t in s], dtype=float)
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))), dtype="float64")
 
     return toxicity(F.lower(whole_text(text)))
