@@ -30,7 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def labelled_documents(spark: SparkSession, sf: str) -> DataFrame:
-    labels = table(spark, sf, "labels").select("doc_id", "toxic")
+    """Labels grow with the documents: a merge join at every size."""
+    labels = table(spark, sf, "labels").select("doc_id", "toxic").hint("merge")
     return table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id")
 
 

@@ -15,13 +15,12 @@ seen, at the true rate of the labels.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import lru_cache
 from math import fsum
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
@@ -51,7 +50,7 @@ BEGINNINGS = (4, 5, 6)
 FIT_ROWS = 20_000       # documented bound of the labelled sample: half of it per label
 MIN_Z = 3.0             # a feature's class difference in standard errors
 L2_GRID = (2e-3, 2e-4, 2e-5, 2e-6)
-KEPT_WORDS = 1 << 17    # words whose weight a scoring task remembers
+KEPT_WORDS = 1 << 16    # words whose weight a scoring task remembers
 
 
 def words(text: str | None) -> set[str]:
@@ -129,20 +128,34 @@ def _triples(maps: Sequence[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np
             np.array([c for m in maps for c in m.values()], dtype=float))
 
 
-class _Sums:
-    """Sums of values by group, for numbers 0 to ``n`` - 1 of groups that repeat:
-    ``order`` lays equal numbers side by side, so that a sum is one run."""
+BLOCK = 1 << 17         # entries summed at a time
 
-    def __init__(self, group: np.ndarray, n: int):
-        self.order = np.argsort(group, kind="stable")
-        lined = group[self.order]
-        self.start = np.nonzero(np.diff(lined, prepend=-1))[0]
-        self.held, self.n = lined[self.start], n
 
-    def __call__(self, lined_values: np.ndarray) -> np.ndarray:
+class _Sums:
+    """Sums by group: of ``values[of]`` times ``times`` over each group's entries,
+    for groups 0 to ``n`` - 1.  Entries lie in order of their group, so that a sum
+    is one run, and are taken a block at a time; only their numbers are kept."""
+
+    def __init__(self, group: np.ndarray, of: np.ndarray, times: np.ndarray, n: int):
+        if (group[1:] < group[:-1]).any():
+            order = np.argsort(group, kind="stable")
+            group, of, times = group[order], of[order], times[order]
+        start = np.nonzero(np.diff(group, prepend=-1))[0]
+        self.held, self.n, self.of = group[start], n, of
+        self.times = None if (times == 1).all() else times
+        # blocks end where groups do
+        cuts = np.unique(np.searchsorted(start, np.arange(0, len(group), BLOCK))) if len(group) else []
+        ends = np.append(start, len(group))
+        self.blocks = [(i, j, ends[i], ends[j], start[i:j] - ends[i])
+                       for i, j in zip(cuts, [*cuts[1:], len(start)], strict=True)] if len(start) else []
+
+    def __call__(self, values: np.ndarray) -> np.ndarray:
         out = np.zeros(self.n)
-        if len(self.held):
-            out[self.held] = np.add.reduceat(lined_values, self.start)
+        for i, j, a, b, start in self.blocks:
+            if i == j:
+                continue
+            lined = values.take(self.of[a:b], mode="clip")      # all are in range; the fastest way to take
+            out[self.held[i:j]] = np.add.reduceat(lined if self.times is None else lined * self.times[a:b], start)
         return out
 
 
@@ -156,18 +169,12 @@ def fit_weights(s: Sample, l2: float, counterfactual: float = 1.0, epochs: int =
     theta[-1] = np.log((rate_1 + 1e-3) / (1 - rate_1 + 1e-3))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     at, col, times = s.swap
-    of_row, of_feature = _Sums(s.row, len(s.y)), _Sums(s.col, n)
-    features_lined, rows_lined = s.col[of_row.order].astype(np.intp), s.row[of_feature.order].astype(np.intp)
-    plain = bool((s.times == 1).all())          # no need to multiply by it
-    times_by_row, times_by_feature = (1, 1) if plain else (s.times[of_row.order], s.times[of_feature.order])
-    of_row.order = of_feature.order = None      # laid out; not needed again
+    of_row, of_feature = _Sums(s.row, s.col, s.times, len(s.y)), _Sums(s.col, s.row, s.times, n)
     for step in range(1, epochs + 1):
-        held = theta[features_lined]
-        z = of_row(held if plain else held * times_by_row) + theta[-1]
+        z = of_row(theta) + theta[-1]
         apart = share * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - s.y)
         g = np.empty_like(theta)
-        pulled = apart[rows_lined]
-        g[:n] = of_feature(pulled if plain else pulled * times_by_feature) + 2 * l2 * theta[:n]
+        g[:n] = of_feature(apart) + 2 * l2 * theta[:n]
         g[-1] = apart.sum()
         if s.n_swaps:
             change = np.bincount(at, theta[col] * times, s.n_swaps)
@@ -199,7 +206,7 @@ def _chosen(rows: Sample, fold: np.ndarray, l2_grid: Sequence[float], **knobs: f
     table.  The L2 strength is the one whose weights, learned off the ``fold``,
     part it with the least balanced log loss; its best cut becomes the intercept
     of the weights learned from all rows."""
-    everything = rows.part(np.ones(len(fold), dtype=bool))
+    everything = replace(rows, weight=_balanced(rows.y))
     train, test = rows.part(~fold), rows.part(fold)
     if set(train.y) != {0, 1} or set(test.y) != {0, 1}:
         return fit_weights(everything, l2_grid[0], **knobs)     # too few rows to set anything on
@@ -210,6 +217,7 @@ def _chosen(rows: Sample, fold: np.ndarray, l2_grid: Sequence[float], **knobs: f
         loss = float(test.weight @ np.logaddexp(0, np.where(test.y > 0, -z, z)))
         # a text without a known word stands among them as one clean row
         found.append((loss, l2, best_cut(np.append(z, bias), np.append(test.y, 0.0), np.append(rows.weight[fold], 1.0))))
+    del train, test
     _, l2, cut = min(found)
     w, bias = fit_weights(everything, l2, **knobs)
     return w, bias - cut
@@ -243,23 +251,25 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, min_z: float = MIN_Z,
     # at most half of fit_rows per label, chosen by a hash of id and text
     keep = {y: min(1.0, fit_rows / 2 / n[y]) for y in n}
     chance = F.pmod(F.xxhash64("id", F.lit(20)), F.lit(1 << 30)) / (1 << 30)
-    sample = stored(rows.where(chance < F.when(F.col("y") > 0, keep[1]).otherwise(keep[0]))
-                    .withColumn("k", F.monotonically_increasing_id()), "toxicity-sample")
+    sample = stored(rows.where(chance < F.when(F.col("y") > 0, keep[1]).otherwise(keep[0])), "toxicity-sample")
     known = F.array(*[F.lit(w) for w in identity_terms()])
     # the driver gets the distinct features that texts of the sample hold, and for
     # each of its fit_rows rows their numbers, as often as its words have them
-    said_words = sample.select("k", F.explode("words").alias("word"))
-    seen = stored(said_words.select("k", F.explode(of_word(F.col("word"))).alias("feature")).join(told, "feature"), "toxicity-seen")
-    said = seen.select("feature").distinct().toArrow()["feature"].to_pylist()
+    of_sample = sample.select(F.explode("words").alias("word")).distinct()
+    said = (of_sample.select(F.explode(of_word(F.col("word"))).alias("feature")).distinct()
+            .join(told, "feature").toArrow()["feature"].to_pylist())
     vocab = sorted({*said, *(f for t in identity_terms() for f in features(t))})
     number = {f: i for i, f in enumerate(vocab)}
-    spark = labelled.sparkSession
-    numbers = spark.createDataFrame(pa.table({"feature": pa.array(vocab, pa.string()),
-                                              "f": pa.array(np.arange(len(vocab)), pa.int32())}))
-    held = seen.join(numbers, "feature").groupBy("k").agg(F.sort_array(F.collect_list("f")).alias("f")).toArrow()
-    data = (sample.select("k", "id", "y", F.array_intersect("words", known).alias("terms"),
+
+    @F.pandas_udf("array<int>")
+    def numbers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        of = lru_cache(KEPT_WORDS)(lambda word: [number[f] for f in features(word) if f in number])
+        for s in batches:
+            yield pd.Series([[f for w in held for f in of(w)] for held in s], dtype="object")
+
+    data = (sample.select("id", "y", numbers("words").alias("f"), F.array_intersect("words", known).alias("terms"),
                           (F.pmod(F.xxhash64("words", F.lit(7)), F.lit(4)) == 0).alias("fold"))
-            .toArrow().sort_by([("id", "ascending"), ("y", "ascending")]))
+            .toArrow().sort_by([("id", "ascending"), ("y", "ascending")]))    # sums in one order
 
     def change(a: str, b: str) -> dict[int, int]:
         out: dict[int, int] = {}
@@ -268,12 +278,9 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, min_z: float = MIN_Z,
                 out[number[f]] = out.get(number[f], 0) + by
         return {j: c for j, c in out.items() if c}
 
-    k = data["k"].to_numpy()
-    by_k = np.argsort(k)
-    held = held.add_column(0, "row", pa.array(by_k[np.searchsorted(k[by_k], held["k"].to_numpy())], pa.int32()))
-    held = held.sort_by("row")                      # sums in one order, whatever the tasks sent first
-    row = np.repeat(held["row"].to_numpy(), pc.list_value_length(held["f"]).to_numpy())
-    col = pc.list_flatten(held["f"]).to_numpy()
+    row = np.repeat(np.arange(len(data), dtype=np.int32), pc.list_value_length(data["f"]).to_numpy())
+    col = pc.list_flatten(data["f"]).to_numpy()
+    data = data.drop_columns("f")
     swaps = [(i, change(a, b)) for i, t in enumerate(data["terms"].to_pylist()) for a, b in counterfactuals(set(t))]
     y = data["y"].to_numpy().astype(float)
     rows_of = Sample(row, col, np.ones(len(col), dtype=np.int8), y,

@@ -262,3 +262,15 @@ def test_mix_bears_odd_rows(spark):
     assert applied.columns == frame(spark).columns + ["copies", "taken"]
     assert applied.agg(F.sum("taken")).first()[0] == sum(r.taken for r in out)
     assert mixing.apply_mix(empty(spark)).count() == 0
+
+
+def test_block_sums_are_those_of_brute_force(monkeypatch):
+    rng = np.random.default_rng(1)
+    for block in (1, 3, 1 << 17):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        for n, entries in ((5, 0), (5, 1), (7, 50), (3, 100)):
+            group, of = rng.integers(0, n, entries).astype(np.int32), rng.integers(0, 9, entries).astype(np.int32)
+            values = rng.normal(size=9)
+            for times in (np.ones(entries, dtype=np.int8), rng.integers(-2, 3, entries).astype(float)):
+                assert np.allclose(toxicity._Sums(group, of, times, n)(values),
+                                   np.bincount(group, values[of] * times, n))
