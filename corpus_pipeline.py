@@ -19,7 +19,7 @@ SHINGLE, MAX_BITS = 3, 3        # of the near-duplicate operator's contract
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go.  It learns from labelled rows
     of `documents` as its own query does, whatever ``docs`` holds."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").hint("merge")    # grows with the documents
     labelled = (table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
                 .where(fold("doc_id", 5) != 0))
     return toxicity.reject_toxic(docs, labelled)
