@@ -13,10 +13,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,15 +30,77 @@ MAX_PIECE = 12              # characters; longer pieces are not used
 EM_ROUNDS = 3
 _MARK = "▁"            # starts a word in the vocabulary
 _SMOOTH = 0.1               # added to every piece's expected count
-_CACHE = 200_000            # word scores kept per Python worker
+_CACHE = 100_000            # word scores kept per Python worker
 _LONG = 64                  # longer words are scored as pieces of this many characters
 
 
+class Pieces(dict[str, int]):
+    """Pieces by number, and the trie that finds them in many words at once."""
+
+    @cached_property
+    def trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Steps ``state * columns + column``, sorted, the state each leads to, the
+        piece that ends in each state (-1: none) and the column of each code
+        point; state 0 is the root, column 0 a character of no piece."""
+        columns = {c: i for i, c in enumerate(sorted({c for p in self for c in p}), 1)}
+        step: dict[tuple[int, int], int] = {}
+        ends = [-1]
+        for piece, k in self.items():
+            state = 0
+            for c in piece:
+                to = step.setdefault((state, columns[c]), len(ends))
+                if to == len(ends):
+                    ends.append(-1)
+                state = to
+            ends[state] = k
+        column = np.zeros(max(map(ord, columns), default=0) + 2, dtype=np.int64)
+        column[[ord(c) for c in columns]] = [*columns.values()]
+        width = len(columns) + 1
+        steps = sorted((state * width + c, to) for (state, c), to in step.items())
+        steps.append((len(ends) * width, 0))            # beyond every step
+        return (np.array([k for k, _ in steps]), np.array([to for _, to in steps]), np.array(ends), column)
+
+    def spans(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(start, end, rows, pieces) for every span of the marked ``words``, all
+        of one length, by start: the words that have a piece
+        there.  A single character outside the vocabulary is ``len(self)``."""
+        steps, to, ends, column = self.trie
+        code = np.frombuffer("".join(_MARK + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        code = column[np.minimum(code, len(column) - 1)].reshape(len(words), -1).T
+        width, size = int(steps[-1]) // len(ends), len(code)
+        for i in range(size):
+            rows, state = np.arange(len(words)), np.zeros(len(words), dtype=np.int64)
+            for j in range(i + 1, min(size, i + MAX_PIECE) + 1):
+                key = state * width + code[j - 1][rows]
+                at = np.searchsorted(steps, key)
+                there = steps[at] == key
+                if j == i + 1:
+                    found = np.where(there, ends[to[at]], -1)
+                    yield i, j, rows, np.where(found < 0, len(self), found)
+                rows, state = rows[there], to[at[there]]
+                if not len(rows):
+                    break
+                if j > i + 1:
+                    found = ends[state]
+                    real = np.nonzero(found >= 0)[0]
+                    if len(real):
+                        yield i, j, rows[real], found[real]
+
+
+def _of_one_length(words: list[str], most: int = 20_000) -> Iterator[np.ndarray]:
+    """The places of words of the same length, at most ``most`` at a time."""
+    lengths = np.array([len(w) for w in words])
+    for size in np.unique(lengths):
+        at = np.nonzero(lengths == size)[0]
+        for k in range(0, len(at), most):
+            yield at[k:k + most]
+
+
 @lru_cache(maxsize=4)
-def _parse(blob: bytes) -> dict[str, int]:
+def _parse(blob: bytes) -> Pieces:
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_proto=blob)
-    out: dict[str, int] = {}
+    out = Pieces()
     for i in range(sp.get_piece_size()):
         if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i):
             continue
@@ -55,7 +118,10 @@ def vocabulary(spark: SparkSession, path: str = VOCABULARY) -> bytes:
 
 def words_of(text: str | None) -> list[str]:
     """Lower-cased letter runs; very long runs in chunks, so that every letter counts."""
-    return [w[i:i + _LONG] for w in WORD.findall((text or "").lower()) for i in range(0, len(w), _LONG)]
+    words = WORD.findall((text or "").lower())
+    if max(map(len, words), default=0) <= _LONG:
+        return words
+    return [w[i:i + _LONG] for w in words for i in range(0, len(w), _LONG)]
 
 
 def _spans(word: str, pieces: dict[str, int]) -> list[tuple[int, int, int]]:
@@ -87,47 +153,52 @@ def forward(words: list[str], pieces: dict[str, int], prob: np.ndarray) -> np.nd
     summed.  ``prob`` is languages x (pieces + 1); its last column is a
     character outside the vocabulary.  Words of a length go through the sums
     together; where these leave the range of a double, they are taken in logs."""
-    unknown, none = len(pieces), len(pieces) + 1
-    by_piece = np.vstack([prob.T, np.zeros((1, prob.shape[0]))])
+    pieces = pieces if isinstance(pieces, Pieces) else Pieces(pieces)
+    by_piece = np.ascontiguousarray(prob.T)
     out = np.empty((len(words), prob.shape[0]))
-    lengths = np.array([len(w) for w in words])
-    for size in np.unique(lengths):
-        at = np.nonzero(lengths == size)[0]
-        marked = [_MARK + words[i] for i in at]
+    for at in _of_one_length(words):
+        same = [words[i] for i in at]
         alpha = [np.ones((len(at), prob.shape[0]))]
-        for j in range(1, size + 2):
-            total = np.zeros((len(at), prob.shape[0]))
-            for i in range(max(0, j - MAX_PIECE), j):
-                other = unknown if j == i + 1 else none
-                ids = [pieces.get(w[i:j], other) for w in marked]
-                total += alpha[i] * by_piece[ids]
-            alpha.append(total)
+        alpha += [np.zeros((len(at), prob.shape[0])) for _ in range(len(same[0]) + 1)]
+        for i, j, rows, found in pieces.spans(same):
+            if len(rows) == len(at):
+                alpha[j] += alpha[i] * by_piece.take(found, axis=0)
+            else:
+                alpha[j][rows] += alpha[i].take(rows, axis=0) * by_piece.take(found, axis=0)
         with np.errstate(divide="ignore"):
             out[at] = np.log(alpha[-1])
-        low = np.nonzero((alpha[-1] < 1e-250).any(axis=1))[0]
-        for i in low:
-            out[at[i]] = _forward_logs(words[at[i]], pieces, np.log(prob))
+        for i in np.nonzero((alpha[-1] < 1e-250).any(axis=1))[0]:
+            out[at[i]] = _forward_logs(same[i], pieces, np.log(prob))
     return out
 
 
 def expected_counts(words: dict[str, float], pieces: dict[str, int], prob: np.ndarray) -> np.ndarray:
     """Expected pieces of the counted words under one language's ``prob``
     (words whose probability leaves the range of a double add nothing)."""
-    p, out = prob.tolist(), [0.0] * (len(pieces) + 1)
-    for word, count in words.items():
-        spans, n = _spans(word, pieces), len(word) + 1
-        a, b = [0.0] * (n + 1), [0.0] * (n + 1)
-        a[0] = b[n] = 1.0
-        for i, j, k in spans:
-            a[j] += a[i] * p[k]
-        if a[n] < 1e-250:
-            continue
-        for i, j, k in reversed(spans):
-            b[i] += p[k] * b[j]
-        share = count / a[n]
-        for i, j, k in spans:
-            out[k] += share * a[i] * p[k] * b[j]
-    return np.array(out)
+    pieces = pieces if isinstance(pieces, Pieces) else Pieces(pieces)
+    out, listed, counts = np.zeros(len(pieces) + 1), list(words), np.array([*words.values()], dtype=float)
+    for at in _of_one_length(listed):
+        same = [listed[i] for i in at]
+        spans = list(pieces.spans(same))
+        a, b = (np.zeros((len(same[0]) + 2, len(at))) for _ in range(2))
+        a[0] = b[-1] = 1.0
+        for i, j, rows, found in spans:
+            a[j, rows] += a[i, rows] * prob[found]
+        for i, j, rows, found in reversed(spans):
+            b[i, rows] += prob[found] * b[j, rows]
+        real = a[-1] >= 1e-250
+        share = np.where(real, counts[at] / np.where(real, a[-1], 1.0), 0.0)
+        for i, j, rows, found in spans:
+            out += np.bincount(found, share[rows] * a[i, rows] * prob[found] * b[j, rows], len(out))
+    return out
+
+
+@dataclass
+class WordScores:
+    """Scores of words met before: the row of each in ``scores``."""
+
+    row: dict[str, int]
+    scores: np.ndarray
 
 
 @dataclass
@@ -137,30 +208,34 @@ class LanguageModel:
     prob: np.ndarray            # languages x (pieces + 1)
     vocabulary: bytes
 
-    def pieces(self) -> dict[str, int]:
+    def pieces(self) -> Pieces:
         return _parse(self.vocabulary)
 
-    def word_scores(self, words: list[str], cache: dict[str, np.ndarray]) -> np.ndarray:
-        pieces = self.pieces()
-        if len(cache) > _CACHE:
-            cache.clear()
-        new = [w for w in words if w not in cache]
-        cache.update(zip(new, forward(new, pieces, self.prob)))
-        return np.array([cache[w] for w in words]).reshape(len(words), len(self.languages))
+    def no_words(self) -> WordScores:
+        return WordScores({}, np.empty((0, len(self.languages))))
+
+    def word_scores(self, words: list[str], cache: WordScores) -> np.ndarray:
+        """The row of each word in ``cache.scores``."""
+        if len(cache.row) > _CACHE:
+            cache.row, cache.scores = {}, cache.scores[:0].copy()
+        new = [w for w in dict.fromkeys(words) if w not in cache.row]
+        if new:
+            cache.row.update(zip(new, range(len(cache.row), len(cache.row) + len(new))))
+            cache.scores = np.concatenate([cache.scores, forward(new, self.pieces(), self.prob)])
+        return np.fromiter(map(cache.row.__getitem__, words), np.int64, len(words))
 
-    def predict(self, texts: list[str | None], cache: dict[str, np.ndarray] | None = None):
+    def predict(self, texts: list[str | None], cache: WordScores | None = None):
         """(language, score) per text: the most probable language and its
         posterior; ``und`` with 0 for texts without a letter."""
-        cache = {} if cache is None else cache
+        cache = cache or self.no_words()
         split = [words_of(t) for t in texts]
-        codes, uniques = pd.factorize(np.array([w for s in split for w in s], dtype=object))
-        per_word = self.word_scores(list(uniques), cache)
+        rows = self.word_scores([w for s in split for w in s], cache)
         out, at = [], 0
         for s in split:
             if not s or not self.languages:
                 out.append(("und", 0.0))
             else:
-                z = np.log(self.prior) + per_word[codes[at:at + len(s)]].sum(axis=0)
+                z = np.log(self.prior) + cache.scores[rows[at:at + len(s)]].sum(axis=0)
                 p = np.exp(z - z.max())
                 p /= p.sum()
                 best = int(p.argmax())
@@ -222,13 +297,14 @@ def fit(labelled: DataFrame, path: str = VOCABULARY, fit_rows: int = FIT_ROWS,
 def identify(model: LanguageModel, text: Column) -> Column:
     """Struct (lang_pred, score) per whole text."""
 
-    @F.pandas_udf("lang_pred string, score double")
-    def language(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        cache: dict[str, np.ndarray] = {}
-        for s in batches:
-            for_batch = []
-            for i in range(0, len(s), 256):
-                for_batch += model.predict(s.iloc[i:i + 256].tolist(), cache)
-            yield pd.DataFrame(for_batch, columns=["lang_pred", "score"])
+    @F.arrow_udf("lang_pred string, score double")
+    def language(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        cache = model.no_words()
+        for texts in batches:
+            found = []
+            for i in range(0, len(texts), 256):
+                found += model.predict(texts.slice(i, 256).to_pylist(), cache)
+            yield pa.StructArray.from_arrays([pa.array([lang for lang, _ in found], pa.string()),
+                                              pa.array([p for _, p in found], pa.float64())], ["lang_pred", "score"])
 
     return language(whole_text(text))

@@ -113,6 +113,29 @@ def test_forward_sums_all_segmentations():
     assert counts.sum() >= 2.0 and langid.forward(["a" * 64], pieces, prob * 1e-6).shape == (1, 2)
 
 
+def test_pieces_are_found_in_many_words_at_once():
+    pieces = langid.Pieces({"▁": 0, "a": 1, "ab": 2, "▁ab": 3, "abcde": 4, "é": 5})
+    words = ["abcdex", "ab", "éa", "x" * 64, "aabcde", "zz"]
+    for size in {len(w) for w in words}:
+        same = [w for w in words if len(w) == size]
+        got = [[] for _ in same]
+        for i, j, rows, found in pieces.spans(same):
+            for r, k in zip(rows.tolist(), found.tolist()):
+                got[r].append((i, j, k if k < len(pieces) else -1))
+        assert [sorted(g) for g in got] == [sorted(langid._spans(w, pieces)) for w in same]
+
+
+def test_word_scores_are_kept_as_rows_of_one_array(monkeypatch):
+    monkeypatch.setattr(langid, "_CACHE", 2)
+    pieces = langid._parse(langid.vocabulary(None))
+    prob = np.random.default_rng(2).dirichlet(np.ones(len(pieces) + 1), size=2)
+    model = langid.LanguageModel(["a", "b"], np.ones(2) / 2, prob, langid.vocabulary(None))
+    texts, cache = [["the house the", "a b c d", None, "house e f", "the " + "x" * 200][i % 5] for i in range(20)], model.no_words()
+    got = [model.predict([t], cache)[0] for t in texts]
+    assert got == model.predict(texts)
+    assert len(cache.scores) == len(cache.row) <= 8
+
+
 def test_language_learns_and_bears_odd_rows(spark):
     en = [(f"the house of {prose(i, 3)} and the garden", "en") for i in range(30)]
     de = [(f"das haus von {prose(i, 3)} und der garten", "de") for i in range(30)]
