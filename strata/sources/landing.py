@@ -2,7 +2,9 @@
 under ``<landing>/date=YYYY-MM-DD/``: one record a line, or a whole page as one
 JSON array a line, as an API returns it.  A record's page number is its ``page``
 field, or the number in its file's name or folder (``page-12.json``,
-``page=12/``).
+``page=12/``).  Raw pages by the hundred thousand are packed: a line a page under
+``_packs/``, with the path the page came under and its records as an array, so that
+files grow with the bytes and not with the pages.
 
 Every landed row is read.  Rows without a page number are rows; lines that are no
 record keep their text in ``_corrupt_record``; fields whose value is of another
@@ -19,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, StringType, StructField, StructType, VariantType
 
+from strata.functions.dates import run_date as _run_date
+from strata.sources.commits import path_exists
 from strata.sources.schemas import CORRUPT_COL, DATE_COL, FAULTS_COL, PAGE_COL, RECORD, RECORD_FIELDS
 from strata.sources.tables import partition_path, read_table
 
@@ -32,6 +36,13 @@ LANDED_TABLE = StructType(RECORD.fields + [StructField(PAGE_COL, StringType(), T
 _LISTS = [f.name for f in RECORD.fields if isinstance(f.dataType, ArrayType)]
 RAW_LANDED = StructType([StructField(f.name, VariantType(), True) if f.name in _LISTS else f for f in LANDED_TABLE.fields])
 
+# A line of a pack: the path of a raw page and its records, each read as above.
+PACKS = "_packs"
+PACKED = StructType([StructField("path", StringType(), True),
+                     StructField("records", ArrayType(StructType(
+                         [f for f in RAW_LANDED.fields if f.name not in (CORRUPT_COL, DATE_COL)])), True),
+                     StructField(CORRUPT_COL, StringType(), True)])
+
 FIRST_GAP = "first_gap"
 GAP_BITS = 16           # page numbers, and then ranges of them, that one window group holds: 2^16
 PAGE_IN_PATH = r"(?i)/page[=_-]?0*(\d+)[^/]*(?:/[^/]*)?$"
@@ -58,10 +69,21 @@ def read_landed(spark: SparkSession, landing: str, run_date: str | dt.date) -> D
     ``field_faults`` with its raw text; every scalar is text, so text fields have
     no faults.  A date without a landing reads as empty."""
     rows = read_table(spark, landing, RAW_LANDED, run_date, fmt="json")
-    if "_metadata" in _hidden(rows):
-        path_page = F.regexp_extract(F.col("_metadata.file_path"), PAGE_IN_PATH, 1).try_cast("bigint")
-    else:
-        path_page = F.lit(None).cast("bigint")
+    path = F.col("_metadata.file_path") if "_metadata" in _hidden(rows) else F.lit(None).cast("string")
+    landed = _typed(rows, path)
+    packs = f"{partition_path(landing, run_date)}/{PACKS}"
+    if path_exists(spark, packs):
+        pages = spark.read.schema(PACKED).json(packs).where("records is null or size(records) > 0")
+        packed = pages.select("path", F.explode_outer("records").alias("r"), CORRUPT_COL).select(
+            "r.*", CORRUPT_COL, F.lit(_run_date(run_date)).alias(DATE_COL), "path")
+        landed = landed.unionByName(_typed(packed, F.concat(F.lit("/"), F.col("path"))))
+    return landed
+
+
+def _typed(rows: DataFrame, path: Column) -> DataFrame:
+    """Rows as written -> rows under the declared types; ``path`` is where a row's
+    page landed."""
+    path_page = F.regexp_extract(path, PAGE_IN_PATH, 1).try_cast("bigint")
     typed = {PAGE_COL: page_number(PAGE_COL)}
     raw = {PAGE_COL: F.col(PAGE_COL)}
     for name in _LISTS:
@@ -105,6 +127,17 @@ def land_pages(records: DataFrame, landing: str, run_date: str | dt.date) -> str
     return path
 
 
+def land_packed(records: DataFrame, landing: str, run_date: str | dt.date) -> str:
+    """Write records (with a ``page`` column) as the raw pages of ``run_date``: a
+    page's number is only in the folder of its path, and pages share files."""
+    folder = F.coalesce(F.col(PAGE_COL).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    path = f"{partition_path(landing, run_date)}/{PACKS}"
+    (records.groupBy(PAGE_COL).agg(F.collect_list(F.struct(*RECORD_FIELDS)).alias("records"))
+     .select(F.concat(F.lit("page="), folder, F.lit("/part-0.json")).alias("path"), "records")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").json(path))
+    return path
+
+
 def page_counts(records: DataFrame) -> DataFrame:
     """Rows per page number (NULL page included): a partial/final hash
     aggregate, so only one row per page and map task is shuffled."""

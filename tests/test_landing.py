@@ -6,7 +6,10 @@ import datetime as dt
 import json
 import os
 
-from strata.sources.landing import page_counts, page_report, read_landed
+from pyspark.sql.types import LongType, StructField, StructType
+
+from strata.sources.landing import PACKS, land_packed, page_counts, page_report, read_landed
+from strata.sources.schemas import RECORD
 from strata.sources.tables import partition_path
 
 D = dt.date(2024, 11, 28)
@@ -68,6 +71,27 @@ def test_raw_pages_take_their_number_from_the_path(spark, tmp_root):
         assert sorted((r.id, r.page) for r in rows) == [("1", 1), ("2", 1), ("3", 2)]
 
 
+def test_packed_pages_read_as_the_folders_they_stand_for(spark, tmp_root):
+    recs = [(rec(i), i // 3 + 1) for i in range(600)] + [(rec(600, tag_list=["a", None]), None), ({}, 7)]
+    rows = spark.createDataFrame([{**r, "page": p} for r, p in recs], StructType([*RECORD.fields, StructField("page", LongType())]))
+    packs = land_packed(rows, tmp_root, D)
+    files = [f for _, _, names in os.walk(packs) for f in names if f.endswith(".json")]
+    assert packs.endswith(PACKS) and len(files) <= 8        # not one for each of 201 pages
+    got = read_landed(spark, tmp_root, D).collect()
+    assert sorted((r.id or "", r.page or 0) for r in got) == sorted((r.get("id") or "", p or 0) for r, p in recs)
+    assert all(r._corrupt_record is None and r.field_faults is None and r.date == D for r in got)
+    assert [r.tag_list for r in got if r.id == "600"] == [["a", None]]
+    # raw files beside the packs, and odd lines in one
+    land_raw(tmp_root, {300: [rec(1000)]})
+    with open(f"{packs}/more.json", "w") as f:
+        f.write('{"path":"page=301/p.json","records":[]}\n{"path":"page=302/p.json","records":[{"id":"2000","tag_list":"x"}]}\n{broken\n')
+    more = read_landed(spark, tmp_root, D).collect()
+    assert len(more) == len(got) + 3
+    assert {r.id: r.page for r in more if r.id in ("1000", "2000")} == {"1000": 300, "2000": 302}
+    assert [r.field_faults[0].raw for r in more if r.id == "2000"] == ["x"]
+    assert [r._corrupt_record for r in more if r._corrupt_record] == ["{broken"]
+
+
 def test_declared_schema_drops_extra_keys_and_nulls_missing(spark, tmp_root):
     land_raw(tmp_root, {1: [rec(1, extra="zzz", tag_list=["a", None]),
                             {"id": "2", "postal_code": "007"}]})
