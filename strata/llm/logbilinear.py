@@ -29,16 +29,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import (
-    SPACED_WORD,
-    ascii_lower,
-    one_blas_thread,
-    stored,
-    whole_text,
-)
+from strata.llm.common import one_blas_thread, stored, whole_text
 
 DIM = 24
 CONTEXT = 4             # symbols before a token that the model sees
@@ -53,12 +47,6 @@ BLOCK = 4096            # parameters averaged in one row
 END = "\n"              # the end token; no word holds white space
 
 
-def tokens_of(text: str | Column = "text") -> Column:
-    """Lower-cased words in order, then one end token."""
-    words = F.regexp_extract_all(ascii_lower(whole_text(text)), F.lit(SPACED_WORD), F.lit(0))
-    return F.concat(words, F.array(F.lit(END)))
-
-
 # --- the vocabulary and the corpus counts ----------------------------------------------
 
 @dataclass
@@ -144,8 +132,13 @@ def gather(train_docs: DataFrame, head_words: int = HEAD_WORDS, floor_share: flo
     ``head_words`` reach it; over the second, ``sqrt(tokens) / floor_share``, there
     are at most ``floor_share * sqrt(tokens)`` symbols.  Nothing is sorted.
     """
-    counts = stored(train_docs.select(F.explode(tokens_of("text")).alias("token"))
-                    .groupBy("token").agg(F.count(F.lit(1)).alias("c")), "token-counts")
+    def said(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, words, at, _ in _texts(batch):
+                yield pa.record_batch({"token": words.cast(pa.string()), "c": np.bincount(at, minlength=len(words))})
+
+    counts = stored(train_docs.select(whole_text("text").alias("text")).mapInArrow(said, "token string, c long")
+                    .groupBy("token").agg(F.sum("c").alias("c")), "token-counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     buckets = (counts.groupBy(F.floor(F.log2("c") * 8 + 1e-9).cast("int").alias("b"))
                .agg(F.count(F.lit(1)).alias("n")).collect())
@@ -274,21 +267,29 @@ class Trainer:
         groups = np.add.reduceat(p, cuts[:-1])
         self.group_noise = (noise * groups / groups.sum()).astype(np.float32)
         self.noise = (noise * p / np.repeat(groups, np.diff(cuts))).astype(np.float32)
+        self.log_noise = np.log(self.noise)
         self.square = {k: np.full_like(getattr(model, k), 1e-4) for k in model.PARTS}
 
     @staticmethod
-    def _apart(scores: np.ndarray, noise: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Gradient of minus the objective by the scores."""
-        p = np.log(noise) - scores
+    def _sigmoids(scores: np.ndarray) -> None:
+        """``scores``, less the logs of their noise, become sigmoids in place."""
+        np.negative(scores, out=scores)
         with np.errstate(over="ignore"):                # a sigmoid of nought
-            np.exp(p, out=p)
-        p += 1
-        np.reciprocal(p, out=p)
+            np.exp(scores, out=scores)
+        scores += 1
+        np.reciprocal(scores, out=scores)
+
+    @classmethod
+    def _apart(cls, scores: np.ndarray, noise: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Gradient of minus the objective by the scores, which are overwritten:
+        the sigmoids, weighed by the noise, less what is left to one at ``at``."""
+        scores -= np.log(noise)
+        cls._sigmoids(scores)
         rows = np.arange(len(at))
-        seen = p[rows, at]
-        p *= noise
-        p[rows, at] -= 1 - seen
-        return p
+        left = 1 - scores[rows, at]
+        scores *= noise
+        scores[rows, at] -= left
+        return scores
 
     def _move(self, part: str, g: np.ndarray, rows: slice | np.ndarray = slice(None)) -> None:
         self.square[part][rows] += g * g
@@ -302,35 +303,50 @@ class Trainer:
         d = self._apart(r @ m.group.T + m.group_bias, self.group_noise, of) * n
         back = d @ m.group
         moves = [("group", d.T @ r, slice(None)), ("group_bias", d.sum(axis=0), slice(None))]
-        held, vectors, biases = [], [], []
+        # the scores of all classes lie in one array, class by class, and are told
+        # apart as above
+        widths = np.diff(m.cuts)[of]
+        widths[widths == 1] = 0
+        ends = np.cumsum(widths)
+        flat, several = np.empty(int(ends[-1]), dtype=np.float32), widths > 0
+        at = (ends - widths + symbol - m.cuts[of])[several]
+        shift, parts = m.bias - self.log_noise, []
         for g, rows in spans:
             a, b = m.cuts[g], m.cuts[g + 1]
             if b - a > 1:
-                x = r[rows]
-                d = self._apart(x @ m.target[a:b].T + m.bias[a:b], self.noise[a:b], symbol[rows] - a)
-                d *= n
-                back[rows] += d @ m.target[a:b]
-                held.append(np.arange(a, b))
-                vectors.append(d.T @ x)
-                biases.append(d.sum(axis=0))
+                d = flat[ends[rows.start] - widths[rows.start]:ends[rows.stop - 1]].reshape(-1, b - a)
+                np.matmul(r[rows], m.target[a:b].T, out=d)
+                d += shift[a:b]
+                parts.append((a, b, rows, d))
+        self._sigmoids(flat)
+        left = 1 - flat[at]
+        for a, b, _, d in parts:
+            d *= self.noise[a:b]
+        flat[at] -= left
+        flat *= n
+        held, vectors, biases = [], [], []
+        for a, b, rows, d in parts:
+            back[rows] += d @ m.target[a:b]
+            held.append(np.arange(a, b))
+            vectors.append(d.T @ r[rows])
+            biases.append(d.sum(axis=0))
         if held:
             there = np.concatenate(held)
             moves += [("target", np.concatenate(vectors), there), ("bias", np.concatenate(biases), there)]
-        # what comes back to each (position, symbol), from which both gradients follow
-        size, positions = len(m.context), context.shape[1]
-        at = (context + size * np.arange(positions)).T.ravel()
-        order = np.argsort(at)
-        at = at[order]
-        starts = np.concatenate([[0], np.nonzero(at[1:] != at[:-1])[0] + 1])
-        sums = np.add.reduceat(back[order % len(symbol)], starts, axis=0)
-        place, held = np.divmod(at[starts], size)
-        given, placed = np.zeros_like(m.context), np.empty_like(m.place)
-        for k, (i, j) in enumerate(zip(np.searchsorted(place, np.arange(positions)),
-                                       np.searchsorted(place, np.arange(positions), side="right"))):
-            placed[k] = (sums[i:j] * m.context[held[i:j]]).sum(axis=0)
-            given[held[i:j]] += sums[i:j] * m.place[k]
-        held = np.unique(held)
-        moves += [("context", given[held], held), ("place", placed, slice(None))]
+        # what comes back to each (position, symbol), from which both gradients
+        # follow: symbols by the times they are there, summed dimension by dimension
+        there = np.zeros(len(m.context), dtype=bool)
+        there[context] = True
+        held, where = np.nonzero(there)[0], (np.cumsum(there) - 1)[context]
+        near = m.context[held]
+        given, placed = np.zeros_like(near), np.empty_like(m.place)
+        back = back.T.astype(float)
+        for k in range(context.shape[1]):
+            at = np.ascontiguousarray(where[:, k])
+            sums = np.stack([np.bincount(at, x, len(held)) for x in back], axis=1).astype(np.float32)
+            placed[k] = (sums * near).sum(axis=0)
+            given += sums * m.place[k]
+        moves += [("context", given, held), ("place", placed, slice(None))]
         for part, g, rows in moves:
             self._move(part, g, rows)
 

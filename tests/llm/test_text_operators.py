@@ -297,3 +297,51 @@ def test_block_sums_are_those_of_brute_force(monkeypatch):
             for times in (np.ones(entries, dtype=np.int8), rng.integers(-2, 3, entries).astype(float)):
                 assert np.allclose(toxicity._Sums(group, of, times, n)(values),
                                    np.bincount(group, values[of] * times, n))
+
+
+def test_training_step_follows_the_gradient_of_its_scores(monkeypatch):
+    """Flat sums over all classes equal the gradients taken token by token."""
+    rng = np.random.default_rng(3)
+    mass = np.sort(rng.integers(5, 900, 40))[::-1].astype(float)
+    model = logbilinear.started(mass, dim=4, positions=2)
+    trainer, got = logbilinear.Trainer(model, mass), {}
+    monkeypatch.setattr(trainer, "_move", lambda part, g, rows=slice(None): got.update({part: (g, rows)}))
+    symbol, context = rng.integers(0, 40, 300), rng.integers(0, 40, (300, 2))
+    trainer.step(context, symbol)
+    want = {p: np.zeros(getattr(model, p).shape) for p in model.PARTS}
+    for c, w in zip(context, symbol):
+        r = sum(model.context[c[k]].astype(float) * model.place[k] for k in range(2))
+        g = int(np.searchsorted(model.cuts, w, side="right")) - 1
+        a, b = model.cuts[g], model.cuts[g + 1]
+        back = np.zeros(4)
+        for vectors, biases, noise, at, rows in (("group", "group_bias", trainer.group_noise, g, slice(None)),
+                                                 ("target", "bias", trainer.noise[a:b], w - a, slice(a, b))):
+            if vectors == "target" and b - a == 1:
+                continue
+            s = getattr(model, vectors)[rows] @ r + getattr(model, biases)[rows]
+            p = 1 / (1 + noise * np.exp(-s))
+            d = p * noise
+            d[at] -= 1 - p[at]
+            d /= len(symbol)
+            want[vectors][rows] += np.outer(d, r)
+            want[biases][rows] += d
+            back += d @ getattr(model, vectors)[rows]
+        for k in range(2):
+            want["place"][k] += back * model.context[c[k]]
+            want["context"][c[k]] += back * model.place[k]
+    for part, full in want.items():
+        g, rows = got[part]
+        mine = np.zeros_like(full)
+        mine[rows] = g
+        assert np.allclose(mine, full, atol=1e-6), part
+
+
+def test_counts_are_taken_before_rows_leave_a_task(spark):
+    texts = ["The the\u00a0x  THE\tend", None, "", "\x0bÄ ä\x0c A a", "the"] * 40
+    corpus = logbilinear.gather(spark.createDataFrame([(t,) for t in texts], "text string"))
+    want = {}
+    for t in texts:
+        for w in re.findall(r"[^\x20\x09-\x0D]+", lower(t or "")) + ["\n"]:
+            want[w] = want.get(w, 0) + 1
+    assert {r.token: r.c for r in corpus.counts.collect()} == want
+    assert (corpus.tokens, corpus.distinct) == (sum(want.values()), len(want))
